@@ -49,11 +49,11 @@ def split_lines(frame, text, width=None, out="line"):
     lines = F.split(strip_bom(text), "\n")
     lines = F.when(F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
     if width:
-        pattern = rf".{{1,{width}}}(?: |\z)|.{{1,{width}}}"
+        pattern = rf"[^\n]{{1,{width}}}(?: |\z)|[^\n]{{1,{width}}}"
         broken = F.transform(
             lines,
             lambda line: F.when(F.length(line) <= width, F.array(line)).otherwise(
-                F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(0)), lambda part: F.rtrim(part))
+                F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(0)), lambda part: F.regexp_replace(part, r" \z", ""))
             ),
         )
         lines = F.flatten(broken)

@@ -33,12 +33,16 @@ HELPERS = (SEGMENT, ONE_SERIES)
 
 @dataclass(frozen=True)
 class Running:
-    """A running value: inside a segment, its total, and how totals carry over."""
+    """A running value: inside a segment, its total, and how totals carry over.
+
+    A `backwards` one reads the series from its end.
+    """
 
     local: Callable
     total: Callable
     carry: Callable
     combine: Callable
+    backwards: bool = False
 
 
 def running_sum(value, exclusive=False):
@@ -75,9 +79,10 @@ def previous(value):
     )
 
 
-def position():
-    """The 0-based number of the row within its series."""
+def position(from_end=False):
+    """The 0-based number of the row within its series, from its start or its end."""
     return Running(
+        backwards=from_end,
         local=lambda w, order: F.row_number().over(w).cast("long") - 1,
         total=lambda order: F.count(F.lit(1)),
         carry=lambda total, w: F.sum(total).over(w.rowsBetween(Window.unboundedPreceding, -1)),
@@ -129,7 +134,7 @@ class Series:
             .agg(F.collect_list("at").alias("_cuts"))
         )
         # Collected so that every later pass over the data sees the same cuts.
-        fixed = frame.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
+        fixed = frame.sparkSession.createDataFrame(cuts.toArrow(), cuts.schema)
         return fixed.select(*[F.col(k).alias(f"_cut_{k}") for k in self.key], F.array_sort("_cuts").alias("_cuts"))
 
     def _mark(self, frame, cuts, how):
@@ -139,26 +144,29 @@ class Series:
         segment = F.when(F.col("_cuts").isNotNull(), _count_not_above(F.col("_cuts"), F.struct(*self.order)))
         return joined.withColumn(SEGMENT, segment).drop("_cuts", *[f"_cut_{k}" for k in self.key])
 
-    def window(self):
+    def window(self, backwards=False):
         """The window of one segment; the whole key where nothing was cut."""
         keys = [*self.key, SEGMENT] if self.split else self.key
-        return Window.partitionBy(*keys).orderBy(*self.order)
+        return Window.partitionBy(*keys).orderBy(*[F.col(c).desc() if backwards else F.col(c).asc() for c in self.order])
 
     def add(self, **running):
         """Add running values; all of them share one sort and one pass of totals."""
         window = self.window()
         order = F.struct(*self.order)
-        local = {name: r.local(window, order) for name, r in running.items()}
+        local = {name: r.local(self.window(r.backwards), order) for name, r in running.items()}
         if not self.split:
             return self._with(self.frame.withColumns(local))
         cut = self.frame.where(F.col(SEGMENT).isNotNull()) if self.long_keys is None else self.long_keys
         totals = cut.groupBy(*self.key, SEGMENT).agg(
             *[r.total(order).alias(f"_carry_{name}") for name, r in running.items()]
         )
-        earlier = Window.partitionBy(*self.key).orderBy(SEGMENT)
+        before = {
+            False: Window.partitionBy(*self.key).orderBy(F.col(SEGMENT).asc()),
+            True: Window.partitionBy(*self.key).orderBy(F.col(SEGMENT).desc()),
+        }
         carries = totals.select(
             *[F.col(k).alias(f"_to_{k}") for k in [*self.key, SEGMENT]],
-            *[r.carry(F.col(f"_carry_{name}"), earlier).alias(f"_carry_{name}") for name, r in running.items()],
+            *[r.carry(F.col(f"_carry_{name}"), before[r.backwards]).alias(f"_carry_{name}") for name, r in running.items()],
         )
         first = F.row_number().over(window) == 1
         numbered = self.frame.withColumns({**{f"_local_{n}": c for n, c in local.items()}, "_first": first})
@@ -182,10 +190,6 @@ class Series:
         cut = None if self.long_keys is None else self.long_keys.withColumns(columns)
         return self._with(frame, self.plain.withColumns(columns), cut)
 
-    def lengths(self, out):
-        """The number of rows of each key."""
-        return self.plain.groupBy(*self.key).agg(F.count(F.lit(1)).alias(out))
-
     def rows(self):
         """The rows as a plain DataFrame."""
         return self.frame.drop(*HELPERS)
@@ -251,14 +255,8 @@ def drop(series, count):
 
 
 def _slice(series, count, keep):
-    at = F.col("_at")
-    numbered = series.add(_at=position())
-    rows = numbered.frame
-    if count < 0:
-        rows = join_on_key(rows, series.lengths("_length"), series.key)
-        at = F.col("_length") - 1 - at
-    inside = at < abs(count)
-    return rows.where(inside if keep else ~inside).drop("_at", "_length", *HELPERS)
+    inside = F.col("_at") < abs(count)
+    return series.add(_at=position(from_end=count < 0)).rows().where(inside if keep else ~inside).drop("_at")
 
 
 def gather(series, positions, columns=None, out="out_pos"):

@@ -8,9 +8,16 @@ from tidegrid.operators.series import _names, join_on_key
 DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "M/d/yyyy"]
 # Fixed value: day 25569 of a spreadsheet is 1970-01-01.
 SERIAL_EPOCH = 25569
+NUMBER = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+CLOCK = r"\A\d{1,2}:[0-5]\d(:[0-5]\d)?\z"
 CELL_TYPES = ["num", "bool", "int", "date", "time", "str"]
 
 
+def to_number(text):
+    """A number from plain or scientific notation."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def convert_cell(cell, to):
     """One column to `num`, `bool`, `int`, `date`, `time` or `str`.
 
@@ -20,7 +27,7 @@ def convert_cell(cell, to):
     if to not in CELL_TYPES:
         raise ValueError(f"unknown cell type {to!r}")
     text = F.trim(F.col(cell) if isinstance(cell, str) else cell)
-    number = text.try_cast("double")
+    number = to_number(text)
     if to == "str":
         return text
     if to == "num":
@@ -32,15 +39,14 @@ def convert_cell(cell, to):
         return F.coalesce(word, number != 0)
     if to == "date":
         return to_date(text)
-    clock = F.regexp_extract(text, r"^(\d{1,2}):(\d{2})(?::(\d{2}))?$", 0)
-    part = [F.split(clock, ":").getItem(i).try_cast("int") for i in range(3)]
-    seconds = part[0] * 3600 + part[1] * 60 + F.coalesce(F.get(F.split(clock, ":"), F.lit(2)).try_cast("int"), F.lit(0))
-    return F.when((clock != "") & (seconds < 86400), seconds / F.lit(86400.0))
+    part = [F.get(F.split(text, ":"), F.lit(i)).try_cast("int") for i in range(3)]
+    seconds = part[0] * 3600 + part[1] * 60 + F.coalesce(part[2], F.lit(0))
+    return F.when(text.rlike(CLOCK) & (seconds < 86400), seconds / F.lit(86400.0))
 
 
 def to_date(text):
     """A date from any of the known layouts or from a spreadsheet day number."""
-    serial = text.try_cast("double")
+    serial = to_number(text)
     days = F.when((serial >= 0) & (serial < 2958466), F.floor(serial).cast("int") - SERIAL_EPOCH)
     parsed = [F.try_to_timestamp(text, F.lit(layout)).cast("date") for layout in DATE_FORMATS]
     return F.coalesce(*parsed, F.date_add(F.lit("1970-01-01").cast("date"), days))
@@ -67,7 +73,7 @@ def type_profile(frame, columns=None):
     text = F.trim("cell")
     kind = (
         F.when(text.isNull() | (text == ""), "nil")
-        .when(text.try_cast("double").isNotNull(), "num")
+        .when(to_number(text).isNotNull(), "num")
         .when(F.lower(text).isin("true", "false"), "bool")
         .when(to_date(text).isNotNull(), "date")
         .otherwise("str")

@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tidegrid.operators.tables import to_date
+from tidegrid.operators.tables import to_date, to_number
 from tidegrid.sources.snapshots import strip_bom
 
 # Noncharacters: never part of interchanged text.
@@ -98,5 +98,5 @@ def parse_csv_timeseries(frame, body, columns, rs="\n", fs=",", esc="\\"):
         *key,
         "row_no",
         to_date(first).alias("date"),
-        *[F.get("fields", F.lit(i + 1)).try_cast("double").alias(c) for i, c in enumerate(columns)],
+        *[to_number(F.trim(F.get("fields", F.lit(i + 1)))).alias(c) for i, c in enumerate(columns)],
     )
