@@ -2,6 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tidegrid.session import store
+from tidegrid.sources.markup import parse_html
+from tidegrid.sources.snapshots import BOM
+
 TRADE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
 EVENT_ORDER = ["ts", "event_id"]
 
@@ -11,6 +15,19 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(frame, rows=1_000_000):
+    """A small table in few files, over all cores; larger ones have splits enough."""
+    if frame.count() > rows:
+        return frame
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism)
+
+
+def page_nodes(spark, folder, stored=False):
+    """The node table of all pages; `stored` for queries that read it more than once."""
+    nodes = parse_html(spread(table(spark, folder, "pages").select("page_id", "html")), "page_id", "html")
+    return store(nodes, "nodes") if stored else nodes
+
+
 def trades(spark, folder):
     """Line items as trades of a part: price, cash flow and signed quantity."""
     back = F.col("l_returnflag") == "R"
@@ -91,7 +108,7 @@ def csv_blobs(spark, folder):
         F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("row")))).alias("rows")
     )
     return texts.select(
-        "doc_id", F.concat(F.lit("﻿"), F.array_join(F.transform("rows", lambda r: r["row"]), "\n")).alias("body")
+        "doc_id", F.concat(F.lit(BOM), F.array_join(F.transform("rows", lambda r: r["row"]), "\n")).alias("body")
     )
 
 

@@ -1 +1,202 @@
-"""Queries."""
+"""Queries on node tables of pages and of XML texts."""
+
+from pyspark.sql import functions as F
+
+from tidegrid.functions.registry import register_functions
+from tidegrid.operators import nodes as N
+from tidegrid.operators import xpath as X
+from tidegrid.plans.inputs import page_nodes, spread, table, xml_documents
+from tidegrid.plans.registry import query
+from tidegrid.session import store
+from tidegrid.sources import markup as M
+
+# Pages without what scripts, styles and comments hold.
+BARE = """
+bare AS (SELECT page_id, html, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'),
+  '(<script[^>]*>|<style[^>]*>).*?(</script>|</style>)', '\\1\\2', 'gs') AS h FROM pages)"""
+
+
+def _count(tag):
+    return f"len(regexp_extract_all(h, '<{tag}[ >]'))"
+
+
+def _plain(text):
+    for entity, mark in (("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{mark}')"
+    return text
+
+
+@query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
+SELECT name, count(*) AS nodes FROM t GROUP BY name""")
+def parse_html(spark, folder):
+    elements = page_nodes(spark, folder).where(F.col("type") == "ELEMENT")
+    return elements.groupBy("name").agg(F.count(F.lit(1)).alias("nodes"))
+
+
+@query(f"""WITH {BARE} SELECT page_id, '/html' AS path, regexp_extract(h, '<html lang="([^"]*)"', 1) AS lang FROM bare""")
+def node_root(spark, folder):
+    roots = N.node_root(page_nodes(spark, folder))
+    return roots.select("page_id", "path", F.col("attrs")["lang"].alias("lang"))
+
+
+@query(f"""WITH {BARE} SELECT 'DTD' AS type, count(*) AS nodes FROM bare UNION ALL SELECT 'COMMENT', count(*) FROM bare
+UNION ALL SELECT 'CDATA', 2 * count(*) FROM bare
+UNION ALL SELECT 'ELEMENT', sum(len(regexp_extract_all(h, '<[a-z][a-z0-9]*[ >]')))::BIGINT FROM bare
+UNION ALL SELECT 'TEXT', sum(len(regexp_extract_all(regexp_replace(h, '<!DOCTYPE html>', ''), '>[^<]+')))::BIGINT FROM bare""")
+def node_type(spark, folder):
+    return N.node_type_profile(page_nodes(spark, folder))
+
+
+@query(f"""WITH {BARE} SELECT page_id, unnest(regexp_extract_all(h, ' (lang|charset|href|class)="([^"]*)"', 1)) AS key,
+  unnest(regexp_extract_all(h, ' (lang|charset|href|class)="([^"]*)"', 2)) AS value FROM bare""")
+def node_attributes(spark, folder):
+    return N.node_attributes(page_nodes(spark, folder)).select("page_id", "key", "value")
+
+
+@query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
+SELECT name, count(*) AS nodes FROM t GROUP BY name
+UNION ALL SELECT '#comment', count(*) FROM bare
+UNION ALL SELECT '#cdata', 2 * count(*) FROM bare""")
+def node_name(spark, folder):
+    named = page_nodes(spark, folder).where(~F.col("type").isin("TEXT", "DTD"))
+    return named.groupBy("name").agg(F.count(F.lit(1)).alias("nodes"))
+
+
+@query(f"""WITH {BARE}, l AS (SELECT page_id, {_count("li")} AS n FROM bare)
+SELECT page_id, '/html/body/nav/ul/li' || CASE WHEN n > 1 THEN '[' || unnest(range(1, n + 1)) || ']' ELSE '' END AS path FROM l
+UNION ALL SELECT page_id, '/html/head/title' FROM l UNION ALL SELECT page_id, '/html/body/comment()' FROM l""")
+def node_path(spark, folder):
+    wanted = F.col("name").isin("li", "title", "#comment")
+    return page_nodes(spark, folder).where(wanted).select("page_id", "path")
+
+
+@query(f"""WITH {BARE} SELECT page_id, unnest(['h1', 'title', 'footer', 'nav']) AS name, unnest([
+  {_plain("regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1)")}, {_plain("regexp_extract(h, '(?s)<title>(.*?)</title>', 1)")},
+  {_plain("regexp_extract(h, '(?s)<footer>(.*?)</footer>', 1)")},
+  {_plain("regexp_replace(regexp_extract(h, '(?s)<nav>(.*?)</nav>', 1), '<[^>]*>', '', 'g')")}]) AS content FROM bare""")
+def node_content(spark, folder):
+    nodes = page_nodes(spark, folder, stored=True)
+    picked = nodes.where(F.col("name").isin("h1", "title", "footer", "nav"))
+    return N.node_content(nodes, picked, "content_text").select("page_id", "name", F.col("content_text").alias("content"))
+
+
+@query("""
+SELECT o_orderkey AS doc_id, unnest(['customer', 'price', 'tag', 'tag']) AS name,
+  unnest([chr(10) || '  ', chr(10) || '  ', chr(10) || '  ', '']) AS text FROM orders WHERE o_orderkey % 100 <> 0""")
+def node_list(spark, folder):
+    nodes = M.parse_xml(spread(xml_documents(spark, folder)), "doc_id", "raw")
+    listed = N.node_list(nodes, "text").where((F.col("type") == "ELEMENT") & (F.col("depth") == 1))
+    return listed.select("doc_id", "name", "text")
+
+
+@query(f"""WITH {BARE} SELECT unnest(['html', 'head', 'body', 'nav', 'ul', 'li', 'article', 'p', 'b']) AS parent, unnest([
+  2 * count(*), 4 * count(*), 4 * count(*), count(*), sum({_count("li")})::BIGINT, sum({_count("a")})::BIGINT,
+  sum({_count("h1")} + {_count("p")})::BIGINT, sum({_count("b")})::BIGINT, sum({_count("br")})::BIGINT]) AS children FROM bare""")
+def node_children(spark, folder):
+    nodes = page_nodes(spark, folder, stored=True)
+    parents = nodes.where(F.col("type") == "ELEMENT").select("page_id", "node_id", F.col("name").alias("parent"))
+    pairs = N.node_children(nodes).drop("name").join(parents, ["page_id", "node_id"])
+    return pairs.groupBy("parent").agg(F.count(F.lit(1)).alias("children"))
+
+
+@query(f"""WITH {BARE} SELECT page_id, {_count("p")} + 1 AS siblings FROM bare""")
+def node_siblings(spark, folder):
+    nodes = page_nodes(spark, folder, stored=True)
+    pairs = N.node_siblings(nodes, nodes.where(F.col("name") == "h1"))
+    return pairs.groupBy("page_id").agg(F.count(F.lit(1)).alias("siblings"))
+
+
+@query(f"""WITH {BARE} SELECT page_id, regexp_extract(html, '<!--(.*?)-->', 1) AS comment FROM bare""")
+def node_next(spark, folder):
+    nodes = page_nodes(spark, folder, stored=True)
+    comments = nodes.where(F.col("type") == "COMMENT").select(
+        "page_id", F.col("node_id").alias("next_id"), F.col("content").alias("comment")
+    )
+    found = N.node_next(nodes, "COMMENT").where(F.col("name") == "nav").join(comments, ["page_id", "next_id"])
+    return found.select("page_id", "comment")
+
+
+@query(f"""WITH {BARE} SELECT page_id, {_count("li")} - 1 AS with_next FROM bare""")
+def node_next_element(spark, folder):
+    items = N.node_next_element(page_nodes(spark, folder)).where(F.col("name") == "li")
+    return items.groupBy("page_id").agg(F.count("next_id").alias("with_next"))
+
+
+@query(f"""WITH {BARE} SELECT page_id, {_count("li")} - 1 AS with_prev, 4::BIGINT AS in_head FROM bare""")
+def node_prev(spark, folder):
+    linked = N.node_prev(N.node_prev(page_nodes(spark, folder)), "ELEMENT", "prev_element_id")
+    later = F.count(F.when(F.col("name") == "li", F.col("prev_id")))
+    head = F.count_if(F.col("name").isin("title", "style", "script")) + F.count_if(
+        (F.col("name") == "meta") & F.col("prev_element_id").isNull()
+    )
+    return linked.groupBy("page_id").agg(later.alias("with_prev"), head.alias("in_head"))
+
+
+@query(f"""WITH {BARE} SELECT page_id, {_count("a")} + {_count("b")} AS with_text FROM bare""")
+def node_child(spark, folder):
+    nodes = page_nodes(spark, folder, stored=True)
+    owners = nodes.where(F.col("name").isin("a", "b")).select("page_id", "node_id")
+    found = N.node_child(nodes, "TEXT").join(owners, ["page_id", "node_id"])
+    return found.groupBy("page_id").agg(F.count(F.lit(1)).alias("with_text"))
+
+
+@query(f"""WITH {BARE} SELECT unnest(['li', 'a', 'p', 'b', 'br', 'h1']) AS name,
+  unnest(['ul', 'li', 'article', 'p', 'b', 'article']) AS parent_name, unnest([sum({_count("li")}), sum({_count("a")}),
+  sum({_count("p")}), sum({_count("b")}), sum({_count("br")}), sum({_count("h1")})])::BIGINT AS nodes FROM bare""")
+def node_parent(spark, folder):
+    with_parent = N.node_parent(page_nodes(spark, folder, stored=True))
+    wanted = with_parent.where(F.col("name").isin("li", "a", "p", "b", "br", "h1"))
+    return wanted.groupBy("name", "parent_name").agg(F.count(F.lit(1)).alias("nodes"))
+
+
+@query(f"""WITH {BARE} SELECT page_id, unnest(regexp_extract_all(regexp_extract(h, '(?s)<nav>.*</nav>'), '<a href="([^"]*)"', 1)) AS href FROM bare""")
+def xpath_query(spark, folder):
+    found = X.xpath_query(page_nodes(spark, folder), "//nav//a/@href")
+    return found.select("page_id", F.col("content").alias("href"))
+
+
+@query(f"""WITH {BARE} SELECT page_id, {_plain("regexp_extract(h, '(?s)<div class=.ad.>(.*?)</div>', 1)")} AS ad,
+  {_plain("list_extract(regexp_extract_all(h, '(?s)<a [^>]*>(.*?)</a>', 1), 2)")} AS second_link FROM bare""")
+def xpath_predicates(spark, folder):
+    nodes = page_nodes(spark, folder, stored=True)
+    ads = X.xpath_query(nodes, "//div[@class='ad']/text()").select("page_id", F.col("content").alias("ad"))
+    links = X.xpath_query(nodes, "/html/body//ul/li[2]//text()").select("page_id", F.col("content").alias("second_link"))
+    return ads.join(links, "page_id")
+
+
+@query("""
+SELECT o_orderkey AS doc_id, o_orderkey::VARCHAR AS id, o_orderstatus AS status, o_custkey::VARCHAR AS customer,
+  '<' || o_totalprice || '>' AS price, 'a & b' AS tag FROM orders WHERE o_orderkey % 100 <> 0""")
+def parse_xml(spark, folder):
+    nodes = M.parse_xml(spread(xml_documents(spark, folder)), "doc_id", "raw")
+    at = F.col("path")
+    text = {p: F.max(F.when(at == f"/order/{p}/text()", F.col("content"))) for p in ("customer", "price", "tag[1]")}
+    root = F.when(at == "/order", F.col("attrs"))
+    return nodes.groupBy("doc_id").agg(
+        F.max(root["id"]).alias("id"),
+        F.max(root["status"]).alias("status"),
+        text["customer"].alias("customer"),
+        text["price"].alias("price"),
+        text["tag[1]"].alias("tag"),
+    )
+
+
+@query("SELECT o_orderkey AS doc_id FROM orders WHERE o_orderkey % 100 = 0")
+def xml_quarantine(spark, folder):
+    return M.xml_quarantine(spread(xml_documents(spark, folder)), "doc_id", "raw").select("doc_id")
+
+
+@query("SELECT o_orderkey AS doc_id, unnest(['a & b', o_orderpriority]) AS tag FROM orders WHERE o_orderkey % 100 <> 0")
+def xpath_query_xml(spark, folder):
+    nodes = store(M.parse_xml(spread(xml_documents(spark, folder)), "doc_id", "raw"), "nodes")
+    return X.xpath_query(nodes, "/order[@status]/tag/text()").select("doc_id", F.col("content").alias("tag"))
+
+
+@query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
+SELECT name, count(*) AS nodes FROM t GROUP BY name""")
+def register_node_functions(spark, folder):
+    register_functions(spark)
+    spread(table(spark, folder, "pages")).createOrReplaceTempView("saved_pages")
+    return spark.sql("""
+        SELECT n.name, count(*) AS nodes FROM saved_pages, LATERAL parse_html(html) n
+        WHERE n.type = 'ELEMENT' GROUP BY n.name""")

@@ -74,7 +74,7 @@ def series_scan_product(spark, folder):
 @query("""
 SELECT event_id, round(sum(value) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 4) AS running FROM events""")
 def series_scan_global(spark, folder):
-    whole = S.Series(user_values(spark, folder), [], EVENT_ORDER, segment_rows=4096)
+    whole = S.Series(user_values(spark, folder), [], EVENT_ORDER, segment_rows=65_536)
     return S.scan(whole, "value", "+", "running").select("event_id", F.round("running", 4).alias("running"))
 
 

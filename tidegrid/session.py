@@ -41,3 +41,14 @@ def scratch_path(spark, name):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="tidegrid-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def store(frame, name):
+    """The frame as a table in the shared folder.
+
+    For what is costly to make and read more than once: it is made once, and a
+    lost executor does not make it again.
+    """
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)

@@ -326,10 +326,8 @@ def _id_arrow(frame, doc_id):
     return types[kind.typeName()]
 
 
-def _parse(frame, doc_id, body, read, options, partitions):
+def _parse(frame, doc_id, body, read, options):
     documents = frame.select(doc_id, body).where(f"`{body}` IS NOT NULL")
-    if partitions:
-        documents = documents.repartition(partitions)
     id_type = _id_arrow(frame, doc_id)
     fields = NODE_FIELDS
     schema = T.StructType([frame.schema[doc_id], *[T.StructField(n, t) for n, t, _ in fields]])
@@ -360,24 +358,23 @@ def _parse(frame, doc_id, body, read, options, partitions):
     return documents.mapInArrow(parse, schema)
 
 
-def parse_xml(frame, doc_id, body, recover=False, noblanks=False, nocdata=False, partitions=None):
+def parse_xml(frame, doc_id, body, recover=False, noblanks=False, nocdata=False):
     """The node table of XML texts.
 
     A text that is not well formed gives no nodes and a row in `xml_quarantine`;
     with `recover` it gives the nodes up to the error. `noblanks` leaves out
-    blank text, `nocdata` makes sections plain text. `partitions` spreads few
-    large input files over more tasks.
+    blank text, `nocdata` makes sections plain text.
     """
     options = {"recover": recover, "noblanks": noblanks, "nocdata": nocdata}
-    return _parse(frame, doc_id, body, _xml_nodes, options, partitions)
+    return _parse(frame, doc_id, body, _xml_nodes, options)
 
 
-def parse_html(frame, doc_id, body, noblanks=False, noimplied=False, partitions=None):
+def parse_html(frame, doc_id, body, noblanks=False, noimplied=False):
     """The node table of HTML texts; any text gives a tree.
 
     `noimplied` does not add html, head and body where a page leaves them out.
     """
-    return _parse(frame, doc_id, body, _html_nodes, {"noblanks": noblanks, "noimplied": noimplied}, partitions)
+    return _parse(frame, doc_id, body, _html_nodes, {"noblanks": noblanks, "noimplied": noimplied})
 
 
 def xml_quarantine(frame, doc_id, body):
