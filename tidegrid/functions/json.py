@@ -6,23 +6,27 @@ from pyspark.sql import functions as F
 from tidegrid.operators.tables import match_wildcard
 
 
+# Our names of the types that a variant can have.
+TYPE_NAMES = {
+    "OBJECT": "object",
+    "ARRAY": "array",
+    "STRING": "string",
+    "BOOLEAN": "boolean",
+    "VOID": "null",
+    "NONE": "error",
+}
+
+
 def _column(value):
     return F.col(value) if isinstance(value, str) else value
 
 
 def json_type(value):
     """`object`, `array`, `string`, `number`, `boolean`, `null`, or `error` for no value."""
-    value = _column(value)
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull(), "error")
-        .when(schema.startswith("OBJECT"), "object")
-        .when(schema.startswith("ARRAY"), "array")
-        .when(schema == "STRING", "string")
-        .when(schema == "BOOLEAN", "boolean")
-        .when(schema == "VOID", "null")
-        .otherwise("number")
-    )
+    # The schema is asked for once; other names than these are numbers.
+    schema = F.coalesce(F.substring_index(F.schema_of_variant(_column(value)), "<", 1), F.lit("NONE"))
+    names = F.create_map(*[F.lit(text) for pair in TYPE_NAMES.items() for text in pair])
+    return F.coalesce(F.try_element_at(names, schema), F.lit("number"))
 
 
 def path_segments(key):
@@ -95,15 +99,20 @@ def json_path_join(segments):
 
 
 def nesting_depth(raw):
-    """How deep the objects and arrays of a JSON text nest."""
-    bare = F.regexp_replace(_column(raw), r'"(?:[^"\\]++|\\.)*+"', "")
+    """How deep the objects and arrays of a JSON text nest.
+
+    A text with few opening brackets counts as that deep without a closer look.
+    """
+    raw = _column(raw)
+    opened = F.length(raw) - F.length(F.translate(raw, "{[", ""))
+    bare = F.regexp_replace(raw, r'"(?:[^"\\]++|\\.)*+"', "")
     brackets = F.split(F.regexp_replace(bare, r"[^\[\]{}]++", ""), "")
     walk = F.aggregate(
         brackets,
         F.struct(F.lit(0).alias("now"), F.lit(0).alias("top")),
         lambda at, c: _deeper(at, F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)),
     )
-    return walk["top"]
+    return F.when(opened <= 4, opened).otherwise(walk["top"])
 
 
 def _deeper(at, change) -> Column:
@@ -131,7 +140,7 @@ def json_keys(frame, raw, pattern="*", max_depth=None):
         )
     others = [c for c in frame.columns if c != raw]
     node = F.struct(F.lit("").alias("path"), checked.alias("value"), F.lit(True).alias("open"))
-    rows = frame.select(*others, node.alias("node")).where(F.col("node.value").isNotNull())
+    rows = frame.select(*others, node.alias("node"))
     for _ in range(max_depth):
         rows = rows.withColumn("node", F.explode(_with_children(F.col("node"), pattern)))
     return rows.where(F.col("node.path") != "").select(

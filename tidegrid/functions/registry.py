@@ -133,10 +133,11 @@ def register_functions(spark):
     for signature, result, body in _functions():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS {result} RETURN {body}")
         names.append(signature.split("(")[0])
+    # One generator over one text: Spark inlines it, so that a lateral use is no join.
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION split_lines(text string) RETURNS TABLE (line_no int, line string)
-        RETURN SELECT pos, col FROM (SELECT CASE WHEN endswith(text, '\\n') THEN substring(text, 1, length(text) - 1)
-               ELSE text END AS t) LATERAL VIEW posexplode(split(t, '\\n')) AS pos, col""")
+        RETURN SELECT posexplode(split(
+            CASE WHEN endswith(text, '\\n') THEN substring(text, 1, length(text) - 1) ELSE text END, '\\n')) AS (n, t)""")
     spark.udtf.register("parse_html", udtf(_HtmlNodes, returnType=_RETURNS))
     spark.udtf.register("parse_xml", udtf(_XmlNodes, returnType=_RETURNS))
     return [*names, "split_lines", "parse_html", "parse_xml"]

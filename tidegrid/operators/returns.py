@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.operators.series import Series, join_on_key, position, previous, running_product
+from tidegrid.operators.series import Series, join_on_key, position, previous, running_product, sized
 
 PRICES = ["open", "high", "low", "close"]
 FIRST_DATE = datetime.date(2021, 1, 1)
@@ -18,13 +18,13 @@ LAST_DATE = datetime.date(2021, 5, 31)
 
 def join_reference(bars, instruments):
     """Attach name, country, start and end date and bad dates of each symbol."""
-    return join_on_key(bars, instruments, ["symbol"])
+    return bars.join(sized(instruments), "symbol", "left")
 
 
 def exclude_dates(bars, instruments):
     """Drop the bars on dates that are listed as bad for their symbol."""
     bad = instruments.select("symbol", F.explode("bad_data_dates").alias("date")).distinct()
-    return bars.join(bad, ["symbol", "date"], "left_anti")
+    return bars.join(sized(bad), ["symbol", "date"], "left_anti")
 
 
 def drop_null_rows(bars):

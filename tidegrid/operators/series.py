@@ -19,12 +19,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from math import ceil
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEGMENT_ROWS = 4_000_000
 MAX_CUTS = 16_384
 SAMPLES_PER_CUT = 16
+# The largest table that joins may copy to every executor.
+SMALL_ROWS = 100_000
 
 SEGMENT = "_segment"
 ONE_SERIES = "_series"
@@ -269,7 +272,7 @@ def gather(series, positions, columns=None, out="out_pos"):
         picked = numbered.withColumnRenamed("_at", out)
     else:
         listed = numbered.sparkSession.createDataFrame(
-            [(i, int(p)) for i, p in enumerate(positions)], f"{out} long, _at long"
+            pa.table({out: pa.array(range(len(positions)), pa.int64()), "_at": pa.array(positions, pa.int64())})
         )
         # Bounded by the length of the argument.
         picked = numbered.join(F.broadcast(listed), "_at").drop("_at")
@@ -286,17 +289,20 @@ def reshape(series, value, rows, columns, names=None):
     """
     names = names or [f"c{j}" for j in range(columns)]
     at = F.col("_at")
-    cells = series.add(_at=position()).rows().where(at < rows * columns)
     key = [k for k in series.key if k != ONE_SERIES]
-    placed = cells.select(*key, F.expr(f"_at div {columns}").alias("grid_row"), (at % columns).alias("_j"), value)
-    blank = cells.where(at == 0).select(
-        *key,
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rows - 1).cast("long"))).alias("grid_row"),
-        F.lit(None).cast("long").alias("_j"),
-        F.lit(None).cast(cells.schema[value].dataType).alias(value),
-    )
-    grid = [F.max(F.when(F.col("_j") == j, F.col(value))).alias(name) for j, name in enumerate(names)]
-    return placed.unionByName(blank).groupBy(*key, "grid_row").agg(*grid)
+    kind = series.plain.schema[value].dataType
+    cells = series.add(_at=position()).rows().where(at < rows * columns)
+
+    def cell(row, column, held):
+        return F.struct(row.alias("row"), column.alias("column"), held.cast(kind).alias("held"))
+
+    own = F.array(cell(F.expr(f"_at div {columns}"), at % columns, F.col(value)))
+    # The first row of a series also brings an empty cell for every grid row.
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(rows - 1).cast("long"))
+    blank = F.transform(numbers, lambda row: cell(row, F.lit(None).cast("long"), F.lit(None)))
+    placed = cells.select(*key, F.inline(F.when(at == 0, F.concat(own, blank)).otherwise(own)))
+    grid = [F.max(F.when(F.col("column") == j, F.col("held"))).alias(name) for j, name in enumerate(names)]
+    return placed.groupBy(*key, F.col("row").alias("grid_row")).agg(*grid)
 
 
 def series_max(frame, key, value, out="series_max"):
@@ -339,6 +345,14 @@ def sequence(frame, start, stop, incr=None, out="value"):
     )
 
 
+def sized(frame, rows=SMALL_ROWS):
+    """The frame, marked for broadcast if it is counted to be small.
+
+    A larger one is left to a shuffle join, in which Spark splits hot keys.
+    """
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+
+
 def join_on_key(frame, per_key, key):
     """Add the columns of a table with one row per key.
 

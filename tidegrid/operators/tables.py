@@ -2,14 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from tidegrid.operators.series import _names, join_on_key
+from tidegrid.operators.series import _names, sized
 
-# Date layouts that are tried in turn.
-DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "M/d/yyyy"]
-# Fixed value: day 25569 of a spreadsheet is 1970-01-01.
-SERIAL_EPOCH = 25569
+# How dates, times of day and numbers are written.
+ISO_DATE = r"\A\d{4}-\d{1,2}-\d{1,2}\z"
+ISO_TIME = r"\A\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\z"
+SLASHED_DATE = r"\A\d{1,2}/\d{1,2}/\d{4}\z"
 NUMBER = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 CLOCK = r"\A\d{1,2}:[0-5]\d(:[0-5]\d)?\z"
+NUMBER = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+# Fixed value: day 25569 of a spreadsheet is 1970-01-01.
+SERIAL_EPOCH = 25569
 CELL_TYPES = ["num", "bool", "int", "date", "time", "str"]
 
 
@@ -45,11 +48,15 @@ def convert_cell(cell, to):
 
 
 def to_date(text):
-    """A date from any of the known layouts or from a spreadsheet day number."""
+    """A date from an ISO date or time, from `month/day/year`, or from a spreadsheet day number."""
     serial = to_number(text)
-    days = F.when((serial >= 0) & (serial < 2958466), F.floor(serial).cast("int") - SERIAL_EPOCH)
-    parsed = [F.try_to_timestamp(text, F.lit(layout)).cast("date") for layout in DATE_FORMATS]
-    return F.coalesce(*parsed, F.date_add(F.lit("1970-01-01").cast("date"), days))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(serial).cast("int") - SERIAL_EPOCH)
+    return (
+        F.when(text.rlike(ISO_DATE), text.try_cast("date"))
+        .when(text.rlike(ISO_TIME), text.try_cast("timestamp_ntz").cast("date"))
+        .when(text.rlike(SLASHED_DATE), F.try_to_timestamp(text, F.lit("M/d/yyyy")).cast("date"))
+        .when((serial >= 0) & (serial < 2958466), day)
+    )
 
 
 def convert_columns(frame, types):
@@ -117,10 +124,10 @@ def lookup_first(frame, key, table, table_key, value, order, out=None):
     folded = F.lower(F.col(table_key).cast("string"))
     first = table.groupBy(folded.alias("_lookup")).agg(F.min_by(value, F.struct(*_names(order))).alias(out or value))
     keyed = frame.withColumn("_lookup", F.lower(F.col(key).cast("string")))
-    return keyed.join(first, "_lookup", "left").drop("_lookup")
+    return keyed.join(sized(first), "_lookup", "left").drop("_lookup")
 
 
 def patch_source(base, patch, key):
     """Replace all rows of the keys in `patch` by the rows of `patch`."""
     keys = patch.select(*_names(key)).distinct()
-    return base.join(keys, _names(key), "left_anti").unionByName(patch)
+    return base.join(sized(keys), _names(key), "left_anti").unionByName(patch)

@@ -22,9 +22,9 @@ def spread(frame, rows=1_000_000):
     return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism)
 
 
-def page_nodes(spark, folder, stored=False):
+def page_nodes(spark, folder, columns=None, stored=False):
     """The node table of all pages; `stored` for queries that read it more than once."""
-    nodes = parse_html(spread(table(spark, folder, "pages").select("page_id", "html")), "page_id", "html")
+    nodes = parse_html(spread(table(spark, folder, "pages").select("page_id", "html")), "page_id", "html", columns=columns)
     return store(nodes, "nodes") if stored else nodes
 
 
@@ -127,7 +127,7 @@ def timeseries_blobs(spark, folder):
 
 def json_documents(spark, folder):
     """Orders as nested JSON text; every hundredth is cut short or repeats a key."""
-    o = table(spark, folder, "orders")
+    o = spread(table(spark, folder, "orders"))
     whole = F.to_json(
         F.struct(
             F.col("o_orderkey").alias("id"),
@@ -148,7 +148,7 @@ def json_documents(spark, folder):
 
 def xml_documents(spark, folder):
     """Orders as XML text."""
-    o = table(spark, folder, "orders")
+    o = spread(table(spark, folder, "orders"))
     body = F.concat(
         F.lit('<?xml version="1.0"?>\n<order id="'),
         F.col("o_orderkey").cast("string"),

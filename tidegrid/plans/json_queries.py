@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidegrid.functions import json as J
-from tidegrid.plans.inputs import json_documents, table
+from tidegrid.plans.inputs import json_documents, spread, table
 from tidegrid.plans.registry import query
 from tidegrid.sources import jsontext as P
 
@@ -55,7 +55,7 @@ SELECT event_id, (json_extract(props, '$.k'))::BIGINT AS k, (json_extract(props,
 FROM events""")
 def json_value(spark, folder):
     v = F.try_parse_json("props")
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events")).select(
         "event_id",
         J.json_value(v, ".k", "long").alias("k"),
         J.json_value(v, ".K", "long", ignore_case=True).alias("any_case"),
@@ -87,7 +87,7 @@ def json_keys_pattern(spark, folder):
 SELECT '.' || key AS path, CASE json_type(props, '$.' || key) WHEN 'VARCHAR' THEN 'string' ELSE 'number' END AS type,
   count(*) AS documents FROM (SELECT props, unnest(json_keys(props)) AS key FROM events) GROUP BY ALL""")
 def json_key_inventory(spark, folder):
-    return J.json_key_inventory(table(spark, folder, "events"), "props")
+    return J.json_key_inventory(spread(table(spark, folder, "events")), "props")
 
 
 @query(f"""
@@ -119,10 +119,12 @@ def json_quote(spark, folder):
     return table(spark, folder, "part").select("p_partkey", J.json_quote(text).alias("quoted"))
 
 
-@query("""SELECT p_partkey, ['a', p_size::VARCHAR, p_type] AS segments FROM part""")
+@query("""
+SELECT p_partkey, unnest([0, 1, 2])::INT AS number, unnest(['a', p_size::VARCHAR, p_type]) AS segment FROM part""")
 def json_path_split(spark, folder):
     path = F.concat(F.lit(".a."), F.col("p_size").cast("string"), F.lit("."), F.col("p_type"))
-    return table(spark, folder, "part").select("p_partkey", J.json_path_split(path).alias("segments"))
+    segments = F.posexplode(J.json_path_split(path)).alias("number", "segment")
+    return table(spark, folder, "part").select("p_partkey", segments)
 
 
 @query("""SELECT p_partkey, '.a.' || p_size || '.' || p_type AS path FROM part""")

@@ -10,6 +10,8 @@ from tidegrid.plans.registry import query
 from tidegrid.session import store
 from tidegrid.sources import markup as M
 
+PLACES = ["node_id", "parent_id", "pos", "type", "name"]
+
 # Pages without what scripts, styles and comments hold.
 BARE = """
 bare AS (SELECT page_id, html, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'),
@@ -21,21 +23,21 @@ def _count(tag):
 
 
 def _plain(text):
-    for entity, mark in (("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{mark}')"
+    for entity, mark in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;?", "&")):
+        text = f"regexp_replace({text}, '{entity}', '{mark}', 'g')"
     return text
 
 
 @query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
 SELECT name, count(*) AS nodes FROM t GROUP BY name""")
 def parse_html(spark, folder):
-    elements = page_nodes(spark, folder).where(F.col("type") == "ELEMENT")
+    elements = page_nodes(spark, folder, ["type", "name"]).where(F.col("type") == "ELEMENT")
     return elements.groupBy("name").agg(F.count(F.lit(1)).alias("nodes"))
 
 
 @query(f"""WITH {BARE} SELECT page_id, '/html' AS path, regexp_extract(h, '<html lang="([^"]*)"', 1) AS lang FROM bare""")
 def node_root(spark, folder):
-    roots = N.node_root(page_nodes(spark, folder))
+    roots = N.node_root(page_nodes(spark, folder, ["parent_id", "type", "path", "attrs"]))
     return roots.select("page_id", "path", F.col("attrs")["lang"].alias("lang"))
 
 
@@ -44,13 +46,13 @@ UNION ALL SELECT 'CDATA', 2 * count(*) FROM bare
 UNION ALL SELECT 'ELEMENT', sum(len(regexp_extract_all(h, '<[a-z][a-z0-9]*[ >]')))::BIGINT FROM bare
 UNION ALL SELECT 'TEXT', sum(len(regexp_extract_all(regexp_replace(h, '<!DOCTYPE html>', ''), '>[^<]+')))::BIGINT FROM bare""")
 def node_type(spark, folder):
-    return N.node_type_profile(page_nodes(spark, folder))
+    return N.node_type_profile(page_nodes(spark, folder, ["type"]))
 
 
 @query(f"""WITH {BARE} SELECT page_id, unnest(regexp_extract_all(h, ' (lang|charset|href|class)="([^"]*)"', 1)) AS key,
   unnest(regexp_extract_all(h, ' (lang|charset|href|class)="([^"]*)"', 2)) AS value FROM bare""")
 def node_attributes(spark, folder):
-    return N.node_attributes(page_nodes(spark, folder)).select("page_id", "key", "value")
+    return N.node_attributes(page_nodes(spark, folder, ["node_id", "type", "name", "attrs"])).select("page_id", "key", "value")
 
 
 @query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
@@ -58,7 +60,7 @@ SELECT name, count(*) AS nodes FROM t GROUP BY name
 UNION ALL SELECT '#comment', count(*) FROM bare
 UNION ALL SELECT '#cdata', 2 * count(*) FROM bare""")
 def node_name(spark, folder):
-    named = page_nodes(spark, folder).where(~F.col("type").isin("TEXT", "DTD"))
+    named = page_nodes(spark, folder, ["type", "name"]).where(~F.col("type").isin("TEXT", "DTD"))
     return named.groupBy("name").agg(F.count(F.lit(1)).alias("nodes"))
 
 
@@ -67,7 +69,7 @@ SELECT page_id, '/html/body/nav/ul/li' || CASE WHEN n > 1 THEN '[' || unnest(ran
 UNION ALL SELECT page_id, '/html/head/title' FROM l UNION ALL SELECT page_id, '/html/body/comment()' FROM l""")
 def node_path(spark, folder):
     wanted = F.col("name").isin("li", "title", "#comment")
-    return page_nodes(spark, folder).where(wanted).select("page_id", "path")
+    return page_nodes(spark, folder, ["name", "path"]).where(wanted).select("page_id", "path")
 
 
 @query(f"""WITH {BARE} SELECT page_id, unnest(['h1', 'title', 'footer', 'nav']) AS name, unnest([
@@ -84,7 +86,7 @@ def node_content(spark, folder):
 SELECT o_orderkey AS doc_id, unnest(['customer', 'price', 'tag', 'tag']) AS name,
   unnest([chr(10) || '  ', chr(10) || '  ', chr(10) || '  ', '']) AS text FROM orders WHERE o_orderkey % 100 <> 0""")
 def node_list(spark, folder):
-    nodes = M.parse_xml(spread(xml_documents(spark, folder)), "doc_id", "raw")
+    nodes = M.parse_xml(xml_documents(spark, folder), "doc_id", "raw")
     listed = N.node_list(nodes, "text").where((F.col("type") == "ELEMENT") & (F.col("depth") == 1))
     return listed.select("doc_id", "name", "text")
 
@@ -118,13 +120,13 @@ def node_next(spark, folder):
 
 @query(f"""WITH {BARE} SELECT page_id, {_count("li")} - 1 AS with_next FROM bare""")
 def node_next_element(spark, folder):
-    items = N.node_next_element(page_nodes(spark, folder)).where(F.col("name") == "li")
+    items = N.node_next_element(page_nodes(spark, folder, PLACES)).where(F.col("name") == "li")
     return items.groupBy("page_id").agg(F.count("next_id").alias("with_next"))
 
 
 @query(f"""WITH {BARE} SELECT page_id, {_count("li")} - 1 AS with_prev, 4::BIGINT AS in_head FROM bare""")
 def node_prev(spark, folder):
-    linked = N.node_prev(N.node_prev(page_nodes(spark, folder)), "ELEMENT", "prev_element_id")
+    linked = N.node_prev(N.node_prev(page_nodes(spark, folder, PLACES)), "ELEMENT", "prev_element_id")
     later = F.count(F.when(F.col("name") == "li", F.col("prev_id")))
     head = F.count_if(F.col("name").isin("title", "style", "script")) + F.count_if(
         (F.col("name") == "meta") & F.col("prev_element_id").isNull()
@@ -151,7 +153,7 @@ def node_parent(spark, folder):
 
 @query(f"""WITH {BARE} SELECT page_id, unnest(regexp_extract_all(regexp_extract(h, '(?s)<nav>.*</nav>'), '<a href="([^"]*)"', 1)) AS href FROM bare""")
 def xpath_query(spark, folder):
-    found = X.xpath_query(page_nodes(spark, folder), "//nav//a/@href")
+    found = X.xpath_query(page_nodes(spark, folder, ["node_id", "type", "name", "path", "attrs"]), "//nav//a/@href")
     return found.select("page_id", F.col("content").alias("href"))
 
 
@@ -168,7 +170,7 @@ def xpath_predicates(spark, folder):
 SELECT o_orderkey AS doc_id, o_orderkey::VARCHAR AS id, o_orderstatus AS status, o_custkey::VARCHAR AS customer,
   '<' || o_totalprice || '>' AS price, 'a & b' AS tag FROM orders WHERE o_orderkey % 100 <> 0""")
 def parse_xml(spark, folder):
-    nodes = M.parse_xml(spread(xml_documents(spark, folder)), "doc_id", "raw")
+    nodes = M.parse_xml(xml_documents(spark, folder), "doc_id", "raw")
     at = F.col("path")
     text = {p: F.max(F.when(at == f"/order/{p}/text()", F.col("content"))) for p in ("customer", "price", "tag[1]")}
     root = F.when(at == "/order", F.col("attrs"))
@@ -183,12 +185,12 @@ def parse_xml(spark, folder):
 
 @query("SELECT o_orderkey AS doc_id FROM orders WHERE o_orderkey % 100 = 0")
 def xml_quarantine(spark, folder):
-    return M.xml_quarantine(spread(xml_documents(spark, folder)), "doc_id", "raw").select("doc_id")
+    return M.xml_quarantine(xml_documents(spark, folder), "doc_id", "raw").select("doc_id")
 
 
 @query("SELECT o_orderkey AS doc_id, unnest(['a & b', o_orderpriority]) AS tag FROM orders WHERE o_orderkey % 100 <> 0")
 def xpath_query_xml(spark, folder):
-    nodes = store(M.parse_xml(spread(xml_documents(spark, folder)), "doc_id", "raw"), "nodes")
+    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes")
     return X.xpath_query(nodes, "/order[@status]/tag/text()").select("doc_id", F.col("content").alias("tag"))
 
 

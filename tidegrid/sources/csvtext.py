@@ -58,9 +58,12 @@ def _records(body, rs, fs, esc):
 def _rows(frame, body, rs, fs, esc):
     key = [c for c in frame.columns if c != body]
     parsed = frame.select(*key, _records(F.col(body), rs, fs, esc).alias("_all"))
-    return parsed.select(
-        *key, F.size(F.get("_all", F.lit(0))).alias("width"), F.posexplode("_all").alias("row_no", "fields")
-    )
+    # Each record gets the width itself, so that no row carries its whole text.
+    # The outer form, since Spark would parse a second time to filter out empty texts.
+    width = F.size(F.get("_all", F.lit(0))).alias("width")
+    records = F.transform("_all", lambda fields: F.struct(width, fields.alias("fields")))
+    rows = parsed.select(*key, F.posexplode_outer(records).alias("row_no", "_record"))
+    return rows.where(F.col("row_no").isNotNull()).select(*key, "_record.width", "row_no", "_record.fields")
 
 
 def parse_csv(frame, body, columns=None, rs="\n", fs=",", esc="\\", offset=0, count=None, header=False):

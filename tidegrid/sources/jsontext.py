@@ -8,7 +8,8 @@ def parse_json(frame, raw, out="value"):
 
     An object that repeats a key counts as malformed, since no one value is right.
     """
-    parsed = frame.withColumn(out, F.try_parse_json(raw))
+    # Behind a generator the text is parsed once, not again for the filter.
+    parsed = frame.withColumn(out, F.explode_outer(F.array(F.try_parse_json(raw))))
     return parsed.where(F.col(out).isNotNull() | F.col(raw).isNull())
 
 

@@ -326,10 +326,10 @@ def _id_arrow(frame, doc_id):
     return types[kind.typeName()]
 
 
-def _parse(frame, doc_id, body, read, options):
+def _parse(frame, doc_id, body, read, options, columns):
     documents = frame.select(doc_id, body).where(f"`{body}` IS NOT NULL")
     id_type = _id_arrow(frame, doc_id)
-    fields = NODE_FIELDS
+    fields = [f for f in NODE_FIELDS if columns is None or f[0] in columns]
     schema = T.StructType([frame.schema[doc_id], *[T.StructField(n, t) for n, t, _ in fields]])
     arrow = pa.schema([(doc_id, id_type), *[(n, t) for n, _, t in fields]])
 
@@ -358,23 +358,25 @@ def _parse(frame, doc_id, body, read, options):
     return documents.mapInArrow(parse, schema)
 
 
-def parse_xml(frame, doc_id, body, recover=False, noblanks=False, nocdata=False):
+def parse_xml(frame, doc_id, body, recover=False, noblanks=False, nocdata=False, columns=None):
     """The node table of XML texts.
 
     A text that is not well formed gives no nodes and a row in `xml_quarantine`;
     with `recover` it gives the nodes up to the error. `noblanks` leaves out
-    blank text, `nocdata` makes sections plain text.
+    blank text, `nocdata` makes sections plain text. `columns` names the node
+    columns that are wanted, since Spark cannot prune what a tokenizer returns.
     """
     options = {"recover": recover, "noblanks": noblanks, "nocdata": nocdata}
-    return _parse(frame, doc_id, body, _xml_nodes, options)
+    return _parse(frame, doc_id, body, _xml_nodes, options, columns)
 
 
-def parse_html(frame, doc_id, body, noblanks=False, noimplied=False):
+def parse_html(frame, doc_id, body, noblanks=False, noimplied=False, columns=None):
     """The node table of HTML texts; any text gives a tree.
 
-    `noimplied` does not add html, head and body where a page leaves them out.
+    `noimplied` does not add html, head and body where a page leaves them out,
+    `columns` names the node columns that are wanted.
     """
-    return _parse(frame, doc_id, body, _html_nodes, {"noblanks": noblanks, "noimplied": noimplied})
+    return _parse(frame, doc_id, body, _html_nodes, {"noblanks": noblanks, "noimplied": noimplied}, columns)
 
 
 def xml_quarantine(frame, doc_id, body):

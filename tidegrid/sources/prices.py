@@ -13,6 +13,8 @@ COLUMNS = {
     "adj_close": "double",
     "volume": "long",
 }
+# The most file names that are sent to every executor.
+MAX_LISTED = 10_000
 
 
 def _lines(spark, path, partitioned):
@@ -33,10 +35,13 @@ def read_prices(spark, path, partitioned=False):
     `rejected_price_files`. The text `null` marks a missing value.
     """
     lines = _lines(spark, path, partitioned)
-    header = ",".join(HEADER)
-    # At most one row per file on the right side.
-    good = lines.where(F.col("line") == header).select("file").distinct()
-    rows = lines.where((F.col("line") != header) & (F.col("line") != "")).join(good, "file", "left_semi")
+    rejected = rejected_price_files(spark, path, partitioned)
+    few = rejected.limit(MAX_LISTED + 1).toArrow()
+    if few.num_rows <= MAX_LISTED:
+        rejected = F.broadcast(spark.createDataFrame(few, rejected.schema))
+    rows = lines.where((F.col("line") != ",".join(HEADER)) & (F.col("line") != ""))
+    if few.num_rows:
+        rows = rows.join(rejected, "file", "left_anti")
     cells = F.split("line", ",")
     return rows.select(
         "symbol", *[F.get(cells, F.lit(i)).try_cast(t).alias(c) for i, (c, t) in enumerate(COLUMNS.items())]
@@ -58,14 +63,20 @@ def write_prices(bars, path):
     ordered.write.partitionBy("symbol").option("header", True).option("nullValue", "null").csv(path)
 
 
-def write_series(cumulative, path, file_format="csv"):
-    """Write `date, cum_intraday, cum_overnight` by symbol."""
+def write_series(cumulative, path, file_format="parquet", per_symbol=False):
+    """Write `date, cum_intraday, cum_overnight` by symbol.
+
+    Rows are stored in ranges of symbol and date, so that a reader of one symbol
+    skips most files. `per_symbol` makes a folder for each symbol, which suits
+    a limited number of symbols only.
+    """
     rows = cumulative.select("symbol", "date", "cum_intraday", "cum_overnight")
     ordered = rows.repartitionByRange("symbol", "date").sortWithinPartitions("symbol", "date")
-    ordered.write.partitionBy("symbol").format(file_format).save(path)
+    writer = ordered.write.partitionBy("symbol") if per_symbol else ordered.write
+    writer.format(file_format).option("header", True).save(path)
 
 
-def read_series(spark, path, file_format="csv"):
-    """Read back what `write_series` wrote."""
-    schema = "date date, cum_intraday double, cum_overnight double, symbol string"
-    return spark.read.schema(schema).format(file_format).load(path)
+def read_series(spark, path, file_format="parquet"):
+    """Read back what `write_series` wrote, in either layout."""
+    schema = "symbol string, date date, cum_intraday double, cum_overnight double"
+    return spark.read.schema(schema).format(file_format).option("header", True).load(path)
