@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-STEP = re.compile(r"(//|/)?(\.\.|\.|@?(?:\*|[A-Za-z_][\w.:-]*)(?:\(\))?)((?:\[[^\]]*\])*)")
+STEP = re.compile(r"(//|/)?(\.\.|\.|@?(?:\*|[A-Za-z_][\w.-]*(?::[A-Za-z_][\w.-]*)?)(?:\(\))?)((?:\[[^\]]*\])*)")
 PREDICATE = re.compile(r"\[\s*(?:(\d+)|@([\w:.-]+)\s*(?:=\s*(?:'([^']*)'|\"([^\"]*)\"))?)\s*\]")
 KINDS = {"text()": ["TEXT", "CDATA"], "comment()": ["COMMENT"]}
 
