@@ -193,6 +193,11 @@ def test_sequence(spark, start, stop, incr, want):
     assert [r.value for r in got] == want
 
 
+def test_long_sequence(spark):
+    got = S.sequence(spark.range(1), F.lit(0), F.lit(200_000)).agg(F.count("n"), F.sum("value"), F.max("n")).first()
+    assert tuple(got) == (200_001, 200_000 * 200_001 / 2, 200_000)
+
+
 def test_unknown_operator(frame):
     series = S.Series(frame, "k", ["a", "b"])
     with pytest.raises(ValueError):

@@ -173,3 +173,21 @@ def test_json_ingest(spark):
     frame = spark.createDataFrame([(1, '{"a":1}'), (2, "bad"), (3, '{"a":1,"a":2}'), (4, None)], "id int, raw string")
     assert sorted(r.id for r in P.parse_json(frame, "raw").select("id").collect()) == [1, 4]
     assert sorted(r.id for r in P.json_quarantine(frame, "raw").collect()) == [2, 3]
+
+
+def test_repeated_keys(values):
+    texts = ['{"a":1,"a":2}', '{"a":1}', "[1]", "bad"]
+    assert values(J.has_duplicate_keys, *texts) == [True, False, None, None]
+    assert values(lambda c: J.json_first_value(c, ".a"), *texts[:2]) == ["1", "1"]
+
+
+def test_file_readers(spark, tmp_path):
+    from tidegrid.sources.markup import read_xml_rows
+
+    (tmp_path / "a.csv").write_text('1,"x\ny"\n2,z,w\n')
+    rows = C.read_csv_files(spark, str(tmp_path / "a.csv"), "a int, b string").orderBy("a").collect()
+    assert [(r.a, r.b) for r in rows] == [(1, "x\ny"), (2, "z")] and rows[1]._corrupt
+    (tmp_path / "a.json").write_text('{"a":1}\n{"a":2}\n')
+    assert P.read_json_files(spark, str(tmp_path / "a.json"), "a int").count() == 2
+    (tmp_path / "a.xml").write_text("<r><i><v>1</v></i><i><v>2</v></i></r>")
+    assert [r.v for r in read_xml_rows(spark, str(tmp_path / "a.xml"), "i", "v int").collect()] == [1, 2]

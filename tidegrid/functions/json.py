@@ -53,6 +53,18 @@ def json_value(value, key, as_type="variant", ignore_case=False):
     return F.try_variant_get(value, "$" + "".join(quoted), as_type)
 
 
+def json_first_value(raw, key):
+    """The value at a path of a JSON text, as text; of a repeated key the first one."""
+    steps = "".join(f"[{s}]" if isinstance(s, int) else f"['{s}']" for s in path_segments(key))
+    return F.get_json_object(_column(raw), "$" + steps)
+
+
+def has_duplicate_keys(raw):
+    """Whether the object of a JSON text has a key twice; null if it is no object."""
+    keys = F.json_object_keys(_column(raw))
+    return F.size(keys) != F.size(F.array_distinct(keys))
+
+
 def _step_in_any_case(value, segment):
     if isinstance(segment, int):
         return F.try_variant_get(value, f"$[{segment}]", "variant")

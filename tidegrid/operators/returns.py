@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.operators.series import Series, join_on_key, position, previous, running_product, sized
+from tidegrid.operators.series import Series, position, previous, running_product, running_sum, sized
 
 PRICES = ["open", "high", "low", "close"]
 FIRST_DATE = datetime.date(2021, 1, 1)
@@ -42,27 +42,19 @@ def drop_flat_rows(bars):
     return bars.where(distinct_prices() > 1)
 
 
-def clip_valid_range(bars, first_date=FIRST_DATE, last_date=LAST_DATE):
+def clip_valid_range(bars, first_date=FIRST_DATE, last_date=LAST_DATE, **series_options):
     """Keep each symbol from its first usable date to its end date.
 
     A symbol starts at the later of its start date and the first bar whose open
     differs from its close. `start_date` and `end_date` columns, where present,
     override the defaults.
     """
-    start, end = (
-        F.coalesce(F.col(own), F.lit(default)) if own in bars.columns else F.lit(default)
-        for own, default in (("start_date", first_date), ("end_date", last_date))
-    )
-    opened = bars.groupBy("symbol").agg(F.min(F.when(F.col("open") != F.col("close"), F.col("date"))).alias("_from"))
-    joined = join_on_key(bars, opened, ["symbol"])
-    usable = (F.col("date") >= F.col("_from")) & (F.col("date") >= start) & (F.col("date") <= end)
-    return joined.where(usable).drop("_from")
+    return _clip(_by_date(bars, series_options), first_date, last_date).rows()
 
 
-def clean_bars(bars, instruments, first_date=FIRST_DATE, last_date=LAST_DATE):
+def clean_bars(bars, instruments, first_date=FIRST_DATE, last_date=LAST_DATE, **series_options):
     """All cleaning steps, in order."""
-    known = join_reference(exclude_dates(bars, instruments), instruments)
-    return clip_valid_range(drop_flat_rows(drop_null_rows(known)), first_date, last_date)
+    return _clip(_by_date(_usable(bars, instruments), series_options), first_date, last_date).rows()
 
 
 def overnight_intraday_returns(bars, **series_options):
@@ -71,7 +63,42 @@ def overnight_intraday_returns(bars, **series_options):
     The first bar of a symbol has no close-to-close and no overnight return.
     A zero price gives a null return.
     """
-    return _returns(Series(bars, "symbol", "date", **series_options)).rows()
+    return _returns(_by_date(bars, series_options)).rows()
+
+
+def cumulative_returns(bars, **series_options):
+    """Cumulated intraday and overnight return by date.
+
+    Intraday returns count from the first bar and overnight returns from the
+    second; the first bar of each symbol is not part of the result.
+    """
+    return _cumulate(_returns(_by_date(bars, series_options)))
+
+
+def returns_from_raw_bars(bars, instruments, first_date=FIRST_DATE, last_date=LAST_DATE, **series_options):
+    """Cleaning, returns and cumulation in one go, with one shuffle by symbol."""
+    series = _by_date(_usable(bars, instruments), series_options)
+    return _cumulate(_returns(_clip(series, first_date, last_date)))
+
+
+def _usable(bars, instruments):
+    return drop_flat_rows(drop_null_rows(join_reference(exclude_dates(bars, instruments), instruments)))
+
+
+def _by_date(bars, options):
+    return Series(bars, "symbol", "date", **options)
+
+
+def _clip(series, first_date, last_date):
+    known = series.frame.columns
+    start, end = (
+        F.coalesce(F.col(own), F.lit(default)) if own in known else F.lit(default)
+        for own, default in (("start_date", first_date), ("end_date", last_date))
+    )
+    # On or after the first such bar: at least one such bar up to here.
+    moved = series.add(_moved=running_sum((F.col("open") != F.col("close")).cast("int")))
+    usable = (F.col("_moved") > 0) & (F.col("date") >= start) & (F.col("date") <= end)
+    return moved.where(usable).drop("_moved")
 
 
 def _returns(series):
@@ -80,28 +107,19 @@ def _returns(series):
     step = F.try_divide(F.col("adj_close"), F.col("_adj_before")) - 1
     simple = dated.with_columns({"intraday": intraday, "close_to_close": step})
     overnight = F.try_divide(1 + F.col("close_to_close"), 1 + F.col("intraday")) - 1
-    return simple.with_columns({"overnight": overnight})
-
+    return simple.with_columns({"overnight": overnight}).drop("_adj_before")
 
-def cumulative_returns(bars, **series_options):
-    """Cumulated intraday and overnight return by date.
 
-    Intraday returns count from the first bar and overnight returns from the
-    second; the first bar of each symbol is not part of the result.
-    """
-    returns = _returns(Series(bars, "symbol", "date", **series_options))
+def _cumulate(returns):
     cumulated = returns.add(
         _intraday=running_product(1 + F.col("intraday")), _overnight=running_product(1 + F.col("overnight"))
     )
-    return (
-        cumulated.rows()
-        .where(F.col("bar_no") > 0)
-        .select(
-            "symbol",
-            "date",
-            (F.col("_intraday") - 1).alias("cum_intraday"),
-            (F.col("_overnight") - 1).alias("cum_overnight"),
-        )
+    later = cumulated.rows().where(F.col("bar_no") > 0)
+    return later.select(
+        "symbol",
+        "date",
+        (F.col("_intraday") - 1).alias("cum_intraday"),
+        (F.col("_overnight") - 1).alias("cum_overnight"),
     )
 
 

@@ -24,8 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEGMENT_ROWS = 4_000_000
-MAX_CUTS = 16_384
+MAX_CUTS = 65_536
 SAMPLES_PER_CUT = 16
+# Up to this many rows per key are taken before the shuffle, by every task.
+TAKE_AHEAD = 100
+# Numbers that one row makes at a time.
+SEQUENCE_BLOCK = 65_536
 # The largest table that joins may copy to every executor.
 SMALL_ROWS = 100_000
 
@@ -193,6 +197,14 @@ class Series:
         cut = None if self.long_keys is None else self.long_keys.withColumns(columns)
         return self._with(frame, self.plain.withColumns(columns), cut)
 
+    def where(self, condition):
+        """Keep the rows that meet a condition; the cuts stay."""
+        return self._with(self.frame.where(condition))
+
+    def drop(self, *columns):
+        """Drop columns."""
+        return self._with(self.frame.drop(*columns))
+
     def rows(self):
         """The rows as a plain DataFrame."""
         return self.frame.drop(*HELPERS)
@@ -243,7 +255,7 @@ def take(series, count):
     if count == 0:
         return series.rows().limit(0)
     order = [F.col(c).asc() if count > 0 else F.col(c).desc() for c in series.order]
-    if abs(count) <= 1000:
+    if abs(count) <= TAKE_AHEAD:
         # A row_number limit this small is applied before the shuffle too, so a
         # long key sends only a few rows per task.
         rows = series.plain if series.fresh else series.frame
@@ -336,12 +348,16 @@ def sequence(frame, start, stop, incr=None, out="value"):
     direction = F.when(start > stop, F.lit(-1.0)).otherwise(F.lit(1.0))
     step = F.when(points, F.try_divide(stop - start, count - 1)).otherwise(size * direction)
     last = F.when(points, count - 1).otherwise(F.floor(F.abs(stop - start) / size))
-    steps = F.when((count >= 2) | ~points, F.sequence(F.lit(0).cast("long"), last.cast("long")))
+    # In blocks, so that a long range is never one array.
+    zero, block = F.lit(0).cast("long"), F.col("_block")
+    blocks = F.when((count >= 2) | ~points, F.sequence(zero, F.expr(f"_last div {SEQUENCE_BLOCK}")))
+    within = F.sequence(block * SEQUENCE_BLOCK, F.least((block + 1) * SEQUENCE_BLOCK - 1, F.col("_last")))
     return (
-        frame.withColumns({"_start": start, "_step": step})
-        .withColumn("n", F.explode(steps))
+        frame.withColumns({"_start": start, "_step": step, "_last": last.cast("long")})
+        .withColumn("_block", F.explode(blocks))
+        .withColumn("n", F.explode(within))
         .withColumn(out, F.col("_start") + F.col("n") * F.col("_step"))
-        .drop("_start", "_step")
+        .drop("_start", "_step", "_last", "_block")
     )
 
 

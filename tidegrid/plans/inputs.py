@@ -46,19 +46,18 @@ def user_values(spark, folder):
 
 
 def daily_bars(spark, folder):
-    """Daily prices per user, made of the events of each day."""
-    at = F.struct(*EVENT_ORDER)
+    """Daily prices per user, made of the events of each day, whose times differ."""
     events = table(spark, folder, "events").select(
         F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("symbol"),
         F.col("ts").cast("date").alias("date"),
-        *EVENT_ORDER,
+        "ts",
         (100 + F.col("value") / 100).alias("p"),
     )
     bars = events.groupBy("symbol", "date").agg(
-        F.min_by("p", at).alias("open"),
+        F.min_by("p", "ts").alias("open"),
         F.max("p").alias("high"),
         F.min("p").alias("low"),
-        F.max_by("p", at).alias("close"),
+        F.max_by("p", "ts").alias("close"),
         F.count(F.lit(1)).alias("volume"),
     )
     return bars.withColumn("adj_close", F.col("close")).select(

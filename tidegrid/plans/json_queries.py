@@ -63,6 +63,12 @@ def json_value(spark, folder):
     )
 
 
+@query("""SELECT o_orderkey AS doc_id, '0' AS first_id FROM orders WHERE o_orderkey % 100 = 1""")
+def json_first_value(spark, folder):
+    doubled = json_documents(spark, folder).where(J.has_duplicate_keys("raw"))
+    return doubled.select("doc_id", J.json_first_value("raw", ".id").alias("first_id"))
+
+
 KEYS = ".id number .customer object .customer.key number .customer.note null .tags array .tags.0 string .tags.1 string .large boolean"
 
 

@@ -16,9 +16,9 @@ from tidegrid.sources.requests import yahoo_request_urls as yahoo_urls
 FIRST, LAST = datetime.date(2024, 1, 2), datetime.date(2024, 1, 29)
 
 BARS = """
-  p AS (SELECT 'S' || user_id AS symbol, ts::DATE AS date, ts, event_id, 100 + value / 100 AS p FROM events),
-  bars AS (SELECT symbol, date, arg_min(p, (ts, event_id)) AS open, max(p) AS high, min(p) AS low,
-                  arg_max(p, (ts, event_id)) AS close, arg_max(p, (ts, event_id)) AS adj_close, count(*) AS volume
+  p AS (SELECT 'S' || user_id AS symbol, ts::DATE AS date, ts, 100 + value / 100 AS p FROM events),
+  bars AS (SELECT symbol, date, arg_min(p, ts) AS open, max(p) AS high, min(p) AS low,
+                  arg_max(p, ts) AS close, arg_max(p, ts) AS adj_close, count(*) AS volume
            FROM p GROUP BY symbol, date),
   gaps AS (SELECT * REPLACE (CASE WHEN (substr(symbol, 2)::BIGINT + day(date)) % 17 <> 0 THEN adj_close END AS adj_close)
            FROM bars),
@@ -46,11 +46,14 @@ BARS = """
 
 
 def _cleaned(spark, folder):
-    return R.clean_bars(bars_with_gaps(spark, folder), instruments(spark, folder), FIRST, LAST)
+    few = table(spark, folder, "events")
+    return R.clean_bars(bars_with_gaps(spark, folder), instruments(spark, folder), FIRST, LAST, bounded_by=few)
 
 
 def _cumulated(spark, folder):
-    return R.cumulative_returns(_cleaned(spark, folder), bounded_by=table(spark, folder, "events"))
+    few = table(spark, folder, "events")
+    bars = bars_with_gaps(spark, folder)
+    return R.returns_from_raw_bars(bars, instruments(spark, folder), FIRST, LAST, bounded_by=few)
 
 
 def _rounded(frame, *columns, digits=8):
@@ -74,11 +77,11 @@ def write_series(spark, folder):
 
 
 @query("""
-SELECT * FROM supplier WHERE s_suppkey % 10 <> 3
-UNION ALL SELECT s_suppkey, s_name || '*', s_nationkey, 0.0::DOUBLE FROM supplier WHERE s_suppkey % 10 = 3""")
+SELECT * FROM supplier WHERE s_acctbal >= 0
+UNION ALL SELECT s_suppkey, s_name || '*', s_nationkey, 0.0::DOUBLE FROM supplier WHERE s_acctbal < 0""")
 def patch_source(spark, folder):
     base = table(spark, folder, "supplier")
-    changed = base.where(F.col("s_suppkey") % 10 == 3).withColumns(
+    changed = base.where(F.col("s_acctbal") < 0).withColumns(
         {"s_name": F.concat("s_name", F.lit("*")), "s_acctbal": F.lit(0.0)}
     )
     return patch(base, changed, "s_suppkey")
@@ -126,7 +129,8 @@ def overnight_intraday_returns(spark, folder):
 @query(f"""WITH {BARS} SELECT symbol, date, round(cum_intraday, 8) + 0 AS cum_intraday,
 round(cum_overnight, 8) + 0 AS cum_overnight FROM cum""")
 def cumulative_returns(spark, folder):
-    return _rounded(_cumulated(spark, folder), "cum_intraday", "cum_overnight")
+    few = table(spark, folder, "events")
+    return _rounded(R.cumulative_returns(_cleaned(spark, folder), bounded_by=few), "cum_intraday", "cum_overnight")
 
 
 LABEL = """CASE WHEN {0} >= 2e4 THEN '+' || format('{{:,.0f}}', {0}) || '%' WHEN {0} < -99 THEN printf('%+.2f%%', {0})
