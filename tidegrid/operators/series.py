@@ -18,6 +18,7 @@ Any cut points give the same result; the sample only balances the work.
 from collections.abc import Callable
 from dataclasses import dataclass
 from math import ceil
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -50,6 +51,7 @@ class Running:
     carry: Callable
     combine: Callable
     backwards: bool = False
+    needs_first: bool = False
 
 
 def running_sum(value, exclusive=False):
@@ -83,6 +85,7 @@ def previous(value):
         total=lambda order: F.max_by(value, order),
         carry=lambda total, w: F.lag(total).over(w),
         combine=lambda local, carry, first: F.when(first, carry).otherwise(local),
+        needs_first=True,
     )
 
 
@@ -97,6 +100,13 @@ def position(from_end=False):
     )
 
 
+class Cuts(NamedTuple):
+    """The sorted cut points of each long key, and the most that one key has."""
+
+    table: DataFrame
+    most: int
+
+
 class Series:
     """Rows of `frame` as one series per `key`, in the total order `order`.
 
@@ -117,8 +127,9 @@ class Series:
         # `plain` has the rows before any shuffle and `long_keys` those of them
         # that were cut, so that totals are aggregated before they are shuffled.
         self.plain, self.long_keys, self.frame, self.fresh = frame, None, frame, True
+        cuts = self._cuts(frame, rows, segment_rows) if self.split else None
+        self.split = bool(cuts and cuts.most)
         if self.split:
-            cuts = self._cuts(frame, rows, segment_rows)
             self.long_keys = self._mark(frame, cuts, "inner")
             self.frame = self._mark(frame, cuts, "left").repartition(*self.key, SEGMENT)
 
@@ -131,25 +142,34 @@ class Series:
 
     def _cuts(self, frame, rows, segment_rows):
         step = max(ceil(segment_rows / SAMPLES_PER_CUT), ceil(rows / (MAX_CUTS * SAMPLES_PER_CUT)))
-        at = F.struct(*self.order)
+        here = F.struct(*self.order)
         # The sample places cut points only; every row stays in the result.
-        sample = frame.select(*self.key, at.alias("at")).sample(fraction=1 / step, seed=11)
-        numbered = sample.withColumn("n", F.row_number().over(Window.partitionBy(*self.key).orderBy("at")))
+        sample = frame.select(*self.key, here.alias("_here")).sample(fraction=1 / step, seed=11)
+        numbered = sample.withColumn("_n", F.row_number().over(Window.partitionBy(*self.key).orderBy("_here")))
         cuts = (
-            numbered.where(F.col("n") % SAMPLES_PER_CUT == 0)
+            numbered.where(F.col("_n") % SAMPLES_PER_CUT == 0)
             .groupBy(*self.key)
-            .agg(F.collect_list("at").alias("_cuts"))
+            .agg(F.collect_list("_here").alias("_points"))
         )
         # Collected so that every later pass over the data sees the same cuts.
-        fixed = frame.sparkSession.createDataFrame(cuts.toArrow(), cuts.schema)
-        return fixed.select(*[F.col(k).alias(f"_cut_{k}") for k in self.key], F.array_sort("_cuts").alias("_cuts"))
+        held = cuts.toArrow()
+        fixed = frame.sparkSession.createDataFrame(held, cuts.schema)
+        named = fixed.select(*[F.col(k).alias(f"_cut_{k}") for k in self.key], F.array_sort("_points").alias("_points"))
+        return Cuts(named, max((len(c) for c in held["_points"]), default=0))
 
     def _mark(self, frame, cuts, how):
+        """Number the segment of each row: how many cuts of its key are not above it."""
         same_key = [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in self.key]
         # At most MAX_CUTS cut points in all.
-        joined = frame.join(F.broadcast(cuts), same_key, how)
-        segment = F.when(F.col("_cuts").isNotNull(), _count_not_above(F.col("_cuts"), F.struct(*self.order)))
-        return joined.withColumn(SEGMENT, segment).drop("_cuts", *[f"_cut_{k}" for k in self.key])
+        joined = frame.join(F.broadcast(cuts.table), same_key, how).withColumns(
+            {"_here": F.struct(*self.order), SEGMENT: F.when(F.col("_points").isNotNull(), 0)}
+        )
+        # Bisection, one compiled projection per step.
+        low = F.col(SEGMENT)
+        for step in reversed([1 << i for i in range(cuts.most.bit_length())]):
+            above = F.get("_points", low + (step - 1)) <= F.col("_here")
+            joined = joined.withColumn(SEGMENT, F.when(above, low + step).otherwise(low))
+        return joined.drop("_here", "_points", *[f"_cut_{k}" for k in self.key])
 
     def window(self, backwards=False):
         """The window of one segment; the whole key where nothing was cut."""
@@ -158,7 +178,6 @@ class Series:
 
     def add(self, **running):
         """Add running values; all of them share one sort and one pass of totals."""
-        window = self.window()
         order = F.struct(*self.order)
         local = {name: r.local(self.window(r.backwards), order) for name, r in running.items()}
         if not self.split:
@@ -175,8 +194,9 @@ class Series:
             *[F.col(k).alias(f"_to_{k}") for k in [*self.key, SEGMENT]],
             *[r.carry(F.col(f"_carry_{name}"), before[r.backwards]).alias(f"_carry_{name}") for name, r in running.items()],
         )
-        first = F.row_number().over(window) == 1
-        numbered = self.frame.withColumns({**{f"_local_{n}": c for n, c in local.items()}, "_first": first})
+        numbered = self.frame.withColumns({f"_local_{n}": c for n, c in local.items()})
+        if any(r.needs_first for r in running.values()):
+            numbered = numbered.withColumn("_first", F.row_number().over(self.window()) == 1)
         same = [F.col(k).eqNullSafe(F.col(f"_to_{k}")) for k in [*self.key, SEGMENT]]
         joined = numbered.join(F.broadcast(carries), same, "left")
         combined = joined.withColumns(
@@ -382,16 +402,6 @@ def join_on_key(frame, per_key, key):
     return frame.join(renamed, same, "left").drop(*[f"_on_{k}" for k in key])
 
 
-def _count_not_above(cuts, at):
-    """How many of the sorted cuts are not above `at`, by bisection."""
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MAX_CUTS.bit_length() + 1))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda low, s: F.when((low + s <= F.size(cuts)) & (F.get(cuts, low + s - 1) <= at), low + s).otherwise(low),
-    )
-
-
 def _names(names):
     return [names] if isinstance(names, str) else list(names)
 
