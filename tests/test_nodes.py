@@ -50,6 +50,7 @@ def test_content_and_lists(xml):
     assert content["/a"] == "t1t2 <z>" and content["/a/b[1]"] == "t1t2" and content["/a/b[1]/c"] == ""
     assert content["/a/comment()"] == "c"
     listed = {r.path: r.node_list for r in N.node_list(xml).collect()}
+    assert {r.path for r in N.node_list(xml, F.col("name") == "c").collect()} == {"/a/b[1]/c"}
     assert listed["/a/b[1]/text()[1]"] == "t1t2" and listed["/a/b[1]/c"] == "t2" and listed["/a/b[2]"] == ""
 
 
@@ -76,7 +77,7 @@ def test_steps(xml):
         ("/a/b[1]", "/a/b[1]/c"),
     ]
     siblings = N.node_siblings(xml, xml.where("path = '/a/b[1]'")).collect()
-    assert sorted(names[r.sibling_id] for r in siblings) == ["/a/b[1]", "/a/b[2]"]
+    assert sorted((names[r.parent_id], names[r.sibling_id]) for r in siblings) == [("/a", "/a/b[1]"), ("/a", "/a/b[2]")]
     assert paths(N.node_root(xml)) == ["/a"]
     assert sorted((r.key, r.value) for r in N.node_attributes(xml).collect()) == [("x", "1"), ("x", "1"), ("y", "2")]
     assert {r.type: r.nodes for r in N.node_type_profile(xml).collect()}["ELEMENT"] == 4

@@ -48,7 +48,7 @@ def document_text(nodes):
     """The whole text of each document."""
     doc = _document(nodes)
     texts = nodes.where(F.col("type").isin(TEXTS)).groupBy(doc).agg(
-        F.array_sort(F.collect_list(F.struct("node_id", "content"))).alias("_texts")
+        F.sort_array(F.collect_list(F.struct("node_id", "content"))).alias("_texts")
     )
     return texts.select(doc, F.array_join(F.transform("_texts", lambda t: t["content"]), "").alias("text"))
 
@@ -67,11 +67,27 @@ def node_content(nodes, picked=None, out="node_content"):
     return whole.withColumn(out, F.when(F.col("type") == "ELEMENT", inner).otherwise(F.col("content"))).drop("text")
 
 
-def node_list(nodes, out="node_list"):
-    """Add the text of each node's text siblings from itself on."""
-    following = _siblings(nodes).rowsBetween(0, Window.unboundedFollowing)
-    texts = F.collect_list(F.when(F.col("type").isin(TEXTS), F.col("content"))).over(following)
-    return nodes.withColumn(out, F.array_join(texts, ""))
+def node_list(nodes, wanted=None, out="node_list"):
+    """The text of each node's text siblings from itself on, for all nodes or those `wanted`.
+
+    It is the end of the text that the children of one parent have together, so
+    no node meets its siblings.
+    """
+    doc = _document(nodes)
+    text = F.col("type").isin(TEXTS)
+    earlier = _siblings(nodes).rowsBetween(Window.unboundedPreceding, -1)
+    skipped = F.sum(F.when(text, F.length("content"))).over(earlier)
+    placed = nodes.withColumns({"_skip": F.coalesce(skipped, F.lit(0)), "_parent": F.coalesce("parent_id", F.lit(-1))})
+    picked = placed if wanted is None else placed.where(wanted)
+    own = (
+        nodes.where(text)
+        .groupBy(doc, F.coalesce("parent_id", F.lit(-1)).alias("_parent"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "content"))).alias("_texts"))
+        .select(doc, "_parent", F.array_join(F.transform("_texts", lambda t: t["content"]), "").alias("_own"))
+    )
+    rest = F.substr("_own", (F.col("_skip") + 1).cast("int"))
+    listed = picked.join(own, [doc, "_parent"], "left").withColumn(out, F.coalesce(rest, F.lit("")))
+    return listed.drop("_skip", "_parent", "_own")
 
 
 def node_children(nodes):
@@ -84,22 +100,26 @@ def node_children(nodes):
 
 
 def node_siblings(nodes, picked):
-    """For each picked node all element children of its parent, itself included."""
+    """All element children of the parents of the picked nodes, in order.
+
+    Nodes with one parent have the same siblings, themselves included, so these
+    come once per `parent_id`.
+    """
     doc = _document(nodes)
-    wanted = picked.where(F.col("parent_id").isNotNull()).select(
-        doc, "parent_id", F.col("node_id").alias("of_node_id")
-    )
+    parents = picked.where(F.col("parent_id").isNotNull()).select(doc, "parent_id")
     elements = nodes.where(F.col("type") == "ELEMENT").select(
         doc, "parent_id", F.col("node_id").alias("sibling_id"), "name", "element_no"
     )
-    return wanted.join(elements, [doc, "parent_id"])
+    return elements.join(parents, [doc, "parent_id"], "left_semi")
 
 
 def node_next(nodes, node_type=None, out="next_id"):
     """Add the number of the next sibling, of a type or of any."""
     if node_type is None:
         return nodes.withColumn(out, F.lead("node_id").over(_siblings(nodes)))
-    later = _siblings(nodes).rowsBetween(1, Window.unboundedFollowing)
+    # From the last sibling back, so that the frame only ever grows.
+    backwards = Window.partitionBy(_document(nodes), "parent_id").orderBy(F.col("pos").desc())
+    later = backwards.rowsBetween(Window.unboundedPreceding, -1)
     wanted = F.when(F.col("type") == node_type, F.col("node_id"))
     return nodes.withColumn(out, F.min(wanted).over(later))
 

@@ -154,7 +154,7 @@ class Series:
         # Collected so that every later pass over the data sees the same cuts.
         held = cuts.toArrow()
         fixed = frame.sparkSession.createDataFrame(held, cuts.schema)
-        named = fixed.select(*[F.col(k).alias(f"_cut_{k}") for k in self.key], F.array_sort("_points").alias("_points"))
+        named = fixed.select(*[F.col(k).alias(f"_cut_{k}") for k in self.key], F.sort_array("_points").alias("_points"))
         return Cuts(named, max((len(c) for c in held["_points"]), default=0))
 
     def _mark(self, frame, cuts, how):

@@ -15,16 +15,16 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(frame, rows=1_000_000):
+def spread(frame, key, rows=1_000_000):
     """A small table in few files, over all cores; larger ones have splits enough."""
     if frame.count() > rows:
         return frame
-    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism)
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def page_nodes(spark, folder, columns=None, stored=False):
     """The node table of all pages; `stored` for queries that read it more than once."""
-    nodes = parse_html(spread(table(spark, folder, "pages").select("page_id", "html")), "page_id", "html", columns=columns)
+    nodes = parse_html(spread(table(spark, folder, "pages").select("page_id", "html"), "page_id"), "page_id", "html", columns=columns)
     return store(nodes, "nodes") if stored else nodes
 
 
@@ -104,7 +104,7 @@ def csv_blobs(spark, folder):
     row = F.when(F.col("p_partkey") % 10 == 4, F.concat_ws(",", key, "p_name")).otherwise(row)
     # Ten consecutive keys per text, so the groups are short.
     texts = part.groupBy(F.expr("p_partkey div 10").alias("doc_id")).agg(
-        F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("row")))).alias("rows")
+        F.sort_array(F.collect_list(F.struct("p_partkey", row.alias("row")))).alias("rows")
     )
     return texts.select(
         "doc_id", F.concat(F.lit(BOM), F.array_join(F.transform("rows", lambda r: r["row"]), "\n")).alias("body")
@@ -118,7 +118,7 @@ def timeseries_blobs(spark, folder):
         ",", F.date_format("ts", "yyyy-MM-dd"), F.col("event_id").cast("string"), F.col("value").cast("string")
     )
     texts = events.groupBy(F.expr("event_id div 100").alias("doc_id")).agg(
-        F.array_sort(F.collect_list(F.struct("event_id", row.alias("row")))).alias("rows")
+        F.sort_array(F.collect_list(F.struct("event_id", row.alias("row")))).alias("rows")
     )
     lines = F.concat(F.array(F.lit("Date,Id,Value")), F.transform("rows", lambda r: r["row"]))
     return texts.select("doc_id", F.array_join(lines, "\n").alias("body"))
@@ -126,7 +126,7 @@ def timeseries_blobs(spark, folder):
 
 def json_documents(spark, folder):
     """Orders as nested JSON text; every hundredth is cut short or repeats a key."""
-    o = spread(table(spark, folder, "orders"))
+    o = spread(table(spark, folder, "orders"), "o_orderkey")
     whole = F.to_json(
         F.struct(
             F.col("o_orderkey").alias("id"),
@@ -147,7 +147,7 @@ def json_documents(spark, folder):
 
 def xml_documents(spark, folder):
     """Orders as XML text."""
-    o = spread(table(spark, folder, "orders"))
+    o = spread(table(spark, folder, "orders"), "o_orderkey")
     body = F.concat(
         F.lit('<?xml version="1.0"?>\n<order id="'),
         F.col("o_orderkey").cast("string"),

@@ -55,7 +55,7 @@ SELECT event_id, (json_extract(props, '$.k'))::BIGINT AS k, (json_extract(props,
 FROM events""")
 def json_value(spark, folder):
     v = F.try_parse_json("props")
-    return spread(table(spark, folder, "events")).select(
+    return spread(table(spark, folder, "events"), "event_id").select(
         "event_id",
         J.json_value(v, ".k", "long").alias("k"),
         J.json_value(v, ".K", "long", ignore_case=True).alias("any_case"),
@@ -93,7 +93,7 @@ def json_keys_pattern(spark, folder):
 SELECT '.' || key AS path, CASE json_type(props, '$.' || key) WHEN 'VARCHAR' THEN 'string' ELSE 'number' END AS type,
   count(*) AS documents FROM (SELECT props, unnest(json_keys(props)) AS key FROM events) GROUP BY ALL""")
 def json_key_inventory(spark, folder):
-    return J.json_key_inventory(spread(table(spark, folder, "events")), "props")
+    return J.json_key_inventory(spread(table(spark, folder, "events"), "event_id"), "props")
 
 
 @query(f"""

@@ -86,8 +86,9 @@ def node_content(spark, folder):
 SELECT o_orderkey AS doc_id, unnest(['customer', 'price', 'tag', 'tag']) AS name,
   unnest([chr(10) || '  ', chr(10) || '  ', chr(10) || '  ', '']) AS text FROM orders WHERE o_orderkey % 100 <> 0""")
 def node_list(spark, folder):
-    nodes = M.parse_xml(xml_documents(spark, folder), "doc_id", "raw")
-    listed = N.node_list(nodes, "text").where((F.col("type") == "ELEMENT") & (F.col("depth") == 1))
+    columns = ["node_id", "parent_id", "depth", "pos", "type", "name", "content"]
+    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=columns), "nodes")
+    listed = N.node_list(nodes, (F.col("type") == "ELEMENT") & (F.col("depth") == 1), "text")
     return listed.select("doc_id", "name", "text")
 
 
@@ -170,7 +171,7 @@ def xpath_predicates(spark, folder):
 SELECT o_orderkey AS doc_id, o_orderkey::VARCHAR AS id, o_orderstatus AS status, o_custkey::VARCHAR AS customer,
   '<' || o_totalprice || '>' AS price, 'a & b' AS tag FROM orders WHERE o_orderkey % 100 <> 0""")
 def parse_xml(spark, folder):
-    nodes = M.parse_xml(xml_documents(spark, folder), "doc_id", "raw")
+    nodes = M.parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=["path", "content", "attrs"])
     at = F.col("path")
     text = {p: F.max(F.when(at == f"/order/{p}/text()", F.col("content"))) for p in ("customer", "price", "tag[1]")}
     root = F.when(at == "/order", F.col("attrs"))
@@ -198,7 +199,7 @@ def xpath_query_xml(spark, folder):
 SELECT name, count(*) AS nodes FROM t GROUP BY name""")
 def register_node_functions(spark, folder):
     register_functions(spark)
-    spread(table(spark, folder, "pages")).createOrReplaceTempView("saved_pages")
+    spread(table(spark, folder, "pages"), "page_id").createOrReplaceTempView("saved_pages")
     return spark.sql("""
         SELECT n.name, count(*) AS nodes FROM saved_pages, LATERAL parse_html(html) n
         WHERE n.type = 'ELEMENT' GROUP BY n.name""")

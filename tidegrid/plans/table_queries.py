@@ -9,11 +9,11 @@ from tidegrid.sources import csvtext as C
 
 
 def _texts(spark, folder, name, *columns):
-    return spread(table(spark, folder, name)).select(*[F.col(c).cast("string").alias(c) for c in columns])
+    return spread(table(spark, folder, name), columns[0]).select(*[F.col(c).cast("string").alias(c) for c in columns])
 
 
 def _cells(spark, folder):
-    items = spread(table(spark, folder, "lineitem"))
+    items = spread(table(spark, folder, "lineitem"), "l_orderkey")
     text = {c: F.col(c).cast("string") for c in ("l_quantity", "l_extendedprice", "l_shipdate")}
     odd = F.col("l_orderkey") % 10 == 0
     return items.select(

@@ -126,8 +126,8 @@ class _Tree:
         else:
             self.add(kind, "#text" if kind == "TEXT" else "#cdata", data)
 
-    def rows(self):
-        """The nodes with their places among siblings and their paths."""
+    def rows(self, paths=True):
+        """The nodes with their places among siblings and, where wanted, their paths."""
         while self.stack:
             self.close()
         if not self.keep_blanks:
@@ -135,16 +135,15 @@ class _Tree:
         named, children, elements = {}, {}, {}
         for node in self.nodes:
             parent = node["parent_id"]
-            step = _step(node)
+            node["step"] = step = _step(node)
             node["pos"] = children[parent] = children.get(parent, -1) + 1
             node["nth"] = named[parent, step] = named.get((parent, step), 0) + 1
             if node["type"] == "ELEMENT":
                 elements[parent] = elements.get(parent, 0) + 1
             node["element_no"] = elements.get(parent) if node["type"] == "ELEMENT" else None
-        for node in self.nodes:
-            parent = node["parent_id"]
+        for node in self.nodes if paths else ():
+            parent, step = node["parent_id"], node["step"]
             above = "" if parent is None else self.nodes[parent]["path"]
-            step = _step(node)
             index = f"[{node['nth']}]" if named[parent, step] > 1 else ""
             node["path"] = f"{above}/{step}{index}"
         return self.nodes
@@ -275,7 +274,7 @@ def _html_nodes(text, options):
     reader = _HtmlReader(tree, not options.get("noimplied"))
     reader.feed(text.removeprefix("\ufeff"))
     reader.close()
-    return tree.rows(), None
+    return tree.rows(options.get("paths", True)), None
 
 
 def _xml_nodes(text, options):
@@ -315,7 +314,7 @@ def _xml_nodes(text, options):
         error = str(failure)
     if error and not options.get("recover"):
         return [], error
-    return tree.rows(), error
+    return tree.rows(options.get("paths", True)), error
 
 
 def _id_arrow(frame, doc_id):
@@ -330,6 +329,7 @@ def _parse(frame, doc_id, body, read, options, columns):
     documents = frame.select(doc_id, body).where(f"`{body}` IS NOT NULL")
     id_type = _id_arrow(frame, doc_id)
     fields = [f for f in NODE_FIELDS if columns is None or f[0] in columns]
+    options = {**options, "paths": columns is None or "path" in columns}
     schema = T.StructType([frame.schema[doc_id], *[T.StructField(n, t) for n, t, _ in fields]])
     arrow = pa.schema([(doc_id, id_type), *[(n, t) for n, _, t in fields]])
 
