@@ -87,6 +87,7 @@ def test_scan(case):
     grown = series.with_columns({"g": 1 + F.col("x") / 1000})
     close(by_b(S.scan(grown, "g", "*"), "scan"), products)
     close(by_b(S.cumprod(grown, ["g"]), "g_cumprod"), products)
+    assert {"g_cumprod", "x_cumprod"} == {c for c in S.cumprod(grown).columns if c.endswith("_cumprod")}
 
 
 def test_diff_of_scan_is_the_series(case):
@@ -136,6 +137,8 @@ def test_gather(case):
     found = S.gather(series, positions, ["b"]).collect()
     assert sorted((r.out_pos, r.b) for r in found) == want
     assert S.gather(series, None, ["b"]).count() == sum(map(len, groups))
+    named = [c for c in series.rows().columns]
+    assert S.gather(series, [0], [named.index("b")]).columns[-1] == "b"
 
 
 def test_reshape(case):

@@ -177,7 +177,9 @@ def test_sql_functions(spark):
           match_wildcard('a.B*', 'A.?~*') AS m, match_wildcard('aXB*', 'A.?~*') AS n, json_type(parse_json('[1]')) AS t,
           json_quote('a"') AS q, format_headers(map('a', '1')) AS h, query_header(map('Ab', '1'), 'aB') AS v,
           mktime(timestamp_ntz'2021-01-01', 'America/New_York') AS s, localtime_of(0, 'UTC') AS z,
-          ntp_to_timestamp(2208988801, 2147483648) AS w, json_path_join(json_path_split('.a.0')) AS p""").first()
+          ntp_to_timestamp(2208988801, 2147483648) AS w, json_path_join(json_path_split('.a.0')) AS p,
+          timestamp_to_ntp(timestamp'2021-01-01 00:00:00.25').fraction AS f, format_return(0.25D) AS r""").first()
+    assert (one.f, one.r) == (1 << 30, "+0.2%")
     assert tuple(one.c) == ("http", "h", 8080, "u", "p", "/a", "?b") and one.bad is None and one.u == "https://h/x"
     assert (one.m, one.n, one.t, one.q, one.h, one.v) == (True, False, "array", '"a\\""', "a: 1\r\n\r\n", "1")
     assert (one.s, one.z, one.p) == (1609477200, datetime.datetime(1970, 1, 1), ".a.0")

@@ -4,6 +4,7 @@ from pyspark.sql.functions import udtf
 
 from tidegrid.functions.clock import EPOCH, NTP_OFFSET
 from tidegrid.functions.url import DEFAULT_PORTS, SCHEME_CLASSES, URL_PATTERN
+from tidegrid.operators.returns import format_return
 from tidegrid.sources.markup import NODE_FIELDS, _html_nodes, _xml_nodes
 
 PARTS = "struct<scheme string, host string, port int, user string, pass string, path string, extra string>"
@@ -86,6 +87,12 @@ def _functions():
             "timestamp",
             f"timestamp_micros((seconds - {NTP_OFFSET}) * 1000000 + cast(round(fraction / 4294967296.0D * 1000000) AS bigint))",
         ),
+        (
+            "timestamp_to_ntp(moment timestamp)",
+            "struct<seconds bigint, fraction bigint>",
+            f"named_struct('seconds', cast(floor(unix_micros(moment) / 1000000) AS bigint) + {NTP_OFFSET}, 'fraction', "
+            "cast(round(pmod(unix_micros(moment), 1000000) / 1000000D * 4294967296D) AS bigint))",
+        ),
         ("match_wildcard(text string, pattern string)", "boolean", _wildcard()),
         (
             "json_type(value variant)",
@@ -140,4 +147,5 @@ def register_functions(spark):
             CASE WHEN endswith(text, '\\n') THEN substring(text, 1, length(text) - 1) ELSE text END, '\\n')) AS (n, t)""")
     spark.udtf.register("parse_html", udtf(_HtmlNodes, returnType=_RETURNS))
     spark.udtf.register("parse_xml", udtf(_XmlNodes, returnType=_RETURNS))
-    return [*names, "split_lines", "parse_html", "parse_xml"]
+    spark.udf.register("format_return", format_return)
+    return [*names, "split_lines", "parse_html", "parse_xml", "format_return"]

@@ -17,6 +17,8 @@ def view_slice(text, offset=0, count=None):
             kept = F.length(text) - F.length(F.substring_index(text, count, -1)) - len(count)
             return F.when(text.contains(count), F.substr(text, F.lit(1), kept)).otherwise(text)
         return F.substring_index(F.substr(text, F.lit(offset + 1)), count, 1)
+    if offset < 0:
+        raise ValueError("a negative offset needs a text to end at")
     if count is None:
         return F.substr(text, F.lit(offset + 1))
     return F.substr(text, F.lit(offset + 1), F.lit(max(count, 0)))

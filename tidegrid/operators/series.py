@@ -23,6 +23,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SEGMENT_ROWS = 4_000_000
 MAX_CUTS = 65_536
@@ -251,8 +252,11 @@ def scan(series, value, op="+", out="scan"):
     return series.add(**{out: running_sum(value) if op == "+" else running_product(value)}).rows()
 
 
-def cumprod(series, values, suffix="_cumprod"):
-    """Running product of each of the given columns."""
+def cumprod(series, values=None, suffix="_cumprod"):
+    """Running product of each of the given columns, or of every number beside key and order."""
+    if values is None:
+        numbers = [f.name for f in series.rows().schema if isinstance(f.dataType, T.NumericType)]
+        values = [c for c in numbers if c not in (*series.key, *series.order)]
     return series.add(**{f"{v}{suffix}": running_product(v) for v in values}).rows()
 
 
@@ -298,7 +302,11 @@ def gather(series, positions, columns=None, out="out_pos"):
     """The rows at 0-based `positions` of each series, in the given order.
 
     Positions may repeat; one beyond the end gives no row. None means all rows.
+    `columns` are names or 0-based numbers, None means all.
     """
+    if columns is not None:
+        names = series.rows().columns
+        columns = [names[c] if isinstance(c, int) else c for c in columns]
     numbered = series.add(_at=position()).rows()
     if positions is None:
         picked = numbered.withColumnRenamed("_at", out)
