@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from tidegrid.llm import bpe, exact, simhash
+from tidegrid.llm import bpe, exact, langid, simhash
 from tidegrid.llm.support import bound_batches
 
 QUERIES = {}
@@ -54,3 +54,8 @@ def op2_exact_dedup(spark, folder):
 @query()
 def op8_simhash(spark, folder):
     return simhash.groups(table(spark, folder, "documents"), words=3, lanes=1, segment=32, distance=3)
+
+
+@query()
+def op9_language(spark, folder):
+    return langid.identify(table(spark, folder, "documents"), per_language=300, steps=160)
