@@ -1,8 +1,9 @@
 """The registered queries of this subpackage, over whole tables, and their SQL twins."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from tidegrid.llm import bpe, exact, langid, simhash
+from tidegrid.llm import ann, bpe, exact, langid, mixing, pii, simhash, suffix
 from tidegrid.llm.support import bound_batches
 
 QUERIES = {}
@@ -59,3 +60,19 @@ def op8_simhash(spark, folder):
 @query()
 def op9_language(spark, folder):
     return langid.identify(table(spark, folder, "documents"), per_language=300, steps=160)
+
+
+@query()
+def op5_personal_data(spark, folder):
+    found = pii.detect(table(spark, folder, "documents"), documents=2000, forms=600)
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query()
+def op7_nearest(spark, folder):
+    return ann.search(table(spark, folder, "embeddings"), lambda id: id % 20 == 0, k=20)
+
+
+@query()
+def op10_suffix_array(spark, folder):
+    return suffix.remove_repeats(table(spark, folder, "documents"), length=50, digest=True)
