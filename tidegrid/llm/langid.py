@@ -23,9 +23,14 @@ def held_out(id):
 def sample(frame, id, text, lang, per_language):
     """Slices of at most `per_language` labelled texts of each language, the same on every run."""
     key = F.xxhash64(F.lit("language"), F.col(id))
-    rows = frame.filter(~held_out(id) & F.col(lang).isNotNull() & (F.length(text) > 0)).select(
-        F.col(lang).alias("lang"), F.col(id).alias("id"), key.alias("key"), F.col(text).alias("text")
-    )
+    rows = frame.filter(~held_out(id) & F.col(lang).isNotNull() & (F.length(text) > 0))
+    # A share of each language that surely holds enough, so that few rows are put in order.
+    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
+    if not counts:
+        return []
+    total = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col(lang)]
+    rows = rows.select(F.col(lang).alias("lang"), F.col(id).alias("id"), key.alias("key"), F.col(text).alias("text"), total.alias("total"))
+    rows = rows.filter(F.pmod("key", "total") < 4 * per_language)
     begin = (F.pmod(F.col("key"), F.greatest(F.length("text") - SLICE, F.lit(0)) + 1) + 1).cast("int")
     rows = rows.select("lang", "id", "key", F.col("text").substr(begin, F.lit(SLICE)).alias("text"))
     order = Window.partitionBy("lang").orderBy("key", "id", "text")

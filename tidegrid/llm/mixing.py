@@ -24,7 +24,8 @@ def _fill(children, parents, keys, level):
     by weight; the others divide what is left by weight, to the last token.
     """
     above = keys[:level]
-    joined = children.join(parents, above) if above else children.crossJoin(F.broadcast(parents))
+    root = F.lit(0)
+    joined = children.withColumn("root", root).join(parents.withColumn("root", root), ["root", *above]).drop("root")
     ratio = F.when(F.col("weight") > 0, F.col("capacity").cast("double") / F.col("weight")).otherwise(F.lit(float("inf")))
     order = Window.partitionBy(*above).orderBy("ratio", keys[level])
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -157,3 +158,47 @@ def production():
     weigh = lambda column, table: F.coalesce(F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[F.col(column)], F.lit(1))
     keys = {"domain": domain, "language": F.col("lang"), "origin": F.col("source")}
     return keys, {"domain": weigh("domain", DOMAINS), "language": weigh("language", LANGUAGES), "origin": F.lit(1)}
+
+
+def production_sql(fraction=(3, 4), epochs=2, seed=17):
+    """The production mixture as one SQL statement."""
+    case = lambda column, table: f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in table.items()) + " ELSE 1 END"
+    names = ["domain", "language", "origin"]
+    weights = [case("domain", DOMAINS), case("language", LANGUAGES), "1"]
+    parts = [
+        """d0 AS (SELECT doc_id, lang, source, text, coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER), 0) % 10 AS number
+        FROM documents),
+        d AS (SELECT doc_id, CASE WHEN number < 5 THEN 'web' WHEN number < 8 THEN 'books' ELSE 'code' END AS domain,
+        coalesce(lang, '(null)') AS language, coalesce(source, '(null)') AS origin,
+        len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\v\\f\\r]+'))::HUGEINT AS n_tokens FROM d0),
+        leaf AS (SELECT domain, language, origin, sum(n_tokens)::HUGEINT AS available FROM d GROUP BY ALL)""",
+        f"b AS (SELECT coalesce(sum(available) * {fraction[0]} // {fraction[1]}, 0)::HUGEINT AS budget FROM leaf)",
+    ]
+    parent = "b"
+    for level, name in enumerate(names):
+        keys, above = ", ".join(names[: level + 1]), names[:level]
+        join = f"JOIN {parent} p USING ({', '.join(above)})" if above else f"CROSS JOIN {parent} p"
+        by = f"PARTITION BY {', '.join(above)} " if above else ""
+        order = f"{by}ORDER BY ratio, {name} ROWS BETWEEN"
+        parts.append(f"""c{level} AS (SELECT {keys}, sum(available)::HUGEINT * {epochs} AS capacity, ({weights[level]})::HUGEINT AS weight FROM leaf GROUP BY {keys}),
+        q{level} AS (SELECT c.*, p.budget, CASE WHEN weight > 0 THEN capacity::DOUBLE / weight ELSE 'inf'::DOUBLE END AS ratio FROM c{level} c {join}),
+        r{level} AS (SELECT *, coalesce(sum(capacity) OVER ({order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS used,
+          sum(weight) OVER ({order} CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS open FROM q{level}),
+        f{level} AS (SELECT *, bool_and(capacity * open <= weight * greatest(budget - used, 0))
+          OVER ({order} UNBOUNDED PRECEDING AND CURRENT ROW) AND weight > 0 AS "full" FROM r{level}),
+        s{level} AS (SELECT *, greatest(budget - coalesce(sum(CASE WHEN "full" THEN capacity END) OVER ({by}), 0), 0)::HUGEINT AS rest,
+          coalesce(sum(CASE WHEN NOT "full" THEN weight END) OVER ({order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS low,
+          coalesce(sum(CASE WHEN NOT "full" THEN weight END) OVER ({order} UNBOUNDED PRECEDING AND CURRENT ROW), 0)::HUGEINT AS high,
+          sum(CASE WHEN NOT "full" THEN weight END) OVER ({by})::HUGEINT AS everything FROM f{level}),
+        b{level} AS (SELECT {keys}, CASE WHEN "full" THEN capacity
+          ELSE coalesce(rest * high // greatest(everything, 1) - rest * low // greatest(everything, 1), 0) END::HUGEINT AS budget FROM s{level})""")
+        parent = f"b{level}"
+    parts.append(f"""e AS (SELECT d.*, budget, CASE WHEN available > 0 THEN budget // available ELSE 0 END AS epochs, available
+        FROM d JOIN {parent} USING (domain, language, origin) JOIN leaf USING (domain, language, origin)),
+        o AS (SELECT *, budget - epochs * available AS rest, sha256(concat_ws(':', '{seed}', epochs::VARCHAR, doc_id::VARCHAR)) AS place FROM e),
+        u AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, language, origin ORDER BY place, doc_id, n_tokens
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::HUGEINT AS upto FROM o),
+        t AS (SELECT *, least(n_tokens, greatest(0, rest - (upto - n_tokens))) AS taken FROM u)""")
+    return f"""WITH {", ".join(parts)}
+    SELECT doc_id, domain, language, origin, n_tokens::BIGINT AS n_tokens, budget::BIGINT AS leaf_budget, epochs::BIGINT AS epochs,
+    taken::BIGINT AS taken, epochs > 0 OR taken > 0 AS selected FROM t"""

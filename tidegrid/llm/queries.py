@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegrid.llm import ann, bpe, exact, langid, mixing, pii, simhash, suffix
+from tidegrid.llm import ann, bpe, exact, langid, mixing, pii, simhash, spans, suffix, toxicity
 from tidegrid.llm.support import bound_batches
 
 QUERIES = {}
@@ -62,12 +62,33 @@ def op9_language(spark, folder):
     return langid.identify(table(spark, folder, "documents"), per_language=300, steps=160)
 
 
+_MIX = mixing.production_sql()
+
+
+@query(_MIX)
+def op3_mixing(spark, folder):
+    keys, weights = mixing.production()
+    mixed = mixing.mix(table(spark, folder, "documents"), keys, weights, fraction=(3, 4), epochs=2, seed=17)
+    return mixed.select("doc_id", "domain", "language", "origin", "n_tokens", "leaf_budget", "epochs", "taken", "selected")
+
+
+@query()
+def op4_sentence_spans(spark, folder):
+    return spans.remove_repeats(table(spark, folder, "documents"), run=3, words=12, digest=True)
+
+
 @query()
 def op5_personal_data(spark, folder):
     found = pii.detect(table(spark, folder, "documents"), documents=2000, forms=600)
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+@query()
+def op6_toxicity(spark, folder):
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.score(documents, toxicity.train(documents, labels, most_toxic=1500, most_ordinary=4000))
+
+
 @query()
 def op7_nearest(spark, folder):
     return ann.search(table(spark, folder, "embeddings"), lambda id: id % 20 == 0, k=20)
