@@ -252,9 +252,10 @@ def _cut(values, sizes):
 
 ENCODED = "id long, n_tokens long, ids binary"
 DIGESTS = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+BOTH = DIGESTS + ", ids binary"
 
 
-def _encode(ranks_file, pattern, digests):
+def _encode(ranks_file, pattern, schema):
     def run(batches):
         tables = merges(ranks_file, pattern)
         corpus = Corpus(tables)
@@ -263,14 +264,14 @@ def _encode(ranks_file, pattern, digests):
                 ids, sizes = corpus.encode(texts)
                 keys = rows.column(0).slice(begin, len(texts))
                 runs = _cut(ids.astype("<u4"), sizes)
-                if not digests:
+                if schema == ENCODED:
                     yield batch(ENCODED, keys, sizes, [bytes(r) for r in runs])
                     continue
                 lengths = np.append(0, np.cumsum(tables.sizes[ids]))
                 ends = np.cumsum(sizes)
                 decoded = _cut(tables.decode(ids), lengths[ends] - lengths[ends - sizes])
                 hexes = [[hashlib.sha256(r).hexdigest() for r in side] for side in (runs, decoded)]
-                yield batch(DIGESTS, keys, sizes, *hexes)
+                yield batch(schema, keys, sizes, *hexes, *([[bytes(r) for r in runs]] if schema == BOTH else []))
 
     return run
 
@@ -302,7 +303,7 @@ def encode(frame, path, pattern, id="doc_id", text="text"):
     There is no shuffle. A task takes its documents in blocks, collects the
     distinct words of a block and replays the merges over that corpus once.
     """
-    run = _encode(_ranks(path), pattern, False)
+    run = _encode(_ranks(path), pattern, ENCODED)
     return _narrow(frame, id, text).mapInArrow(run, ENCODED).withColumnRenamed("id", id)
 
 
@@ -312,13 +313,14 @@ def decode(frame, path, pattern, id="doc_id", ids="ids"):
     return rows.mapInArrow(_decode(_ranks(path), pattern), "id long, decoded binary").withColumnRenamed("id", id)
 
 
-def round_trip(frame, path, pattern, id="doc_id", text="text"):
-    """n_tokens and the SHA-256 of the ids and of what they decode to, in one pass.
+def round_trip(frame, path, pattern, id="doc_id", text="text", ids=False):
+    """n_tokens and the SHA-256 of the ids and of what they decode to, in one pass, and the ids if asked for.
 
-    As `encode` and `decode`; the ids themselves do not leave the task.
+    As `encode` and `decode`; what they decode to does not leave the task.
     """
-    run = _encode(_ranks(path), pattern, True)
-    return _narrow(frame, id, text).mapInArrow(run, DIGESTS).withColumnRenamed("id", id)
+    schema = BOTH if ids else DIGESTS
+    run = _encode(_ranks(path), pattern, schema)
+    return _narrow(frame, id, text).mapInArrow(run, schema).withColumnRenamed("id", id)
 
 
 def _narrow(frame, id, text):

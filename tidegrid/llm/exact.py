@@ -184,4 +184,4 @@ def groups(frame, id="doc_id", text="text", keep="largest"):
 def dedup(frame, id="doc_id", text="text", keep="largest"):
     """The rows that stay, with all their columns."""
     dropped = groups(frame, id, text, keep).filter(~F.col("kept")).select(F.col(id).alias("_dropped"))
-    return frame.join(dropped, frame[id].eqNullSafe(F.col("_dropped")), "left_anti")
+    return frame.join(dropped, frame[id].eqNullSafe(dropped["_dropped"]), "left_anti")

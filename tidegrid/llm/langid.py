@@ -281,4 +281,4 @@ def keep_known(frame, id="doc_id", text="text", lang="lang", least=0.5, **settin
     network = train(frame, id, text, lang, **settings)
     rejected = predict(frame, network, id, text).groupBy(id).agg(F.max(F.when(F.col("lang_pred") != "und", F.col("score"))).alias("s"))
     rejected = rejected.filter(F.col("s").isNull() | (F.col("s") < least)).select(F.col(id).alias("_rejected"))
-    return frame.join(rejected, frame[id].eqNullSafe(F.col("_rejected")), "left_anti")
+    return frame.join(rejected, frame[id].eqNullSafe(rejected["_rejected"]), "left_anti")

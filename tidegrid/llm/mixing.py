@@ -143,7 +143,7 @@ def mix(frame, keys, weights, fraction=(1, 2), epochs=1, seed=17, id="doc_id", t
 def keep_selected(frame, keys, weights, id="doc_id", text="text", **settings):
     """The rows of the frame that a mixture of one epoch selects, whole: the document in which a prefix ends stays."""
     chosen = mix(frame, keys, weights, id=id, text=text, **settings).filter("selected").select(F.col(id).alias("_chosen")).distinct()
-    return frame.join(chosen, frame[id].eqNullSafe(F.col("_chosen")), "left_semi")
+    return frame.join(chosen, frame[id].eqNullSafe(chosen["_chosen"]), "left_semi")
 
 
 # The production mixture: three domains of the numbered sources, weighted languages, and sources alike.

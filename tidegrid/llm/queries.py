@@ -74,7 +74,7 @@ def op3_mixing(spark, folder):
 
 @query()
 def op4_sentence_spans(spark, folder):
-    return spans.remove_repeats(table(spark, folder, "documents"), run=3, words=12, digest=True)
+    return spans.remove_repeats(table(spark, folder, "documents"), run=3, words=10, digest=True)
 
 
 @query()

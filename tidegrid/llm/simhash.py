@@ -228,4 +228,4 @@ def groups(frame, id="doc_id", text="text", words=3, lanes=1, segment=32, distan
 def dedup(frame, id="doc_id", text="text", **settings):
     """The rows of the frame without those whose component has a smaller identifier; all columns stay, and rows without identifier stay."""
     dropped = groups(frame, id, text, **settings).filter(F.col(id) != F.col("component_id")).select(F.col(id).alias("_dropped")).distinct()
-    return frame.join(dropped, frame[id] == F.col("_dropped"), "left_anti")
+    return frame.join(dropped, frame[id] == dropped["_dropped"], "left_anti")
