@@ -144,3 +144,30 @@ def test_nulls_in_any_field_drop_a_bar(spark):
     bars = spark.createDataFrame([bar("A", 1, 1.0, 2.0)], BAR)
     for column in ["open", "high", "low", "close", "adj_close", "volume"]:
         assert R.drop_null_rows(bars.withColumn(column, F.lit(None).cast("double"))).count() == 0
+
+
+def test_only_the_first_line_is_a_header(spark, tmp_path):
+    header = "Date,Open,High,Low,Close,Adj Close,Volume"
+    good = "2021-01-04,1,2,1,2,2,5"
+    files = {
+        "A.csv": f"{header}\r\n{good}\r\n2021-01-05,1,2,1,oops,2,5\r\n2021-01-06,1,2\r\n2021-01-07,null,2,1,2,2,5\r\n",
+        "B.csv": f"junk\n{header}\n{good}\n",
+        "C.csv": "",
+        "D.csv": f"{header}\n",
+        "E.csv": f"{header}\n{good}\n{header}\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text, newline="")
+    read = sorted((r.symbol, str(r.date), r.open) for r in P.read_prices(spark, str(tmp_path)).collect())
+    assert read == [("A", "2021-01-04", 1.0), ("A", "2021-01-07", None), ("E", "2021-01-04", 1.0)]
+    held = sorted((r.symbol, r.line_no) for r in P.price_quarantine(spark, str(tmp_path)).collect())
+    assert held == [("A", 3), ("A", 4), ("E", 3)]
+    assert sorted(r.symbol for r in P.rejected_price_files(spark, str(tmp_path)).collect()) == ["B"]
+
+
+def test_missing_return_stays_missing(spark):
+    bars = [bar("A", n, 10.0, 10.0 + n) for n in range(1, 7)]
+    bars[3] = (*bars[3][:6], None, 1)
+    found = R.cumulative_returns(spark.createDataFrame(bars, BAR)).orderBy("date").collect()
+    assert [r.cum_overnight is None for r in found] == [False, False, True, True, True]
+    assert not any(r.cum_intraday is None for r in found)

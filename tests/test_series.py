@@ -215,3 +215,16 @@ def test_bounded_by_saves_the_count(frame):
     few = frame.groupBy("k").agg(F.max("b").alias("b"), F.max("x").alias("x"))
     assert not S.Series(few, "k", "b", bounded_by=frame).split
     assert len(list(itertools.islice(S.scan(S.Series(few, "k", "b"), "x").toLocalIterator(), 50))) == 42
+
+
+def test_first_rows_are_limited_before_the_shuffle(spark):
+    frame = spark.range(1000).selectExpr("id % 3 AS k", "id AS t", "id AS v")
+    series = S.Series(frame, "k", "t")
+    for found in (S.gather(series, [2, 0]), S.reshape(series, "v", 2, 3)):
+        assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_long_sequence_uses_several_tasks(spark):
+    frame = S.sequence(spark.createDataFrame([(0.0, 3_000_000.0)], "a double, b double"), "a", "b")
+    pieces = frame.selectExpr("spark_partition_id() AS p").distinct().count()
+    assert pieces > 1 and frame.count() == 3_000_001

@@ -65,12 +65,15 @@ def test_lookup_takes_the_first_in_any_case(spark):
     assert {r.key: r.v for r in found.collect()} == {"host": "a", "Port": "p", "x": None, None: None}
 
 
-def test_large_tables_are_not_broadcast(spark):
-    from tidegrid.operators.series import sized
+def test_joins_are_not_forced(spark):
+    table = spark.createDataFrame([("Host", "b", 2)], "k string, v string, n int")
+    found = T.lookup_first(spark.createDataFrame([("host",)], "key string"), "key", table, "k", "v", "n")
+    plan = found._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan and "Limit" not in plan
 
-    table = spark.range(50)
-    assert "broadcast" in sized(table)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in sized(table, rows=49)._jdf.queryExecution().logical().toString()
+
+def test_smallest_int(spark, values):
+    assert values(lambda c: T.convert_cell(c, "int"), "-2147483648", "-2147483649", "2147483647.9", "2147483648") == [-2147483648, None, 2147483647, None]
 
 
 def csv_rows(spark, body, **options):

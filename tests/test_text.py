@@ -188,3 +188,15 @@ def test_sql_functions(spark):
     assert [tuple(r) for r in lines] == [(0, "a"), (1, "b")]
     nodes = spark.sql("SELECT n.path FROM VALUES ('<a><b/></a>') AS d(t), LATERAL parse_xml(t) n").collect()
     assert [r.path for r in nodes] == ["/a", "/a/b"]
+
+
+def test_keys_of_deep_and_broken_texts(spark):
+    from tidegrid.functions.json import json_keys
+
+    deep = "[" * 30 + "1" + "]" * 30
+    rows = [(1, "[" * 400), (2, deep), (3, '{"a":{"b":1}}'), (4, None), (5, "{" * 90 + "]")]
+    found = json_keys(spark.createDataFrame(rows, "id int, raw string"), "raw").collect()
+    assert sorted(r.path for r in found if r.id == 3) == [".a", ".a.b"]
+    assert sorted(len(r.path) for r in found if r.id == 2) == [2 * n for n in range(1, 31)]
+    assert {r.type for r in found if r.id == 2} == {"array", "number"}
+    assert {r.id for r in found} == {2, 3}

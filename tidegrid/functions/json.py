@@ -1,10 +1,15 @@
 """JSON values: types, paths, keys, text."""
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.operators.tables import match_wildcard
+from tidegrid.session import store
 
+# Levels of nesting that one job opens.
+LEVELS = 8
 
 # Our names of the types that a variant can have.
 TYPE_NAMES = {
@@ -111,12 +116,8 @@ def json_path_join(segments):
 
 
 def nesting_depth(raw):
-    """How deep the objects and arrays of a JSON text nest.
-
-    A text with few opening brackets counts as that deep without a closer look.
-    """
+    """How deep the objects and arrays of a JSON text nest; 0 for a text that is not valid."""
     raw = _column(raw)
-    opened = F.length(raw) - F.length(F.translate(raw, "{[", ""))
     bare = F.regexp_replace(raw, r'"(?:[^"\\]++|\\.)*+"', "")
     brackets = F.split(F.regexp_replace(bare, r"[^\[\]{}]++", ""), "")
     walk = F.aggregate(
@@ -124,7 +125,7 @@ def nesting_depth(raw):
         F.struct(F.lit(0).alias("now"), F.lit(0).alias("top")),
         lambda at, c: _deeper(at, F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)),
     )
-    return F.when(opened <= 4, opened).otherwise(walk["top"])
+    return F.when(F.try_parse_json(raw).isNotNull(), walk["top"]).otherwise(0)
 
 
 def _deeper(at, change) -> Column:
@@ -137,27 +138,37 @@ def json_keys(frame, raw, pattern="*", max_depth=None):
 
     The pattern applies to the key of every level; where it does not match, the
     levels below are left out as well. Array items are keys `0`, `1`, and so on.
-
-    Every level is one more `explode` in the same stage, so the plan needs the
-    deepest nesting. It is measured over the whole table unless given; a text
-    deeper than a given `max_depth` fails the query instead of losing keys.
+    A text that is not valid has no keys.
+
+    A job opens at most `LEVELS` levels, one `explode` each, so its plan does
+    not grow with the data. What is still open after that is stored in the
+    shared folder and opened by the next job. The deepest nesting of the valid
+    texts, measured over the table unless given, tells how many jobs there
+    are; a text deeper than a given `max_depth` fails the query instead of
+    losing keys.
     """
+    checked = F.try_parse_json(raw)
     if max_depth is None:
         max_depth = frame.agg(F.max(nesting_depth(raw))).first()[0] or 0
-        checked = F.try_parse_json(raw)
     else:
         fits = nesting_depth(raw) <= max_depth
-        checked = F.when(fits, F.try_parse_json(raw)).otherwise(
+        checked = F.when(fits, checked).otherwise(
             F.raise_error(F.lit(f"JSON text nests deeper than {max_depth}")).cast("variant")
         )
     others = [c for c in frame.columns if c != raw]
     node = F.struct(F.lit("").alias("path"), checked.alias("value"), F.lit(True).alias("open"))
-    rows = frame.select(*others, node.alias("node"))
-    for _ in range(max_depth):
-        rows = rows.withColumn("node", F.explode(_with_children(F.col("node"), pattern)))
-    return rows.where(F.col("node.path") != "").select(
-        *others, F.col("node.path").alias("path"), json_type("node.value").alias("type")
-    )
+    rows, parts = frame.select(*others, node.alias("node"), F.lit("").alias("_from")), []
+    for begin in range(0, max(1, max_depth), LEVELS):
+        for _ in range(min(LEVELS, max_depth - begin)):
+            rows = rows.withColumn("node", F.explode(_with_children(F.col("node"), pattern)))
+        last = begin + LEVELS >= max_depth
+        if not last:
+            rows = store(rows, "keys")
+        # The node a job begins with was given out by the one before.
+        given = rows.where(F.col("node.path") != F.col("_from"))
+        parts.append(given.select(*others, F.col("node.path").alias("path"), json_type("node.value").alias("type")))
+        rows = rows.where(F.col("node.open")).withColumn("_from", F.col("node.path"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _with_children(node, pattern):

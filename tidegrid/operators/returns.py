@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.operators.series import Series, position, previous, running_product, running_sum, sized
+from tidegrid.operators.series import Series, position, previous, running_product, running_sum
 
 PRICES = ["open", "high", "low", "close"]
 FIRST_DATE = datetime.date(2021, 1, 1)
@@ -18,13 +18,13 @@ LAST_DATE = datetime.date(2021, 5, 31)
 
 def join_reference(bars, instruments):
     """Attach name, country, start and end date and bad dates of each symbol."""
-    return bars.join(sized(instruments), "symbol", "left")
+    return bars.join(instruments, "symbol", "left")
 
 
 def exclude_dates(bars, instruments):
     """Drop the bars on dates that are listed as bad for their symbol."""
     bad = instruments.select("symbol", F.explode("bad_data_dates").alias("date")).distinct()
-    return bars.join(sized(bad), ["symbol", "date"], "left_anti")
+    return bars.join(bad, ["symbol", "date"], "left_anti")
 
 
 def drop_null_rows(bars):
@@ -70,7 +70,8 @@ def cumulative_returns(bars, **series_options):
     """Cumulated intraday and overnight return by date.
 
     Intraday returns count from the first bar and overnight returns from the
-    second; the first bar of each symbol is not part of the result.
+    second; the first bar of each symbol is not part of the result. From a
+    missing return on, the cumulated one is missing too.
     """
     return _cumulate(_returns(_by_date(bars, series_options)))
 
@@ -111,15 +112,18 @@ def _returns(series):
 
 
 def _cumulate(returns):
+    later = F.col("bar_no") > 0
     cumulated = returns.add(
-        _intraday=running_product(1 + F.col("intraday")), _overnight=running_product(1 + F.col("overnight"))
+        _intraday=running_product(1 + F.col("intraday")),
+        _overnight=running_product(1 + F.col("overnight")),
+        _no_intraday=running_sum(F.col("intraday").isNull().cast("int")),
+        _no_overnight=running_sum((F.col("overnight").isNull() & later).cast("int")),
     )
-    later = cumulated.rows().where(F.col("bar_no") > 0)
-    return later.select(
+    return cumulated.rows().where(later).select(
         "symbol",
         "date",
-        (F.col("_intraday") - 1).alias("cum_intraday"),
-        (F.col("_overnight") - 1).alias("cum_overnight"),
+        F.when(F.col("_no_intraday") == 0, F.col("_intraday") - 1).alias("cum_intraday"),
+        F.when(F.col("_no_overnight") == 0, F.col("_overnight") - 1).alias("cum_overnight"),
     )
 
 

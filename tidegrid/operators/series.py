@@ -28,12 +28,10 @@ from pyspark.sql import types as T
 SEGMENT_ROWS = 4_000_000
 MAX_CUTS = 65_536
 SAMPLES_PER_CUT = 16
-# Up to this many rows per key are taken before the shuffle, by every task.
-TAKE_AHEAD = 100
+# Spark applies a row number limit before the shuffle too, up to this many rows.
+TAKE_AHEAD = 1000
 # Numbers that one row makes at a time.
 SEQUENCE_BLOCK = 65_536
-# The largest table that joins may copy to every executor.
-SMALL_ROWS = 100_000
 
 SEGMENT = "_segment"
 ONE_SERIES = "_series"
@@ -280,14 +278,26 @@ def take(series, count):
         return series.rows().limit(0)
     order = [F.col(c).asc() if count > 0 else F.col(c).desc() for c in series.order]
     if abs(count) <= TAKE_AHEAD:
-        # A row_number limit this small is applied before the shuffle too, so a
-        # long key sends only a few rows per task.
-        rows = series.plain if series.fresh else series.frame
-        ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*series.key).orderBy(*order)))
-        return ranked.where(F.col("_rank") <= abs(count)).drop("_rank", *HELPERS)
+        return _ranked(series, abs(count), order).drop("_rank")
     return _slice(series, count, keep=True)
 
 
+def _ranked(series, count, order):
+    """The first `count` rows of each series with their rank; a long key sends only so many rows per task."""
+    rows = series.plain if series.fresh else series.frame
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*series.key).orderBy(*order)))
+    return ranked.where(F.col("_rank") <= count).drop(*HELPERS)
+
+
+def _numbered(series, count):
+    """The rows of each series at positions below `count` (all if None), numbered from 0 as `_at`."""
+    if count is not None and 0 < count <= TAKE_AHEAD and series.key:
+        first = _ranked(series, count, [F.col(c).asc() for c in series.order])
+        return first.withColumn("_at", F.col("_rank").cast("long") - 1).drop("_rank")
+    rows = series.add(_at=position()).rows()
+    return rows if count is None else rows.where(F.col("_at") < count)
+
+
 def drop(series, count):
     """All but the first `count` rows, or all but the last where it is negative."""
     return series.rows() if count == 0 else _slice(series, count, keep=False)
@@ -307,7 +317,7 @@ def gather(series, positions, columns=None, out="out_pos"):
     if columns is not None:
         names = series.rows().columns
         columns = [names[c] if isinstance(c, int) else c for c in columns]
-    numbered = series.add(_at=position()).rows()
+    numbered = _numbered(series, None if positions is None else max(positions, default=-1) + 1)
     if positions is None:
         picked = numbered.withColumnRenamed("_at", out)
     else:
@@ -331,7 +341,7 @@ def reshape(series, value, rows, columns, names=None):
     at = F.col("_at")
     key = [k for k in series.key if k != ONE_SERIES]
     kind = series.plain.schema[value].dataType
-    cells = series.add(_at=position()).rows().where(at < rows * columns)
+    cells = _numbered(series, rows * columns)
 
     def cell(row, column, held):
         return F.struct(row.alias("row"), column.alias("column"), held.cast(kind).alias("held"))
@@ -378,25 +388,21 @@ def sequence(frame, start, stop, incr=None, out="value"):
     last = F.when(points, count - 1).otherwise(F.floor(F.abs(stop - start) / size))
     # In blocks, so that a long range is never one array.
     zero, block = F.lit(0).cast("long"), F.col("_block")
+    tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.when((count >= 2) | ~points, F.sequence(zero, F.expr(f"_last div {SEQUENCE_BLOCK}")))
     within = F.sequence(block * SEQUENCE_BLOCK, F.least((block + 1) * SEQUENCE_BLOCK - 1, F.col("_last")))
     return (
         frame.withColumns({"_start": start, "_step": step, "_last": last.cast("long")})
         .withColumn("_block", F.explode(blocks))
+        # A row per block, so the blocks of a long range go to all tasks; with a
+        # number of its own, since adaptive execution would join such small rows.
+        .repartition(tasks, "_start", "_last", "_block")
         .withColumn("n", F.explode(within))
         .withColumn(out, F.col("_start") + F.col("n") * F.col("_step"))
         .drop("_start", "_step", "_last", "_block")
     )
 
 
-def sized(frame, rows=SMALL_ROWS):
-    """The frame, marked for broadcast if it is counted to be small.
-
-    A larger one is left to a shuffle join, in which Spark splits hot keys.
-    """
-    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
-
-
 def join_on_key(frame, per_key, key):
     """Add the columns of a table with one row per key.
 

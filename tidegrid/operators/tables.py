@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidegrid.operators.series import _names, sized
+from tidegrid.operators.series import _names
 
 # How dates, times of day and numbers are written.
 ISO_DATE = r"\A\d{4}-\d{1,2}-\d{1,2}\z"
@@ -10,7 +10,6 @@ ISO_TIME = r"\A\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\z"
 SLASHED_DATE = r"\A\d{1,2}/\d{1,2}/\d{4}\z"
 NUMBER = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 CLOCK = r"\A\d{1,2}:[0-5]\d(:[0-5]\d)?\z"
-NUMBER = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 # Fixed value: day 25569 of a spreadsheet is 1970-01-01.
 SERIAL_EPOCH = 25569
 CELL_TYPES = ["num", "bool", "int", "date", "time", "str"]
@@ -36,7 +35,7 @@ def convert_cell(cell, to):
     if to == "num":
         return number
     if to == "int":
-        return F.when(F.abs(number) < 2147483648.0, number.cast("int"))
+        return F.when((number > -2147483649.0) & (number < 2147483648.0), number.cast("int"))
     if to == "bool":
         word = F.when(F.lower(text) == "true", True).when(F.lower(text) == "false", False)
         return F.coalesce(word, number != 0)
@@ -124,10 +123,10 @@ def lookup_first(frame, key, table, table_key, value, order, out=None):
     folded = F.lower(F.col(table_key).cast("string"))
     first = table.groupBy(folded.alias("_lookup")).agg(F.min_by(value, F.struct(*_names(order))).alias(out or value))
     keyed = frame.withColumn("_lookup", F.lower(F.col(key).cast("string")))
-    return keyed.join(sized(first), "_lookup", "left").drop("_lookup")
+    return keyed.join(first, "_lookup", "left").drop("_lookup")
 
 
 def patch_source(base, patch, key):
     """Replace all rows of the keys in `patch` by the rows of `patch`."""
     keys = patch.select(*_names(key)).distinct()
-    return base.join(sized(keys), _names(key), "left_anti").unionByName(patch)
+    return base.join(keys, _names(key), "left_anti").unionByName(patch)

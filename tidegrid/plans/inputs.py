@@ -15,16 +15,19 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(frame, key, rows=1_000_000):
-    """A small table in few files, over all cores; larger ones have splits enough."""
-    if frame.count() > rows:
-        return frame
-    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, key)
+def on_all_cores(frame, key):
+    """A table that is read in fewer pieces than there are cores, dealt over the cores.
+
+    The plan alone tells the number of pieces, so no row is counted; a table
+    that is dealt is at most one split of a file for each core.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, key)
 
 
 def page_nodes(spark, folder, columns=None, stored=False):
     """The node table of all pages; `stored` for queries that read it more than once."""
-    nodes = parse_html(spread(table(spark, folder, "pages").select("page_id", "html"), "page_id"), "page_id", "html", columns=columns)
+    nodes = parse_html(on_all_cores(table(spark, folder, "pages").select("page_id", "html"), "page_id"), "page_id", "html", columns=columns)
     return store(nodes, "nodes") if stored else nodes
 
 
@@ -126,7 +129,7 @@ def timeseries_blobs(spark, folder):
 
 def json_documents(spark, folder):
     """Orders as nested JSON text; every hundredth is cut short or repeats a key."""
-    o = spread(table(spark, folder, "orders"), "o_orderkey")
+    o = on_all_cores(table(spark, folder, "orders"), "o_orderkey")
     whole = F.to_json(
         F.struct(
             F.col("o_orderkey").alias("id"),
@@ -147,7 +150,7 @@ def json_documents(spark, folder):
 
 def xml_documents(spark, folder):
     """Orders as XML text."""
-    o = spread(table(spark, folder, "orders"), "o_orderkey")
+    o = on_all_cores(table(spark, folder, "orders"), "o_orderkey")
     body = F.concat(
         F.lit('<?xml version="1.0"?>\n<order id="'),
         F.col("o_orderkey").cast("string"),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidegrid.functions import json as J
-from tidegrid.plans.inputs import json_documents, spread, table
+from tidegrid.plans.inputs import json_documents, on_all_cores, table
 from tidegrid.plans.registry import query
 from tidegrid.sources import jsontext as P
 
@@ -55,7 +55,7 @@ SELECT event_id, (json_extract(props, '$.k'))::BIGINT AS k, (json_extract(props,
 FROM events""")
 def json_value(spark, folder):
     v = F.try_parse_json("props")
-    return spread(table(spark, folder, "events"), "event_id").select(
+    return on_all_cores(table(spark, folder, "events"), "event_id").select(
         "event_id",
         J.json_value(v, ".k", "long").alias("k"),
         J.json_value(v, ".K", "long", ignore_case=True).alias("any_case"),
@@ -93,7 +93,19 @@ def json_keys_pattern(spark, folder):
 SELECT '.' || key AS path, CASE json_type(props, '$.' || key) WHEN 'VARCHAR' THEN 'string' ELSE 'number' END AS type,
   count(*) AS documents FROM (SELECT props, unnest(json_keys(props)) AS key FROM events) GROUP BY ALL""")
 def json_key_inventory(spark, folder):
-    return J.json_key_inventory(spread(table(spark, folder, "events"), "event_id"), "props")
+    return J.json_key_inventory(on_all_cores(table(spark, folder, "events"), "event_id"), "props")
+
+
+@query(f"""
+SELECT o_orderkey AS doc_id, path, type FROM orders, {_key_rows(lambda p: True)} WHERE {GOOD} AND o_orderkey % 1000 > 2
+UNION ALL SELECT o_orderkey, repeat('.0', n::INT), CASE WHEN n < 200 THEN 'array' ELSE 'number' END
+FROM orders, range(1, 201) r(n) WHERE o_orderkey % 1000 = 2""")
+def json_keys_deep(spark, folder):
+    """Among the documents some that only open brackets, and some that nest 200 deep."""
+    kind = F.col("doc_id") % 1000
+    nested = F.concat(F.repeat(F.lit("["), F.lit(200)), F.lit("1"), F.repeat(F.lit("]"), F.lit(200)))
+    raw = F.when(kind < 2, F.repeat(F.lit("["), F.lit(400))).when(kind == 2, nested).otherwise(F.col("raw"))
+    return J.json_keys(json_documents(spark, folder).withColumn("raw", raw), "raw")
 
 
 @query(f"""

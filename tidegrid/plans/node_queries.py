@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.registry import register_functions
 from tidegrid.operators import nodes as N
 from tidegrid.operators import xpath as X
-from tidegrid.plans.inputs import page_nodes, spread, table, xml_documents
+from tidegrid.plans.inputs import on_all_cores, page_nodes, table, xml_documents
 from tidegrid.plans.registry import query
 from tidegrid.session import store
 from tidegrid.sources import markup as M
@@ -199,7 +199,7 @@ def xpath_query_xml(spark, folder):
 SELECT name, count(*) AS nodes FROM t GROUP BY name""")
 def register_node_functions(spark, folder):
     register_functions(spark)
-    spread(table(spark, folder, "pages"), "page_id").createOrReplaceTempView("saved_pages")
+    on_all_cores(table(spark, folder, "pages"), "page_id").createOrReplaceTempView("saved_pages")
     return spark.sql("""
         SELECT n.name, count(*) AS nodes FROM saved_pages, LATERAL parse_html(html) n
         WHERE n.type = 'ELEMENT' GROUP BY n.name""")

@@ -68,6 +68,45 @@ def read_prices(spark, folder):
     return P.read_prices(spark, path, partitioned=True)
 
 
+def _awkward_files(spark, folder):
+    """Price files of which some have the header on the second line, an unreadable cell, or a short line."""
+    path = scratch_path(spark, "awkward")
+    n, day = F.expr("substr(symbol, 2)::BIGINT"), F.dayofmonth("date")
+    price = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    cells = [F.col("date").cast("string"), *map(price, ["open", "high", "low"])]
+    close = F.when((n % 5 == 1) & (day % 7 == 3), F.lit("oops")).otherwise(price("close"))
+    short = (n % 5 == 2) & (day % 7 == 4)
+    line = F.when(short, F.concat_ws(",", *cells)).otherwise(F.concat_ws(",", *cells, close, price("adj_close"), price("volume")))
+    bars = bars_with_gaps(spark, folder).select("symbol", F.col("date").cast("string").alias("at"), line.alias("value"))
+    symbols = bars.select("symbol").distinct()
+    header = symbols.select("symbol", F.lit("0").alias("at"), F.lit(",".join(P.HEADER)).alias("value"))
+    junk = symbols.where(n % 7 == 0).select("symbol", F.lit("").alias("at"), F.lit("junk").alias("value"))
+    lines = bars.unionByName(header).unionByName(junk)
+    lines.repartition("symbol").sortWithinPartitions("symbol", "at").select("symbol", "value").write.partitionBy("symbol").text(path)
+    return path
+
+
+_NUMBER, _DAY = "substr(symbol, 2)::BIGINT", "day(date)"
+_ODD = f"({_NUMBER} % 5 = 1 AND {_DAY} % 7 = 3 OR {_NUMBER} % 5 = 2 AND {_DAY} % 7 = 4)"
+
+
+@query(f"WITH {BARS} SELECT symbol, date, open, high, low, close, adj_close, volume FROM gaps WHERE {_NUMBER} % 7 <> 0 AND NOT {_ODD}")
+def read_prices_checked(spark, folder):
+    return P.read_prices(spark, _awkward_files(spark, folder), partitioned=True)
+
+
+@query(f"""WITH {BARS}, held AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) + 1 AS line_no FROM gaps)
+SELECT symbol, line_no::INT AS line_no, date::VARCHAR AS date FROM held WHERE {_NUMBER} % 7 <> 0 AND {_ODD}""")
+def price_quarantine(spark, folder):
+    held = P.price_quarantine(spark, _awkward_files(spark, folder), partitioned=True)
+    return held.select("symbol", "line_no", F.substr("line", F.lit(1), F.lit(10)).alias("date"))
+
+
+@query(f"WITH {BARS} SELECT DISTINCT symbol FROM gaps WHERE {_NUMBER} % 7 = 0")
+def rejected_price_files(spark, folder):
+    return P.rejected_price_files(spark, _awkward_files(spark, folder), partitioned=True).select("symbol")
+
+
 @query(f"""WITH {BARS} SELECT symbol, date, round(cum_intraday, 8) + 0 AS cum_intraday,
 round(cum_overnight, 8) + 0 AS cum_overnight FROM cum""")
 def write_series(spark, folder):

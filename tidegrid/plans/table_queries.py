@@ -3,17 +3,17 @@
 from pyspark.sql import functions as F
 
 from tidegrid.operators import tables as T
-from tidegrid.plans.inputs import csv_blobs, spread, table, timeseries_blobs
+from tidegrid.plans.inputs import csv_blobs, on_all_cores, table, timeseries_blobs
 from tidegrid.plans.registry import query
 from tidegrid.sources import csvtext as C
 
 
 def _texts(spark, folder, name, *columns):
-    return spread(table(spark, folder, name), columns[0]).select(*[F.col(c).cast("string").alias(c) for c in columns])
+    return on_all_cores(table(spark, folder, name), columns[0]).select(*[F.col(c).cast("string").alias(c) for c in columns])
 
 
 def _cells(spark, folder):
-    items = spread(table(spark, folder, "lineitem"), "l_orderkey")
+    items = on_all_cores(table(spark, folder, "lineitem"), "l_orderkey")
     text = {c: F.col(c).cast("string") for c in ("l_quantity", "l_extendedprice", "l_shipdate")}
     odd = F.col("l_orderkey") % 10 == 0
     return items.select(

@@ -7,7 +7,7 @@ from tidegrid.functions import headers as H
 from tidegrid.functions import text as X
 from tidegrid.functions import url as U
 from tidegrid.functions.registry import register_functions
-from tidegrid.plans.inputs import snapshots, spread, table, url_variants
+from tidegrid.plans.inputs import on_all_cores, snapshots, table, url_variants
 from tidegrid.plans.registry import query
 from tidegrid.sources import snapshots as N
 
@@ -162,7 +162,7 @@ def split_lines(spark, folder):
     list_transform(regexp_extract_all(x, '[^\\n]{{1,255}}(?: |\\z)|[^\\n]{{1,255}}'), lambda y: regexp_replace(y, ' \\z', '')) END)) AS l FROM t)
 SELECT doc_id, (unnest(range(len(l))))::INT AS line_no, unnest(l) AS line FROM b""")
 def split_lines_wrapped(spark, folder):
-    return X.split_lines(spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id"), "text", width=255)
+    return X.split_lines(on_all_cores(table(spark, folder, "documents").select("doc_id", "text"), "doc_id"), "text", width=255)
 
 
 @query("""SELECT o_orderkey, epoch(o_orderdate)::BIGINT + 9000 AS seconds FROM orders""")

@@ -1,5 +1,7 @@
 """Directories of daily price files and of their results."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 # The header of a price file and the types of its fields.
@@ -13,46 +15,57 @@ COLUMNS = {
     "adj_close": "double",
     "volume": "long",
 }
-# The most file names that are sent to every executor.
-MAX_LISTED = 10_000
-
 
-def _lines(spark, path, partitioned):
+def _files(spark, path, partitioned):
+    """One row per file with its lines; daily bars of one symbol are short files."""
     file = F.col("_metadata.file_path").alias("file")
-    line = F.rtrim("value").alias("line")
+    lines = F.split("value", "\r?\n").alias("lines")
     if partitioned:
-        return spark.read.schema("value string, symbol string").text(path).select(file, line, "symbol")
+        return spark.read.schema("value string, symbol string").text(path, wholetext=True).select(file, lines, "symbol")
     name = F.regexp_extract("_metadata.file_path", r"([^/]+)\.csv$", 1)
     symbol = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("symbol")
-    return spark.read.option("recursiveFileLookup", True).text(path).select(file, line, symbol)
+    return spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(file, lines, symbol)
+
+
+def _has_header():
+    return F.rtrim(F.get("lines", F.lit(0))) == ",".join(HEADER)
+
+
+def _rows(spark, path, partitioned):
+    """The lines below the header of the files that have one, split and read."""
+    files = _files(spark, path, partitioned).where(_has_header())
+    below = F.slice("lines", F.lit(2), F.greatest(F.size("lines") - 1, F.lit(0)))
+    rows = files.select("file", "symbol", F.posexplode(below).alias("at", "line"))
+    rows = rows.where(F.trim("line") != "").withColumn("cells", F.split(F.rtrim("line"), ","))
+    values = {c: F.get("cells", F.lit(i)).try_cast(t) for i, (c, t) in enumerate(COLUMNS.items())}
+    # Only the text `null` is a missing value.
+    read = [(F.get("cells", F.lit(i)) == "null") | v.isNotNull() for i, v in enumerate(values.values())]
+    good = reduce(lambda a, b: a & b, read, F.size("cells") == len(COLUMNS))
+    return rows.withColumn("good", F.coalesce(good, F.lit(False))), values
 
 
 def read_prices(spark, path, partitioned=False):
-    """All price files below a folder as bars with their `symbol`.
+    """All price files below a folder as bars with their `symbol`, in one pass.
 
     The symbol is the file name, or the folder `symbol=...` where `partitioned`.
-    A file counts only if it has the exact header line; the others are listed by
-    `rejected_price_files`. The text `null` marks a missing value.
+    A file counts only if its first line is the exact header; the others are
+    listed by `rejected_price_files`. The text `null` marks a missing value; a
+    line with any other cell that cannot be read, or with too few or too many,
+    is left to `price_quarantine`.
     """
-    lines = _lines(spark, path, partitioned)
-    rejected = rejected_price_files(spark, path, partitioned)
-    few = rejected.limit(MAX_LISTED + 1).toArrow()
-    if few.num_rows <= MAX_LISTED:
-        rejected = F.broadcast(spark.createDataFrame(few, rejected.schema))
-    rows = lines.where((F.col("line") != ",".join(HEADER)) & (F.col("line") != ""))
-    if few.num_rows:
-        rows = rows.join(rejected, "file", "left_anti")
-    cells = F.split("line", ",")
-    return rows.select(
-        "symbol", *[F.get(cells, F.lit(i)).try_cast(t).alias(c) for i, (c, t) in enumerate(COLUMNS.items())]
-    )
+    rows, values = _rows(spark, path, partitioned)
+    return rows.where("good").select("symbol", *[v.alias(c) for c, v in values.items()])
+
+
+def price_quarantine(spark, path, partitioned=False):
+    """The lines of accepted files that cannot be read: file, symbol, line number from 1, and text."""
+    rows, _ = _rows(spark, path, partitioned)
+    return rows.where("NOT good").select("file", "symbol", (F.col("at") + 2).alias("line_no"), "line")
 
 
 def rejected_price_files(spark, path, partitioned=False):
-    """The price files without the expected header line."""
-    header = F.col("line") == ",".join(HEADER)
-    files = _lines(spark, path, partitioned).groupBy("file").agg(F.bool_or(header).alias("ok"))
-    return files.where(~F.col("ok")).select("file")
+    """The price files whose first line is not the header; Spark's readers pass over empty files, which have no line."""
+    return _files(spark, path, partitioned).where(~F.coalesce(_has_header(), F.lit(False))).select("file", "symbol")
 
 
 def write_prices(bars, path):
