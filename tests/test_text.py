@@ -200,3 +200,30 @@ def test_keys_of_deep_and_broken_texts(spark):
     assert sorted(len(r.path) for r in found if r.id == 2) == [2 * n for n in range(1, 31)]
     assert {r.type for r in found if r.id == 2} == {"array", "number"}
     assert {r.id for r in found} == {2, 3}
+
+
+def test_sql_names_agree_with_their_python_forms(spark):
+    from tidegrid.functions.headers import query_header, response_field
+    from tidegrid.functions.json import json_path_join
+    from tidegrid.functions.registry import register_functions
+    from tidegrid.operators.tables import match_wildcard
+
+    register_functions(spark)
+    texts = ["a~", "a", "a*", "axb", "~", "a~b", "ab", "A?"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pattern in ["a~", "a~*", "a*", "~~", "~a", "a~~b", "a?", "*~?"]:
+        rows = frame.select(match_wildcard("t", pattern).alias("p"), F.call_function("match_wildcard", F.col("t"), F.lit(pattern)).alias("s")).collect()
+        assert [r.p for r in rows] == [r.s for r in rows], pattern
+    one = spark.createDataFrame([({"Content-Type": "x"}, 404, [])], "h map<string,string>, status int, none array<string>")
+    for name in ["CONTENT_TYPE", "HTTP_QUERY_CONTENT_TYPE", "content-type", "a_b", "Server"]:
+        (row,) = one.select(query_header("h", name).alias("p"), F.call_function("query_header", F.col("h"), F.lit(name)).alias("s")).collect()
+        assert row.p == row.s, name
+    (row,) = one.select(json_path_join("none").alias("p"), F.expr("json_path_join(none)").alias("s")).collect()
+    assert row.p == row.s == ""
+    fields = {n: one.select(response_field(n, "h", "status")).first()[0] for n in ["STATUS_CODE", "STATUS_TEXT", "RAW_HEADERS_CRLF", "CONTENT_TYPE"]}
+    assert fields == {
+        "STATUS_CODE": "404",
+        "STATUS_TEXT": "Not Found",
+        "RAW_HEADERS_CRLF": "HTTP/1.1 404 Not Found\r\nContent-Type: x\r\n\r\n",
+        "CONTENT_TYPE": "x",
+    }

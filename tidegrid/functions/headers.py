@@ -1,6 +1,6 @@
 """Response headers."""
 
-import re
+from http import HTTPStatus
 
 from pyspark.sql import functions as F
 
@@ -24,10 +24,32 @@ def _column(value):
 
 def header_name(name):
     """The header of a constant-style name such as `CONTENT_TYPE`, or the name itself."""
-    by_constant = {re.sub("-", "_", h).upper(): h for h in STANDARD_HEADERS}
+    by_constant = {h.replace("-", "_").upper(): h for h in STANDARD_HEADERS}
     return by_constant.get(name.upper().removeprefix("HTTP_QUERY_"), name)
 
 
+def response_field(name, headers, status):
+    """What a response has besides single headers, by its constant-style name.
+
+    `STATUS_CODE`, `STATUS_TEXT`, `RAW_HEADERS` (lines ended by a zero
+    character) and `RAW_HEADERS_CRLF`, from the header map and the status
+    number of a saved response; any other name is a header.
+    """
+    headers, status = _column(headers), _column(status)
+    phrases = F.create_map(*[F.lit(x) for s in HTTPStatus for x in (s.value, s.phrase)])
+    phrase = F.coalesce(F.try_element_at(phrases, status.cast("int")), F.lit(""))
+    wanted = name.upper().removeprefix("HTTP_QUERY_")
+    if wanted == "STATUS_CODE":
+        return status.cast("string")
+    if wanted == "STATUS_TEXT":
+        return F.when(status.isNotNull(), phrase)
+    if wanted in ("RAW_HEADERS", "RAW_HEADERS_CRLF"):
+        first = F.concat(F.lit("HTTP/1.1 "), status.cast("string"), F.lit(" "), phrase, F.lit("\r\n"))
+        block = F.concat(first, format_headers(headers))
+        return block if wanted == "RAW_HEADERS_CRLF" else F.replace(block, F.lit("\r\n"), F.lit("\0"))
+    return query_header(headers, name)
+
+
 def format_headers(headers):
     """A map as a header block of `key: value` lines and an empty line; null gives no text."""
     headers = _column(headers)

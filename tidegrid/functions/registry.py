@@ -3,6 +3,7 @@
 from pyspark.sql.functions import udtf
 
 from tidegrid.functions.clock import EPOCH, NTP_OFFSET
+from tidegrid.functions.headers import STANDARD_HEADERS
 from tidegrid.functions.url import DEFAULT_PORTS, SCHEME_CLASSES, URL_PATTERN
 from tidegrid.operators.returns import format_return
 from tidegrid.sources.markup import NODE_FIELDS, _html_nodes, _xml_nodes
@@ -28,12 +29,21 @@ def _wildcard():
     escaped = r"regexp_replace(pattern, '([\\\\.\\[\\]{}()+^$|])', '\\\\$1')"
     for plain, mark in (("~*", "\\u0001"), ("~?", "\\u0002"), ("~~", "\\u0003")):
         escaped = f"replace({escaped}, '{plain}', '{mark}')"
+    # A last ~ stands for itself, any other makes the character behind it plain.
+    escaped = f"regexp_replace({escaped}, '~$', '\\u0003')"
     escaped = f"replace(replace(replace({escaped}, '*', '.*'), '?', '.'), '~', '')"
     for mark, plain in (("\\u0001", r"\\*"), ("\\u0002", r"\\?"), ("\\u0003", "~")):
         escaped = f"replace({escaped}, '{mark}', '{plain}')"
     return f"text rlike concat('(?isu)^', {escaped}, '\\\\z')"
 
 
+def _header():
+    """The wanted header in lower case, constant-style names turned into plain ones."""
+    known = ", ".join(f"'{h.lower()}'" for h in STANDARD_HEADERS)
+    plain = "replace(lower(regexp_replace(name, '(?i)^HTTP_QUERY_', '')), '_', '-')"
+    return f"CASE WHEN {plain} IN ({known}) THEN {plain} ELSE lower(name) END"
+
+
 def _functions():
     """Name and signature, result type, and body of each scalar function."""
     classes = ", ".join(f"'{c}'" for c in SCHEME_CLASSES)
@@ -63,7 +73,7 @@ def _functions():
         (
             "query_header(headers map<string,string>, name string)",
             "string",
-            "get(filter(map_entries(headers), e -> lower(e.key) = lower(name)), 0).value",
+            f"get(filter(map_entries(headers), e -> lower(e.key) = ({_header()})), 0).value",
         ),
         ("view_slice(text string, start int, n int)", "string", "substring(text, start + 1, n)"),
         ("view_len(text string)", "bigint", "length(text)"),
@@ -107,7 +117,7 @@ def _functions():
             "substring(to_json(named_struct('v', text)), 6, length(to_json(named_struct('v', text))) - 6)",
         ),
         ("json_path_split(path string)", "array<string>", "split(substring(path, 2), '[.]')"),
-        ("json_path_join(segments array<string>)", "string", "concat('.', array_join(segments, '.'))"),
+        ("json_path_join(segments array<string>)", "string", "CASE WHEN size(segments) > 0 THEN concat('.', array_join(segments, '.')) ELSE '' END"),
     ]
 
 

@@ -8,12 +8,14 @@ the context nodes before it reaches it. No step pairs nodes with each other.
 """
 
 import re
+from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 STEP = re.compile(r"(//|/)?(\.\.|\.|@?(?:\*|[A-Za-z_][\w.-]*(?::[A-Za-z_][\w.-]*)?)(?:\(\))?)((?:\[[^\]]*\])*)")
-PREDICATE = re.compile(r"\[\s*(?:(\d+)|@([\w:.-]+)\s*(?:=\s*(?:'([^']*)'|\"([^\"]*)\"))?)\s*\]")
+WORDS = re.compile(r"""\s*('[^']*'|"[^"]*"|\d+|(?:last|position|text)\(\s*\)|(?:not|contains|starts-with)\s*\(|@?[A-Za-z_][\w:.-]*|!=|<=|>=|[=<>(),*-])\s*""")
+OPERATORS = {"=": "eq", "!=": "ne", "<": "lt", "<=": "le", ">": "gt", ">=": "ge"}
 KINDS = {"text()": ["TEXT", "CDATA"], "comment()": ["COMMENT"]}
 
 
@@ -27,14 +29,7 @@ def parse_path(query):
         separator, test, brackets = found[1] or "//", found[2], found[3]
         if test.endswith("()") and test not in ("text()", "comment()", "node()"):
             raise ValueError(f"unknown node test {test!r}")
-        predicates, inner = [], 0
-        while inner < len(brackets):
-            p = PREDICATE.match(brackets, inner)
-            if not p:
-                raise ValueError(f"unknown predicate in {brackets!r}")
-            value = p[3] if p[3] is not None else p[4]
-            predicates.append(("nth", int(p[1])) if p[1] else ("attribute", p[2], value))
-            inner = p.end()
+        predicates = [parse_predicate(p) for p in re.findall(r"\[([^\]]*)\]", brackets)]
         if steps and steps[-1][1].startswith("@"):
             raise ValueError("an attribute has no steps below it")
         steps.append((separator, test, predicates))
@@ -44,14 +39,100 @@ def parse_path(query):
     return steps
 
 
+def parse_predicate(text):
+    """What stands in brackets, as a tree: ("and" | "or", a, b), ("not", a) or one condition."""
+    words, at = [], 0
+    while at < len(text.rstrip()):
+        found = WORDS.match(text, at)
+        if not found:
+            raise ValueError(f"unknown predicate [{text}]")
+        words.append(re.sub(r"\s", "", found[1]) if found[1][0] not in "'\"" else found[1])
+        at = found.end()
+
+    def take(*wanted):
+        if words and words[0] in wanted:
+            return words.pop(0)
+
+    def need(test):
+        if not words or not test(words[0]):
+            raise ValueError(f"unknown predicate [{text}]")
+        return words.pop(0)
+
+    def quoted():
+        return need(lambda w: w[0] in "'\"")[1:-1]
+
+    def place():
+        """A position: a number, or the last one, less a number."""
+        if take("last()"):
+            return ("last", int(need(str.isdigit)) if take("-") else 0)
+        return ("number", int(need(str.isdigit)))
+
+    def one():
+        if take("not("):
+            inner = either()
+            need(lambda w: w == ")")
+            return ("not", inner)
+        if take("("):
+            inner = either()
+            need(lambda w: w == ")")
+            return inner
+        if name := take("contains(", "starts-with("):
+            held = need(lambda w: w == "text()" or w[0] == "@")
+            need(lambda w: w == ",")
+            value = quoted()
+            need(lambda w: w == ")")
+            return (name[:-1], held, value)
+        if take("position()"):
+            return ("place", OPERATORS[need(OPERATORS.__contains__)], place())
+        if words and (words[0] == "last()" or words[0].isdigit()):
+            return ("place", "eq", place())
+        held = need(lambda w: w == "text()" or w[0] == "@" or re.match(r"[A-Za-z_]", w))
+        operator = take("=", "!=")
+        if operator and held != "text()" and held[0] != "@":
+            raise ValueError(f"unknown predicate [{text}]")
+        return ("value", held, OPERATORS[operator], quoted()) if operator else ("has", held)
+
+    def both():
+        tree = one()
+        while take("and"):
+            tree = ("and", tree, one())
+        return tree
+
+    def either():
+        tree = both()
+        while take("or"):
+            tree = ("or", tree, both())
+        return tree
+
+    tree = either()
+    if words:
+        raise ValueError(f"unknown predicate [{text}]")
+    return tree
+
+
+def _alternatives(query):
+    """The paths between bars that stand outside brackets and quotes."""
+    parts = re.findall(r"(?:\[(?:'[^']*'|\"[^\"]*\"|[^\]])*\]|[^|\[])+", query)
+    return [p.strip() for p in parts]
+
+
 def xpath_query(nodes, query):
     """The nodes of every document that match a location path.
 
     Supported are `/`, `//`, names, `*`, `text()`, `comment()`, `node()`, `.`,
-    `..`, `@name`, `@*` and the predicates `[n]`, `[@name]` and `[@name='v']`.
-    A path without a slash in front matches anywhere. An attribute comes as a
-    row of type ATTRIBUTE with the number of its element.
+    `..`, `@name`, `@*`, alternatives with `|`, and the predicates `[n]`,
+    `[last()]`, `[last()-n]`, `[position() < n]`, `[@name]`, `[@name='v']`,
+    `[name]` (has such a child), `[text()='v']`, `contains` and `starts-with`
+    of an attribute or `text()`, joined by `and`, `or` and `not(...)`. As a
+    string `text()` is the first text of a node. A path without a slash in
+    front matches anywhere. An attribute comes as a row of type ATTRIBUTE with
+    the number of its element. A node that several alternatives find comes once.
     """
+    paths = _alternatives(query)
+    if len(paths) > 1:
+        shown = [c for c in (nodes.columns[0], "node_id", "type", "name", "path", "content") if c in nodes.columns]
+        found = [xpath_query(nodes, p) for p in paths]
+        return reduce(DataFrame.unionByName, [f.select(shown) for f in found]).distinct()
     steps = parse_path(query)
     front = []
     for separator, test, predicates in steps:
@@ -101,23 +182,73 @@ def _test(test):
 
 def _filter(nodes, found, test, predicates):
     """Apply the predicates of one step from left to right."""
-    place = {"*": "element_no"}.get(test, "nth")
-    for number, predicate in enumerate(predicates):
-        if predicate[0] == "attribute":
-            _, name, value = predicate
-            held = F.col("attrs").isNotNull() & F.array_contains(F.map_keys("attrs"), name)
-            if value is not None:
-                held = held & (F.try_element_at("attrs", F.lit(name)) == value)
-            found = found.where(held)
-        elif number == 0 and test not in ("node()", ".", ".."):
-            found = found.where(F.col(place) == predicate[1])
-        else:
-            within = Window.partitionBy(nodes.columns[0], "parent_id").orderBy("pos")
-            ranked = found.withColumn("_rank", F.row_number().over(within))
-            found = ranked.where(F.col("_rank") == predicate[1]).drop("_rank")
+    stored = {"*": "element_no"}.get(test, "nth")
+    for number, tree in enumerate(predicates):
+        if tree[:2] == ("place", "eq") and tree[2][0] == "number" and number == 0 and test not in ("node()", ".", ".."):
+            found = found.where(F.col(stored) == tree[2][1])
+            continue
+        columns = found.columns
+        if "place" in _kinds(tree):
+            within = Window.partitionBy(nodes.columns[0], "parent_id")
+            found = found.withColumn("_rank", F.row_number().over(within.orderBy("pos")))
+            found = found.withColumn("_size", F.count(F.lit(1)).over(within))
+        for child in sorted(_children(tree)):
+            found = _with_child(nodes, found, child)
+        found = found.where(_condition(tree)).select(columns)
     return found
 
 
+def _kinds(tree):
+    return {tree[0]}.union(*[_kinds(t) for t in tree[1:] if isinstance(t, tuple)])
+
+
+def _children(tree):
+    """The children that a predicate asks about: names, or text()."""
+    if tree[0] in ("and", "or", "not"):
+        return set().union(*[_children(t) for t in tree[1:]])
+    return {tree[1]} if tree[0] != "place" and tree[1][0] != "@" else set()
+
+
+def _with_child(nodes, found, child):
+    """For each node its first such child's content (for a name, only that it is there) and all texts, one row per parent."""
+    doc = nodes.columns[0]
+    if child == "text()":
+        value = [F.min_by("content", "pos").alias("_first"), F.collect_set("content").alias("_texts")]
+    else:
+        value = [F.lit(True).alias(f"_has_{child}")]
+    held = nodes.where(_test(child)).groupBy(F.col(doc).alias("_doc"), F.col("parent_id").alias("_id")).agg(*value)
+    same = (F.col(doc) == F.col("_doc")) & (F.col("node_id") == F.col("_id"))
+    return found.join(held, same, "left").drop("_doc", "_id")
+
+
+def _condition(tree):
+    """A predicate as a column of true and false."""
+    kind = tree[0]
+    if kind in ("and", "or"):
+        one, two = _condition(tree[1]), _condition(tree[2])
+        return one & two if kind == "and" else one | two
+    if kind == "not":
+        return ~_condition(tree[1])
+    if kind == "place":
+        _, operator, (what, number) = tree
+        other = F.lit(number) if what == "number" else F.col("_size") - number
+        return getattr(F.col("_rank"), f"__{operator}__")(other)
+    held = tree[1]
+    if kind == "has":
+        if held[0] == "@":
+            return F.coalesce(F.array_contains(F.map_keys("attrs"), held[1:]), F.lit(False))
+        return F.col("_first" if held == "text()" else f"_has_{held}").isNotNull()
+    if kind == "value" and held == "text()":
+        # True if any text of the node compares so.
+        test = (lambda t: t == tree[3]) if tree[2] == "eq" else (lambda t: t != tree[3])
+        return F.coalesce(F.exists("_texts", test), F.lit(False))
+    value = F.col("_first") if held == "text()" else F.try_element_at("attrs", F.lit(held[1:]))
+    if kind == "value":
+        return F.coalesce(getattr(value, f"__{tree[2]}__")(tree[3]), F.lit(False))
+    value = F.coalesce(value, F.lit(""))
+    return value.contains(tree[2]) if kind == "contains" else value.startswith(tree[2])
+
+
 def _step(nodes, found, separator, test, predicates):
     doc = nodes.columns[0]
     if test == ".":

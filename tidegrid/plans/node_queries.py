@@ -1,5 +1,8 @@
 """Queries on node tables of pages and of XML texts."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.registry import register_functions
@@ -28,6 +31,30 @@ def _plain(text):
     return text
 
 
+@query("""
+WITH o AS (SELECT * FROM orders WHERE o_orderkey % 100 <> 0)
+SELECT o_orderkey AS doc_id, 'last' AS found, o_orderpriority AS content FROM o
+UNION ALL SELECT o_orderkey, 'before last', 'a & b' FROM o
+UNION ALL SELECT o_orderkey, 'below two', 'a & b' FROM o
+UNION ALL SELECT o_orderkey, 'contains', o_orderpriority FROM o WHERE contains(o_orderpriority, 'URGENT')
+UNION ALL SELECT o_orderkey, 'equal', o_orderpriority FROM o WHERE o_orderpriority = '5-LOW'
+UNION ALL SELECT o_orderkey, 'children', o_orderkey::VARCHAR FROM o WHERE o_orderstatus = 'F' OR o_orderkey::VARCHAR LIKE '1%'
+UNION ALL SELECT o_orderkey, 'either', unnest([o_custkey::VARCHAR, '<' || o_totalprice || '>']) FROM o""")
+def xpath_conditions(spark, folder):
+    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes")
+    paths = {
+        "last": "/order/tag[last()]/text()",
+        "before last": "/order/tag[last()-1]/text()",
+        "below two": "/order/tag[position() < 2]/text()",
+        "contains": "//tag[contains(text(), 'URGENT')]/text()",
+        "equal": "//tag[text()='5-LOW']/text()",
+        "children": "/order[customer and not(missing) and (@status='F' or starts-with(@id, '1'))]/@id",
+        "either": "/order/customer/text() | /order/price/text()",
+    }
+    parts = [X.xpath_query(nodes, path).select("doc_id", F.lit(name).alias("found"), "content") for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
 SELECT name, count(*) AS nodes FROM t GROUP BY name""")
 def parse_html(spark, folder):
@@ -55,6 +82,30 @@ def node_attributes(spark, folder):
     return N.node_attributes(page_nodes(spark, folder, ["node_id", "type", "name", "attrs"])).select("page_id", "key", "value")
 
 
+@query("""
+WITH o AS (SELECT * FROM orders WHERE o_orderkey % 100 <> 0)
+SELECT o_orderkey AS doc_id, 'last' AS found, o_orderpriority AS content FROM o
+UNION ALL SELECT o_orderkey, 'before last', 'a & b' FROM o
+UNION ALL SELECT o_orderkey, 'below two', 'a & b' FROM o
+UNION ALL SELECT o_orderkey, 'contains', o_orderpriority FROM o WHERE contains(o_orderpriority, 'URGENT')
+UNION ALL SELECT o_orderkey, 'equal', o_orderpriority FROM o WHERE o_orderpriority = '5-LOW'
+UNION ALL SELECT o_orderkey, 'children', o_orderkey::VARCHAR FROM o WHERE o_orderstatus = 'F' OR o_orderkey::VARCHAR LIKE '1%'
+UNION ALL SELECT o_orderkey, 'either', unnest([o_custkey::VARCHAR, '<' || o_totalprice || '>']) FROM o""")
+def xpath_conditions(spark, folder):
+    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes")
+    paths = {
+        "last": "/order/tag[last()]/text()",
+        "before last": "/order/tag[last()-1]/text()",
+        "below two": "/order/tag[position() < 2]/text()",
+        "contains": "//tag[contains(text(), 'URGENT')]/text()",
+        "equal": "//tag[text()='5-LOW']/text()",
+        "children": "/order[customer and not(missing) and (@status='F' or starts-with(@id, '1'))]/@id",
+        "either": "/order/customer/text() | /order/price/text()",
+    }
+    parts = [X.xpath_query(nodes, path).select("doc_id", F.lit(name).alias("found"), "content") for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
 SELECT name, count(*) AS nodes FROM t GROUP BY name
 UNION ALL SELECT '#comment', count(*) FROM bare
@@ -195,6 +246,30 @@ def xpath_query_xml(spark, folder):
     return X.xpath_query(nodes, "/order[@status]/tag/text()").select("doc_id", F.col("content").alias("tag"))
 
 
+@query("""
+WITH o AS (SELECT * FROM orders WHERE o_orderkey % 100 <> 0)
+SELECT o_orderkey AS doc_id, 'last' AS found, o_orderpriority AS content FROM o
+UNION ALL SELECT o_orderkey, 'before last', 'a & b' FROM o
+UNION ALL SELECT o_orderkey, 'below two', 'a & b' FROM o
+UNION ALL SELECT o_orderkey, 'contains', o_orderpriority FROM o WHERE contains(o_orderpriority, 'URGENT')
+UNION ALL SELECT o_orderkey, 'equal', o_orderpriority FROM o WHERE o_orderpriority = '5-LOW'
+UNION ALL SELECT o_orderkey, 'children', o_orderkey::VARCHAR FROM o WHERE o_orderstatus = 'F' OR o_orderkey::VARCHAR LIKE '1%'
+UNION ALL SELECT o_orderkey, 'either', unnest([o_custkey::VARCHAR, '<' || o_totalprice || '>']) FROM o""")
+def xpath_conditions(spark, folder):
+    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes")
+    paths = {
+        "last": "/order/tag[last()]/text()",
+        "before last": "/order/tag[last()-1]/text()",
+        "below two": "/order/tag[position() < 2]/text()",
+        "contains": "//tag[contains(text(), 'URGENT')]/text()",
+        "equal": "//tag[text()='5-LOW']/text()",
+        "children": "/order[customer and not(missing) and (@status='F' or starts-with(@id, '1'))]/@id",
+        "either": "/order/customer/text() | /order/price/text()",
+    }
+    parts = [X.xpath_query(nodes, path).select("doc_id", F.lit(name).alias("found"), "content") for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
 SELECT name, count(*) AS nodes FROM t GROUP BY name""")
 def register_node_functions(spark, folder):
