@@ -194,3 +194,14 @@ def test_file_readers(spark, tmp_path):
     assert P.read_json_files(spark, str(tmp_path / "a.json"), "a int").count() == 2
     (tmp_path / "a.xml").write_text("<r><i><v>1</v></i><i><v>2</v></i></r>")
     assert [r.v for r in read_xml_rows(spark, str(tmp_path / "a.xml"), "i", "v int").collect()] == [1, 2]
+
+
+def test_broken_csv_rows_are_held_back(spark):
+    body = 'a,b\n1,2\n5" pipe,x\n3,4\n'
+    frame = spark.createDataFrame([(1, body), (2, 'a,b\n"x,y",z\n')], "id int, body string")
+    assert sorted((r.id, r.fields) for r in C.parse_csv(frame, "body").collect()) == [(1, ["1", "2"]), (1, ["a", "b"]), (2, ["a", "b"]), (2, ["x,y", "z"])]
+    (held,) = C.csv_quarantine(frame, "body").collect()
+    assert held.id == 1 and held.row_no == 2
+    dated = spark.createDataFrame([(1, "Date,v\n2021-01-02,1\n2021-13-45,2\n2021-01-03,1,2\n2021-01-04,x\n")], "id int, body string")
+    assert [(str(r.date), r.v) for r in C.parse_csv_timeseries(dated, "body", ["v"]).orderBy("row_no").collect()] == [("2021-01-02", 1.0), ("2021-01-04", None)]
+    assert sorted(r.row_no for r in C.timeseries_quarantine(dated, "body", ["v"]).collect()) == [2, 3]

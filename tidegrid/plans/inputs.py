@@ -114,12 +114,16 @@ def csv_blobs(spark, folder):
     )
 
 
-def timeseries_blobs(spark, folder):
-    """CSV text of a hundred consecutive events each, under a header line."""
+def timeseries_blobs(spark, folder, odd=False):
+    """CSV text of a hundred consecutive events each, under a header line; `odd` ones have a row with a wrong date and one too wide."""
     events = table(spark, folder, "events")
     row = F.concat_ws(
         ",", F.date_format("ts", "yyyy-MM-dd"), F.col("event_id").cast("string"), F.col("value").cast("string")
     )
+    if odd:
+        place = F.col("event_id") % 100
+        wrong = F.concat(F.lit("2024-13-45,"), F.col("event_id").cast("string"), F.lit(",1"))
+        row = F.when(place == 17, wrong).when(place == 31, F.concat(row, F.lit(",9"))).otherwise(row)
     texts = events.groupBy(F.expr("event_id div 100").alias("doc_id")).agg(
         F.sort_array(F.collect_list(F.struct("event_id", row.alias("row")))).alias("rows")
     )

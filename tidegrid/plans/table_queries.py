@@ -110,3 +110,17 @@ SELECT event_id // 100 AS doc_id, (1 + event_id % 100)::INT AS row_no, ts::DATE
 FROM events""")
 def parse_csv_timeseries(spark, folder):
     return C.parse_csv_timeseries(timeseries_blobs(spark, folder), "body", ["id", "value"])
+
+
+@query("""
+SELECT event_id // 100 AS doc_id, (1 + event_id % 100)::INT AS row_no, ts::DATE AS date, event_id::DOUBLE AS id, value
+FROM events WHERE event_id % 100 NOT IN (17, 31)""")
+def parse_csv_timeseries_checked(spark, folder):
+    return C.parse_csv_timeseries(timeseries_blobs(spark, folder, odd=True), "body", ["id", "value"])
+
+
+@query("""
+SELECT event_id // 100 AS doc_id, (1 + event_id % 100)::INT AS row_no, event_id::VARCHAR AS id FROM events WHERE event_id % 100 IN (17, 31)""")
+def timeseries_quarantine(spark, folder):
+    held = C.timeseries_quarantine(timeseries_blobs(spark, folder, odd=True), "body", ["id", "value"])
+    return held.select("doc_id", "row_no", F.get("fields", F.lit(1)).alias("id"))

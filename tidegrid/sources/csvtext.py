@@ -14,7 +14,7 @@ from tidegrid.operators.tables import to_date, to_number
 from tidegrid.sources.snapshots import strip_bom
 
 # Noncharacters: never part of interchanged text.
-_RECORD, _FIELD, _QUOTE, _ESCAPE = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+_RECORD, _FIELD, _QUOTE, _ESCAPE, _BROKEN = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3", "\ufdd4"
 
 
 def read_csv_files(spark, path, schema, rs="\n", fs=",", esc="\\", header=False):
@@ -28,7 +28,11 @@ def read_csv_files(spark, path, schema, rs="\n", fs=",", esc="\\", header=False)
 
 
 def _records(body, rs, fs, esc):
-    """Text -> array of records, each an array of fields."""
+    """Text -> array of records (broken, fields).
+
+    A quote that is never closed breaks its record, which then holds the rest
+    of the text.
+    """
     text = strip_bom(body)
     marks = {rs: _RECORD, fs: _FIELD, '"': _QUOTE}
     if esc:
@@ -39,7 +43,11 @@ def _records(body, rs, fs, esc):
     hidden = F.transform(
         pieces,
         lambda piece, i: F.when(
-            i % 2 == 1, F.replace(F.replace(piece, F.lit(rs), F.lit(_RECORD)), F.lit(fs), F.lit(_FIELD))
+            i % 2 == 1,
+            F.concat(
+                F.when(i == F.size(pieces) - 1, _BROKEN).otherwise(""),
+                F.replace(F.replace(piece, F.lit(rs), F.lit(_RECORD)), F.lit(fs), F.lit(_FIELD)),
+            ),
         ).otherwise(piece),
     )
     lines = F.split(F.array_join(hidden, '"'), re.escape(rs))
@@ -48,11 +56,16 @@ def _records(body, rs, fs, esc):
 
     def restore(field):
         bare = F.replace(F.regexp_replace(field, r'\A"|"\z', ""), F.lit('""'), F.lit('"'))
-        for mark, plain in ((_RECORD, rs), (_FIELD, fs), (_QUOTE, '"'), (_ESCAPE, esc)):
+        for mark, plain in ((_RECORD, rs), (_FIELD, fs), (_QUOTE, '"'), (_ESCAPE, esc), (_BROKEN, "")):
             bare = F.replace(bare, F.lit(mark), F.lit(plain))
         return bare
 
-    return F.transform(lines, lambda line: F.transform(F.split(line, re.escape(fs)), restore))
+    return F.transform(
+        lines,
+        lambda line: F.struct(
+            line.contains(_BROKEN).alias("broken"), F.transform(F.split(line, re.escape(fs)), restore).alias("fields")
+        ),
+    )
 
 
 def _rows(frame, body, rs, fs, esc):
@@ -60,10 +73,12 @@ def _rows(frame, body, rs, fs, esc):
     parsed = frame.select(*key, _records(F.col(body), rs, fs, esc).alias("_all"))
     # Each record gets the width itself, so that no row carries its whole text.
     # The outer form, since Spark would parse a second time to filter out empty texts.
-    width = F.size(F.get("_all", F.lit(0))).alias("width")
-    records = F.transform("_all", lambda fields: F.struct(width, fields.alias("fields")))
+    width = F.size(F.get("_all", F.lit(0))["fields"]).alias("width")
+    records = F.transform("_all", lambda r: F.struct(width, r["broken"].alias("broken"), r["fields"].alias("fields")))
     rows = parsed.select(*key, F.posexplode_outer(records).alias("row_no", "_record"))
-    return rows.where(F.col("row_no").isNotNull()).select(*key, "_record.width", "row_no", "_record.fields")
+    return rows.where(F.col("row_no").isNotNull()).select(
+        *key, "_record.width", "_record.broken", "row_no", "_record.fields"
+    )
 
 
 def parse_csv(frame, body, columns=None, rs="\n", fs=",", esc="\\", offset=0, count=None, header=False):
@@ -74,7 +89,7 @@ def parse_csv(frame, body, columns=None, rs="\n", fs=",", esc="\\", offset=0, co
     `count` returned per document; `header` skips the first record as names.
     Fields come as `fields`, or as one column each where `columns` names them.
     """
-    rows = _rows(frame, body, rs, fs, esc).where(F.size("fields") <= F.col("width"))
+    rows = _rows(frame, body, rs, fs, esc).where((F.size("fields") <= F.col("width")) & ~F.col("broken"))
     first = offset + (1 if header else 0)
     rows = rows.where(F.col("row_no") >= first)
     if count is not None:
@@ -87,19 +102,35 @@ def parse_csv(frame, body, columns=None, rs="\n", fs=",", esc="\\", offset=0, co
 
 
 def csv_quarantine(frame, body, rs="\n", fs=",", esc="\\"):
-    """The rows that have more fields than the first record of their document."""
-    rows = _rows(frame, body, rs, fs, esc).where(F.size("fields") > F.col("width"))
-    return rows.withColumn("n_fields", F.size("fields"))
+    """The rows that have more fields than the first record of their document, and what follows a quote that is never closed."""
+    rows = _rows(frame, body, rs, fs, esc).where((F.size("fields") > F.col("width")) | F.col("broken"))
+    return rows.drop("broken").withColumn("n_fields", F.size("fields"))
 
 
 def parse_csv_timeseries(frame, body, columns, rs="\n", fs=",", esc="\\"):
-    """Rows that begin with a digit: a date, then numbers named by `columns`."""
-    rows = _rows(frame, body, rs, fs, esc)
+    """Rows that begin with a digit: a date, then numbers named by `columns`.
+
+    Rows whose date cannot be read, or that have more fields, are left to
+    `timeseries_quarantine`.
+    """
+    rows, held = _series_rows(frame, body, columns, rs, fs, esc)
     first = F.get("fields", F.lit(0))
     key = [c for c in frame.columns if c != body]
-    return rows.where(first.rlike("^[0-9]")).select(
+    return rows.where(~held).select(
         *key,
         "row_no",
         to_date(first).alias("date"),
         *[to_number(F.trim(F.get("fields", F.lit(i + 1)))).alias(c) for i, c in enumerate(columns)],
     )
+
+
+def timeseries_quarantine(frame, body, columns, rs="\n", fs=",", esc="\\"):
+    """The rows that begin with a digit but not with a date, have too many fields, or follow a quote that is never closed."""
+    rows, held = _series_rows(frame, body, columns, rs, fs, esc)
+    return rows.where(held).select(*[c for c in frame.columns if c != body], "row_no", "fields")
+
+
+def _series_rows(frame, body, columns, rs, fs, esc):
+    first = F.get("fields", F.lit(0))
+    rows = _rows(frame, body, rs, fs, esc).where(first.rlike("^[0-9]") | F.col("broken"))
+    return rows, F.col("broken") | to_date(first).isNull() | (F.size("fields") > len(columns) + 1)
