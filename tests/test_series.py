@@ -228,3 +228,19 @@ def test_one_long_sequence_uses_several_tasks(spark):
     frame = S.sequence(spark.createDataFrame([(0.0, 3_000_000.0)], "a double, b double"), "a", "b")
     pieces = frame.selectExpr("spark_partition_id() AS p").distinct().count()
     assert pieces > 1 and frame.count() == 3_000_001
+
+
+def test_chained_values_of_a_cut_series_cost_no_more_each(spark):
+    frame = spark.range(400).selectExpr("id % 2 AS k", "id AS t", "CAST(id % 7 AS DOUBLE) AS v")
+    series = S.Series(frame, "k", "t", segment_rows=16)
+    assert series.split
+    for name in ("one", "two", "three"):
+        series = series.add(**{name: S.running_sum(F.lit(1.0) if name == "one" else "v")})
+    plan = series.rows()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+    found = {r.t: r for r in series.rows().collect()}
+    for k in (0, 1):
+        total = 0.0
+        for n, t in enumerate(range(k, 400, 2), 1):
+            total += t % 7
+            assert (found[t].one, found[t].two, found[t].three) == (n, total, total)

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegrid.session import store
+
 SEGMENT_ROWS = 4_000_000
 MAX_CUTS = 65_536
 SAMPLES_PER_CUT = 16
@@ -100,10 +102,11 @@ def position(from_end=False):
 
 
 class Cuts(NamedTuple):
-    """The sorted cut points of each long key, and the most that one key has."""
+    """The sorted cut points of each long key, the most that one key has, and the number of all."""
 
     table: DataFrame
     most: int
+    all: int
 
 
 class Series:
@@ -128,13 +131,19 @@ class Series:
         self.plain, self.long_keys, self.frame, self.fresh = frame, None, frame, True
         cuts = self._cuts(frame, rows, segment_rows) if self.split else None
         self.split = bool(cuts and cuts.most)
+        self.width = None
         if self.split:
+            # As many tasks as there are segments, if that is more than usual.
+            self.width = max(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), cuts.all)
             self.long_keys = self._mark(frame, cuts, "inner")
-            self.frame = self._mark(frame, cuts, "left").repartition(*self.key, SEGMENT)
+            self.frame = self._dealt(self._mark(frame, cuts, "left"))
+
+    def _dealt(self, frame):
+        return frame.repartition(self.width, *self.key, SEGMENT)
 
     def _with(self, frame, plain=None, long_keys=None):
         other = object.__new__(Series)
-        other.key, other.order, other.split = self.key, self.order, self.split
+        other.key, other.order, other.split, other.width = self.key, self.order, self.split, self.width
         other.frame, other.plain, other.long_keys = frame, plain or self.plain, long_keys
         other.fresh = plain is not None
         return other
@@ -154,7 +163,8 @@ class Series:
         held = cuts.toArrow()
         fixed = frame.sparkSession.createDataFrame(held, cuts.schema)
         named = fixed.select(*[F.col(k).alias(f"_cut_{k}") for k in self.key], F.sort_array("_points").alias("_points"))
-        return Cuts(named, max((len(c) for c in held["_points"]), default=0))
+        sizes = [len(c) for c in held["_points"]]
+        return Cuts(named, max(sizes, default=0), sum(sizes))
 
     def _mark(self, frame, cuts, how):
         """Number the segment of each row: how many cuts of its key are not above it."""
@@ -176,7 +186,16 @@ class Series:
         return Window.partitionBy(*keys).orderBy(*[F.col(c).desc() if backwards else F.col(c).asc() for c in self.order])
 
     def add(self, **running):
-        """Add running values; all of them share one sort and one pass of totals."""
+        """Add running values; all of them share one sort and one pass of totals.
+
+        A cut series that already has some is stored in the shared folder
+        first: the totals and the windows both read it, and without that each
+        step would work out all steps before it twice.
+        """
+        if self.split and not self.fresh:
+            stored = store(self.frame, "segments")
+            held = self._with(self._dealt(stored), stored, stored.where(F.col(SEGMENT).isNotNull()))
+            return held.add(**running)
         order = F.struct(*self.order)
         local = {name: r.local(self.window(r.backwards), order) for name, r in running.items()}
         if not self.split:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidegrid.operators import returns as R
 from tidegrid.operators.tables import patch_source as patch
 from tidegrid.plans.inputs import bars_with_gaps, daily_bars, instruments, table
-from tidegrid.plans.registry import query
+from tidegrid.plans.registry import ORACLES, query
 from tidegrid.session import scratch_path
 from tidegrid.sources import prices as P
 from tidegrid.sources.requests import eod_request_urls as eod_urls
@@ -172,6 +172,14 @@ def cumulative_returns(spark, folder):
     return _rounded(R.cumulative_returns(_cleaned(spark, folder), bounded_by=few), "cum_intraday", "cum_overnight")
 
 
+@query(ORACLES["cumulative_returns"])
+def cumulative_returns_split(spark, folder):
+    """From the raw bars, as if series were long: every symbol is cut at each sixteenth bar."""
+    bars = bars_with_gaps(spark, folder)
+    found = R.returns_from_raw_bars(bars, instruments(spark, folder), FIRST, LAST, segment_rows=16)
+    return _rounded(found, "cum_intraday", "cum_overnight")
+
+
 LABEL = """CASE WHEN {0} >= 2e4 THEN '+' || format('{{:,.0f}}', {0}) || '%' WHEN {0} < -99 THEN printf('%+.2f%%', {0})
   WHEN {0} > -1 AND {0} < 1 THEN printf('%+.1f%%', {0}) ELSE printf('%+.0f%%', {0}) END"""
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.operators import series as S
 from tidegrid.plans.inputs import EVENT_ORDER, TRADE_ORDER, table, trades, user_values
-from tidegrid.plans.registry import query
+from tidegrid.plans.registry import ORACLES, query
 
 TRADES = """
 SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber,
@@ -13,18 +13,22 @@ SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber,
 FROM lineitem"""
 
 
-def _trades(spark, folder):
+# Cuts every sixteenth row, so that small tables take the path of long series.
+CUT = {"segment_rows": 16}
+
+
+def _trades(spark, folder, **options):
     rows = trades(spark, folder)
-    return S.Series(rows, "l_partkey", TRADE_ORDER)
+    return S.Series(rows, "l_partkey", TRADE_ORDER, **options)
 
 
-def _values(spark, folder):
-    return S.Series(user_values(spark, folder), "user_id", EVENT_ORDER)
+def _values(spark, folder, **options):
+    return S.Series(user_values(spark, folder), "user_id", EVENT_ORDER, **options)
 
 
-def _orders(spark, folder):
+def _orders(spark, folder, **options):
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
-    return S.Series(orders, "o_custkey", ["o_orderdate", "o_orderkey"])
+    return S.Series(orders, "o_custkey", ["o_orderdate", "o_orderkey"], **options)
 
 
 @query(f"""
@@ -35,16 +39,16 @@ WITH t AS ({TRADES}), p AS (
 SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber, position,
        (position + g) * x + CASE WHEN n = 1 THEN 1000.0::DOUBLE ELSE 0 END AS value, position * c - g * x AS amount
 FROM p""")
-def pnl(spark, folder):
-    result = S.pnl(_trades(spark, folder), "x", "c", "g", initial=1000.0)
+def pnl(spark, folder, **options):
+    result = S.pnl(_trades(spark, folder, **options), "x", "c", "g", initial=1000.0)
     return result.select("l_partkey", *TRADE_ORDER, "position", "value", "amount")
 
 
 @query("""
 SELECT user_id, event_id, coalesce(value - lag(value) OVER w, value) AS diff FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
-def series_diff(spark, folder):
-    return S.diff(_values(spark, folder), "value").select("user_id", "event_id", "diff")
+def series_diff(spark, folder, **options):
+    return S.diff(_values(spark, folder, **options), "value").select("user_id", "event_id", "diff")
 
 
 @query("""
@@ -83,11 +87,11 @@ SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber,
        round(product(1 + l_discount) OVER w, 6) AS discounts, round(product(1 + l_tax) OVER w, 6) AS taxes
 FROM lineitem
 WINDOW w AS (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS UNBOUNDED PRECEDING)""")
-def series_cumprod(spark, folder):
+def series_cumprod(spark, folder, **options):
     rows = table(spark, folder, "lineitem").select(
         "l_partkey", *TRADE_ORDER, (1 + F.col("l_discount")).alias("d"), (1 + F.col("l_tax")).alias("t")
     )
-    result = S.cumprod(S.Series(rows, "l_partkey", TRADE_ORDER), ["d", "t"])
+    result = S.cumprod(S.Series(rows, "l_partkey", TRADE_ORDER, **options), ["d", "t"])
     return result.select(
         "l_partkey", *TRADE_ORDER, F.round("d_cumprod", 6).alias("discounts"), F.round("t_cumprod", 6).alias("taxes")
     )
@@ -117,8 +121,8 @@ def drop_rows(spark, folder):
 @query("""
 WITH n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders)
 SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM n WHERE r > 2""")
-def drop_rows_back(spark, folder):
-    return S.drop(_orders(spark, folder), -2)
+def drop_rows_back(spark, folder, **options):
+    return S.drop(_orders(spark, folder, **options), -2)
 
 
 @query("""
@@ -168,3 +172,23 @@ def sequence_points(spark, folder):
         "p_partkey", "p_size", "p_retailprice", (2 + F.col("p_partkey") % 5).alias("points")
     )
     return S.sequence(bounds, "p_size", "p_retailprice", "points").select("p_partkey", "n", "value")
+
+
+@query(ORACLES["pnl"])
+def pnl_split(spark, folder):
+    return pnl(spark, folder, **CUT)
+
+
+@query(ORACLES["series_diff"])
+def series_diff_split(spark, folder):
+    return series_diff(spark, folder, **CUT)
+
+
+@query(ORACLES["series_cumprod"])
+def series_cumprod_split(spark, folder):
+    return series_cumprod(spark, folder, **CUT)
+
+
+@query(ORACLES["drop_rows_back"])
+def drop_rows_back_split(spark, folder):
+    return drop_rows_back(spark, folder, **CUT)
