@@ -7,6 +7,8 @@ document here, are bounded by the size of one row.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidegrid.sources.markup import NODE_TYPES
+
 TEXTS = ["TEXT", "CDATA"]
 
 
@@ -37,6 +39,12 @@ def node_type_profile(nodes):
     return nodes.groupBy("type").agg(F.count(F.lit(1)).alias("nodes"))
 
 
+def node_type_code(kind="type"):
+    """The number of a node type, from 1."""
+    names = F.array(*[F.lit(name) for name in NODE_TYPES])
+    return F.nullif(F.array_position(names, F.col(kind) if isinstance(kind, str) else kind), F.lit(0)).cast("int")
+
+
 def node_attributes(nodes):
     """One row per attribute of an element; those without a value are left out."""
     doc = _document(nodes)

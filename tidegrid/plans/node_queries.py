@@ -106,6 +106,52 @@ def xpath_conditions(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+# The nodes of an order as XML: the children of the root in order, and the text below each element.
+_CHILDREN = ["customer", "comment()", "price", "tag[1]", "text()", "tag[2]"]
+_ELEMENTS = ["customer", "price", "tag[1]", "tag[2]"]
+
+
+def _relations():
+    at = lambda name: f"/order/{name}"
+    pairs = list(zip(_CHILDREN, _CHILDREN[1:]))
+    following = [(c, next(e for e in _CHILDREN[i + 1 :] if e in _ELEMENTS)) for i, c in enumerate(_CHILDREN[:-1])]
+    rows = [("next", at(a), at(b)) for a, b in pairs] + [("previous", at(b), at(a)) for a, b in pairs]
+    rows += [("next element", at(a), at(b)) for a, b in following]
+    rows += [("child", "/order", at(e)) for e in _ELEMENTS] + [("first child", "/order", at("customer"))]
+    rows += [("first child", at(e), at(e) + "/text()") for e in _ELEMENTS]
+    rows += [("parent", at(c), "/order") for c in _CHILDREN] + [("parent", at(e) + "/text()", at(e)) for e in _ELEMENTS]
+    return ", ".join(f"('{r}', '{a}', '{b}')" for r, a, b in rows)
+
+
+@query(f"""SELECT o_orderkey AS doc_id, relation, path, other FROM orders,
+(VALUES {_relations()}) r(relation, path, other) WHERE o_orderkey % 100 <> 0""")
+def node_relations(spark, folder):
+    """Every node of every document with its parent, children and neighbours."""
+    columns = ["node_id", "parent_id", "depth", "pos", "type", "name", "path", "element_no"]
+    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=columns), "nodes")
+    pair = lambda frame, name, other: frame.select("doc_id", F.lit(name).alias("relation"), "node_id", F.col(other).alias("other_id"))
+    parts = [
+        pair(N.node_next(nodes), "next", "next_id"),
+        pair(N.node_next_element(nodes), "next element", "next_id"),
+        pair(N.node_prev(nodes), "previous", "prev_id"),
+        pair(N.node_children(nodes), "child", "child_id"),
+        pair(N.node_child(nodes), "first child", "child_id"),
+    ]
+    related = reduce(DataFrame.unionByName, parts).where(F.col("other_id").isNotNull())
+    paths = nodes.select("doc_id", "node_id", "path")
+    others = paths.select("doc_id", F.col("node_id").alias("other_id"), F.col("path").alias("other"))
+    shown = related.join(paths, ["doc_id", "node_id"]).join(others, ["doc_id", "other_id"]).select("doc_id", "relation", "path", "other")
+    parents = N.node_parent(nodes).where(F.col("parent_path").isNotNull())
+    return shown.unionByName(parents.select("doc_id", F.lit("parent").alias("relation"), "path", F.col("parent_path").alias("other")))
+
+
+@query("""
+SELECT o_orderkey AS doc_id, unnest([1, 3, 4, 8])::INT AS code, unnest([5, 4, 1, 1])::BIGINT AS nodes FROM orders WHERE o_orderkey % 100 <> 0""")
+def node_type_code(spark, folder):
+    nodes = M.parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=["type"])
+    return nodes.groupBy("doc_id", N.node_type_code().alias("code")).agg(F.count(F.lit(1)).alias("nodes"))
+
+
 @query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
 SELECT name, count(*) AS nodes FROM t GROUP BY name
 UNION ALL SELECT '#comment', count(*) FROM bare
