@@ -86,37 +86,55 @@ def suffix_array(text):
     suffix: one pass over the finished order puts every suffix in its place.
     """
     n = len(text)
-    members, length, below, above = [], [], [], []
-    first = {}
-    for i, value in enumerate(text):
-        first.setdefault(value, []).append(i)
-    group = [0] * n
-    for value in sorted(first):
-        number = len(members)
-        for i in first[value]:
-            group[i] = number
-        members.append(first[value])
-        length.append(1)
-        below.append(number - 1)
-        above.append(number + 1)
-    if not members:
+    if not n:
         return []
-    above[-1] = -1
+    values = np.asarray(text)
+    by_value = np.argsort(values, kind="stable")
+    new = np.append(0, np.nonzero(np.diff(values[by_value]))[0] + 1)
+    members = [part.tolist() for part in np.split(by_value, new[1:])]
+    number = np.zeros(n, np.int64)
+    number[by_value] = np.repeat(np.arange(len(new)), np.diff(np.append(new, n)))
+    group = number.tolist()
+    length = [1] * len(members)
+    below = list(range(-1, len(members) - 1))
+    above = [*range(1, len(members)), -1]
     taken, before = bytearray(n), [-1] * n
+
+    def move(moved, old, count):
+        """Put suffixes that now share a longer prefix into a group right above their old one."""
+        made = len(members)
+        for j in moved:
+            group[j] = made
+        members.append(moved)
+        length.append(length[old] + count * length[now])
+        up = above[old]
+        below.append(old)
+        above.append(up)
+        above[old] = made
+        if up >= 0:
+            below[up] = made
+
     now = len(members) - 1
     while now >= 0:
-        here = [i for i in members[now] if group[i] == now]
-        members[now] = here
+        here = members[now]
+        if len(here) > 1:
+            here = members[now] = [i for i in here if group[i] == now]
+            here.sort()
         if len(here) == 1:
             i = here[0]
-            j = i - 1
-            while j >= 0 and taken[j]:
-                j = before[j]
-            before[i] = j
-            taken[i] = 1
-            moves = {(1, group[j]): [j]} if j >= 0 else {}
-        else:
-            here.sort()
+            if group[i] == now:
+                j = i - 1
+                while j >= 0 and taken[j]:
+                    j = before[j]
+                before[i] = j
+                taken[i] = 1
+                if j >= 0:
+                    old = group[j]
+                    if len(members[old]) == 1:
+                        length[old] += length[now]
+                    else:
+                        move([j], old, 1)
+        elif here:
             counts = {}
             for i in here:
                 j = i - 1
@@ -128,42 +146,41 @@ def suffix_array(text):
                     counts[j] = counts.get(j, 0) + 1
             moves = {}
             for j, count in counts.items():
-                moves.setdefault((count, group[j]), []).append(j)
-        for count, old in sorted(moves, reverse=True) if len(moves) > 1 else moves:
-            number = len(members)
-            moved = moves[count, old]
-            for j in moved:
-                group[j] = number
-            members.append(moved)
-            length.append(length[old] + count * length[now])
-            next_up = above[old]
-            below.append(old)
-            above.append(next_up)
-            above[old] = number
-            if next_up >= 0:
-                below[next_up] = number
+                key = count, group[j]
+                if key in moves:
+                    moves[key].append(j)
+                else:
+                    moves[key] = [j]
+            for count, old in sorted(moves, reverse=True):
+                move(moves[count, old], old, count)
         now = below[now]
-    # Groups in ascending order, and where each begins.
+    # Where each group begins in ascending order, and which suffixes follow on which.
     place = [0] * len(members)
     at, now = 0, 0
     while now >= 0:
         place[now] = at
-        at += len(members[now]) if members[now] and group[members[now][0]] == now else 0
+        held = members[now]
+        if held and group[held[0]] == now:
+            at += len(held)
         now = above[now]
-    follow = [[] for _ in range(n + 1)]
-    for i in range(n):
-        follow[i + length[group[i]]].append(i)
+    groups = np.array(group)
+    following = np.arange(n) + np.array(length)[groups]
+    by_next = np.argsort(following, kind="stable")
+    ends = np.searchsorted(following[by_next], np.arange(n + 1), side="right").tolist()
+    starts = [0, *ends[:-1]]
+    by_next = by_next.tolist()
     order = [-1] * n
     for rank in range(-1, n):
-        for i in follow[n if rank < 0 else order[rank]]:
+        k = n if rank < 0 else order[rank]
+        for i in by_next[starts[k] : ends[k]]:
             g = group[i]
             order[place[g]] = i
             place[g] += 1
     return order
 
 
-BLOCK = 3_000_000  # bytes of text whose anchors are found at once
-BUCKET = 16_000_000  # bytes of text for each bucket of anchors
+BLOCK = 2_000_000  # bytes of text whose anchors are found at once
+BUCKET = 8_000_000  # bytes of text for each bucket of anchors
 ARRAY = 150_000  # bytes of one suffix array
 
 PACKED = ("bucket", "ids", "grams", "contexts", "owners", "lows", "spans", "offsets", "done_owners", "done_lows", "done_spans")
@@ -295,7 +312,8 @@ def _settle(batches):
         yield found
 
 
-CONTEXTS = "key long, id long, low long, high long, body binary"
+CONTEXTS = "key long, id long, low long, at long, body binary"
+CLASS = 4  # neighbouring starts that are looked at together
 
 
 def _contexts(length, gram):
@@ -317,7 +335,7 @@ def _contexts(length, gram):
                     if place["high"] + length > len(body):
                         continue
                     for low, high, key in halves(body, place["low"], place["high"], place["at"]):
-                        out.append((xxhash.xxh3_64_intdigest(key) - 2**63, id, low, high, body[low : high + length]))
+                        out.append((xxhash.xxh3_64_intdigest(key) - 2**63, id, low, place["at"], body[low : high + length]))
                 if len(out) > 20_000:
                     yield batch(CONTEXTS, *zip(*out))
                     out = []
@@ -370,33 +388,80 @@ def _blocks_of(run, length):
     return [part for part in parts if part]
 
 
+def _combined(run, length):
+    """Contexts of one key, by rising identifier: those equal to one of a smaller document are settled, and one of each kind is left."""
+    least, settled, left = {}, [], []
+    for id, low, at, body in run:
+        if least.setdefault(body, id) < id:
+            settled.append((id, low, low + len(body) - length))
+        else:
+            left.append((id, low, at, body))
+    return settled, left if len(least) > 1 else []
+
+
+def _shared(run, length):
+    """The parts of contexts that hold starts which another document may share.
+
+    Starts are looked at by classes of a few, counted from the anchor; all
+    strings of a class hold the bytes from its last start to the end of its
+    first string. Where no other document has those, the class is left out.
+    """
+    owners, classes = {}, []
+    for n, (id, low, at, body) in enumerate(run):
+        high = low + len(body) - length
+        for c in range((at - high) // CLASS, (at - low) // CLASS + 1):
+            last, first = at - c * CLASS, at - c * CLASS - CLASS + 1
+            core = c, body[last - low : first + length - low]
+            seen = owners.setdefault(core, id)
+            if seen is not None and seen != id:
+                owners[core] = None
+            classes.append((n, c, core))
+    out, open_part = [], None
+    for n, c, core in classes:
+        if owners[core] is not None:
+            continue
+        id, low, at, body = run[n]
+        begin, end = max(low, at - c * CLASS - CLASS + 1), min(low + len(body) - length, at - c * CLASS)
+        if open_part and open_part[0] == n and open_part[1] == end + 1:
+            open_part[1] = begin
+        else:
+            open_part = [n, begin, end]
+            out.append(open_part)
+    return [(run[n][0], begin, run[n][3][begin - run[n][1] : end + length - run[n][1]]) for n, begin, end in out]
+
+
 def _sort(length):
     schema = "id long, low long, high long"
 
-    def emit(run):
-        found = [(id, start, start) for id, start in repeated(run, length)]
-        return [batch(schema, *zip(*found))] if found else []
-
     def run(batches):
         key, current, ready, size = None, [], [], 0
+        found = []
+
+        def close():
+            nonlocal size, ready
+            settled, left = _combined(current, length)
+            found.extend(settled)
+            for part in _blocks_of(_shared(left, length), length) if left else ():
+                ready.extend(part)
+                size += sum(len(c[2]) for c in part)
+                if size >= ARRAY // 2:
+                    found.extend((id, start, start) for id, start in repeated(ready, length))
+                    ready, size = [], 0
+
         for rows in batches:
-            columns = [rows.column(i).to_pylist() for i in (0, 1, 2, 4)]
-            for now, id, low, body in zip(*columns):
+            columns = [rows.column(i).to_pylist() for i in range(5)]
+            for now, id, low, at, body in zip(*columns):
                 if now != key:
-                    if len(current) > 1 and any(c[0] != current[0][0] for c in current):
-                        for part in _blocks_of(current, length):
-                            ready.extend(part)
-                            size += sum(len(c[2]) for c in part)
-                            if size >= ARRAY // 2:
-                                yield from emit(ready)
-                                ready, size = [], 0
+                    close()
                     key, current = now, []
-                current.append((id, low, body))
-        if len(current) > 1:
-            for part in _blocks_of(current, length):
-                yield from emit(part)
-        if ready:
-            yield from emit(ready)
+                current.append((id, low, at, body))
+            if len(found) > 20_000:
+                yield batch(schema, *zip(*found))
+                found.clear()
+        close()
+        found.extend((id, start, start) for id, start in repeated(ready, length))
+        if found:
+            yield batch(schema, *zip(*found))
 
     return run, schema
 
