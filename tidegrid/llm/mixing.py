@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidegrid.llm.support import cut
+
 WHOLE = "decimal(38,0)"
 # Digits of the order hash that make the bucket of a document: 65,536 buckets in each leaf.
 BUCKET_DIGITS = 4
@@ -19,13 +21,12 @@ def _fill(children, parents, keys, level):
     """Share the budget of each parent among its children.
 
     `children` has the keys down to `level`, weight and capacity; `parents` the
-    keys above it and budget. Children whose capacity is below their share get
+    keys above it and budget, or for the first level is the one budget. Children whose capacity is below their share get
     all they can use and leave the rest to their siblings, in order of capacity
     by weight; the others divide what is left by weight, to the last token.
     """
     above = keys[:level]
-    root = F.lit(0)
-    joined = children.withColumn("root", root).join(parents.withColumn("root", root), ["root", *above]).drop("root")
+    joined = children.join(parents, above) if above else children.withColumn("budget", F.lit(parents))
     ratio = F.when(F.col("weight") > 0, F.col("capacity").cast("double") / F.col("weight")).otherwise(F.lit(float("inf")))
     order = Window.partitionBy(*above).orderBy("ratio", keys[level])
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -65,7 +66,7 @@ def budgets(leaves, keys, weights, total):
     `leaves` has the key columns, one level of the tree each, and tokens (what
     a leaf can give, all epochs together). `weights` maps each key column to a
     column expression of that level: an integer target weight among siblings,
-    at least 0. `total` is a frame of one row with the budget of the root.
+    at least 0. `total` is the budget of the root.
     """
     parents = total
     for level in range(len(keys)):
@@ -125,9 +126,10 @@ def mix(frame, keys, weights, fraction=(1, 2), epochs=1, seed=17, id="doc_id", t
     levels = [F.coalesce(column.cast("string"), F.lit("(null)")).alias(name) for name, column in keys.items()]
     documents = frame.select(F.col(id).alias("id"), words(text).alias("n_tokens"), *levels)
     found = documents.groupBy(*names).agg(F.sum("n_tokens").alias("available"))
+    found = cut(found)
     capacity = found.select(*names, (F.col("available") * epochs).alias("tokens"))
-    total = found.agg(F.coalesce(F.expr(f"sum(available) * {int(fraction[0])} div {int(fraction[1])}"), F.lit(0)).alias("budget"))
-    leaves = budgets(capacity, names, weights, total).join(found, names)
+    total = found.agg(F.sum("available")).first()[0] or 0
+    leaves = cut(budgets(capacity, names, weights, int(total) * int(fraction[0]) // int(fraction[1])).join(found, names))
     rows = select_prefixes(documents, leaves, names, seed)
     return rows.select(
         F.col("id").alias(id),
