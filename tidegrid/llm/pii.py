@@ -6,7 +6,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidegrid.llm.support import batch, id_and_text
+from tidegrid.llm.support import batch, hashed_sample, id_and_text
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -238,7 +238,7 @@ def train(frame, id="doc_id", text="text", documents=2000, forms=600):
     documents by a hash of the identifier, so it is the same on every run.
     """
     rows = id_and_text(frame, id, text).filter(F.col(text).rlike("[0-9@]") & (F.length(text) < 20_000))
-    rows = rows.orderBy(F.xxhash64(F.lit("pii"), F.col(id)), id, text).limit(documents)
+    rows = hashed_sample(rows, "pii", documents, id, text)
     found = examples([r[0] for r in rows.select(text).collect()])
     found.sort(key=lambda e: (-e[2], e[0]))
     return Field().fit(found[:forms])

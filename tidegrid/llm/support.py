@@ -60,6 +60,17 @@ def cut(frame):
     return frame.checkpoint(eager=True)
 
 
+def hashed_sample(frame, name, most, id="id", *ties):
+    """At most `most` rows, the first by a hash of the identifier, the same on every run.
+
+    Only a share that surely holds enough is put in order, so that what tasks
+    send does not grow with their number.
+    """
+    key = F.xxhash64(F.lit(name), F.col(id))
+    total = max(1, frame.count())
+    return frame.filter(F.pmod(key, F.lit(total)) < 4 * most).orderBy(key, id, *ties).limit(most)
+
+
 def _both(edges):
     return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
