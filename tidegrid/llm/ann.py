@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidegrid.llm.support import batch, cut
+from tidegrid.llm.support import batch, cut, hashed_sample
 
 BLOCK = 4096  # vectors in one packed row of the index
 QUERIES = 512  # queries in one packed row
@@ -102,7 +102,7 @@ def train(vectors, parts=32, sample=4096, degree=16, hidden=128, steps=600, seed
     The neighbour graph of the sample is cut into `parts` balanced parts (a
     power of two); each vector's target is where it and its neighbours lie.
     """
-    rows = vectors.orderBy(F.xxhash64(F.lit("ann"), F.col("id")), "id", "vector").limit(sample).toArrow()
+    rows = hashed_sample(vectors, "ann", sample, "id", "vector").toArrow()
     points = matrix(rows.column("vector").combine_chunks()).astype(np.float32)
     while parts > 1 and parts * 4 > len(points):
         parts //= 2
@@ -217,7 +217,7 @@ def brute_force(vectors, query_ids, queries, k):
 
 def probes_needed(router, vectors, k, recall, trials, parts):
     """Parts to search so that `trials` held-out rows find the given share of their exact neighbours among all rows."""
-    rows = vectors.orderBy(F.xxhash64(F.lit("trial"), F.col("id")), "id", "vector").limit(trials).toArrow()
+    rows = hashed_sample(vectors, "trial", trials, "id", "vector").toArrow()
     ids, points = rows.column("id").to_numpy(), matrix(rows.column("vector").combine_chunks())
     truth = brute_force(vectors, ids, points, k).join(vectors, "id").select("query", "vector").toArrow()
     if not truth.num_rows:
