@@ -13,7 +13,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tidegrid.llm import ann, bpe, exact, langid, mixing, pii, simhash, spans, suffix, support, toxicity
+from tidegrid.llm import ann, bpe, exact, langid, mixing, near, pii, simhash, spans, suffix, support, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -222,6 +222,18 @@ def test_spans(frame):
     assert found[None].n_removed == 0
 
 
+def test_sketches_lose_no_pair():
+    r = np.random.default_rng(2)
+    base = r.integers(0, 2**64, 400, np.uint64)
+    sets = [np.unique(np.append(base[r.random(400) > r.random() / 5], r.integers(0, 2**64, r.integers(0, 60), np.uint64))) for _ in range(120)]
+    sketches = np.array([near.sketch(s) for s in sets]).view(np.int64)
+    order, sizes = np.arange(len(sets)), np.array([len(s) for s in sets])
+    found, rest = near.compare(order, sizes, order, sketches, len(sets), (4, 5))
+    found = set(map(tuple, np.concatenate(found).tolist()))
+    every = {(a, b) for b in range(len(sets)) for a in range(b) if near.similar(sets[a], sets[b], (4, 5))}
+    assert 0 < len(every) <= len(found) < len(sets) * (len(sets) - 1) // 2 and every <= found and not len(rest)
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

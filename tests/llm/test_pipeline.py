@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, and the registered queries against their SQL twins."""
 
+import random
 from pathlib import Path
 
 import duckdb
@@ -42,6 +43,41 @@ def test_near_copies_go_and_others_stay(spark):
     assert kept == set(range(12))
 
 
+def test_near_copies_end_at_four_fifths(spark):
+    r = random.Random(3)
+    fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    table, kept = [], set()
+    for i in range(40):
+        # 396 shingles, of which a change at the end takes 44 (352 / 440 = 0.8) or 45.
+        base = fresh(400)
+        table += [(3 * i, base), (3 * i + 1, base[:356] + fresh(44)), (3 * i + 2, base[:355] + fresh(45))]
+        kept |= {3 * i, 3 * i + 2}
+    # The second of a chain is near the first and the third, which alone are not near one another.
+    chain = fresh(400)
+    table += [(1000, chain + fresh(60)), (1001, chain), (1002, chain[60:])]
+    kept |= {1000}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in table], "doc_id long, text string")
+    assert {row.doc_id for row in corpus_pipeline.distinct_enough(spark, docs, "").collect()} == kept
+
+
+def test_near_copies_in_large_runs(spark):
+    """Copies of a few texts that share a passage, in runs that are longer than one round compares."""
+    r = random.Random(5)
+    fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    shared = fresh(210)
+    bases = [shared + fresh(90) for _ in range(8)]
+    texts = [b[:250] + fresh(r.randrange(25)) + b[250:] for _ in range(12) for b in bases]
+    sets = [set(zip(*[t[k:] for k in range(5)])) for t in texts]
+    least = list(range(len(texts)))
+    for _ in range(6):
+        for a in range(len(texts)):
+            for b in range(a):
+                if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                    least[a] = least[b] = min(least[a], least[b])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {row.doc_id for row in corpus_pipeline.distinct_enough(spark, docs, "").collect()} == {i for i, l in enumerate(least) if l == i}
+
+
 needs_tables = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
 
 

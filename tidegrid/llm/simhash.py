@@ -21,24 +21,35 @@ def _spread(h, lane):
     return h ^ (h >> np.uint64(31))
 
 
-def fingerprint(text, words, lanes):
-    """The lanes of one text (bytes): bit i is set if it is in over half of the shingle hashes."""
+def shingles(text, words):
+    """A text (bytes) as words with single spaces, and where its shingles start and end; None for a text without words."""
     found = text.lower().split()  # of bytes: A-Z only; space and \t\n\v\f\r part words
     if not found:
-        return np.zeros(lanes, np.uint64)
+        return None
     line = b" ".join(found)
     sizes = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(sizes + 1) - 1
     starts = ends - sizes
     if len(found) >= words:
-        starts, ends = starts[: len(found) - words + 1], ends[words - 1 :]
-    else:
-        starts, ends = starts[:1], ends[-1:]
+        return line, starts[: len(found) - words + 1], ends[words - 1 :]
+    return line, starts[:1], ends[-1:]
+
+
+def hashes(line, starts, ends):
+    """The 64-bit hashes of some shingles."""
     digest = xxhash.xxh64_intdigest
+    return np.array([digest(line[a:b], 42) for a, b in zip(starts.tolist(), ends.tolist())], np.uint64)
+
+
+def fingerprint(text, words, lanes):
+    """The lanes of one text (bytes): bit i is set if it is in over half of the shingle hashes."""
+    found = shingles(text, words)
+    if not found:
+        return np.zeros(lanes, np.uint64)
+    line, starts, ends = found
     counts = np.zeros((lanes, 64), np.int64)
     for at in range(0, len(starts), HASHES):
-        cut = zip(starts[at : at + HASHES].tolist(), ends[at : at + HASHES].tolist())
-        h = np.array([digest(line[a:b], 42) for a, b in cut], np.uint64)
+        h = hashes(line, starts[at : at + HASHES], ends[at : at + HASHES])
         for lane in range(lanes):
             bits = np.unpackbits((_spread(h, lane) if lane else h).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             counts[lane] += bits.sum(0, dtype=np.int64)
