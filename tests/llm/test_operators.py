@@ -456,3 +456,16 @@ def test_empty_tables(spark, empty):
         suffix.remove_repeats(empty),
     ]
     assert [f.count() for f in found] == [0] * len(found)
+
+
+def test_only_judged_copies_go(spark):
+    copy, other = prose(60, 700), prose(60, 701)
+    table = [(None, copy), (None, other), (None, prose(60, 702)), (1, copy), (2, prose(60, 703)), (2, prose(60, 704)), (3, prose(60, 705)), (3, other.upper()), (4, other)]
+    table += [(5, prose(60, 703)), (0, prose(60, 703))]
+    frame = spark.createDataFrame(table, "doc_id long, text string")
+    kept = lambda found: sorted(((r.doc_id, r.text) for r in found.collect()), key=repr)
+    # The largest identifier stays, and the other texts of null, 2 and 3 are no copies.
+    assert kept(exact.dedup(frame)) == sorted([table[i] for i in (2, 3, 5, 6, 8, 9)], key=repr)
+    # The smallest stays; a row without identifier too.
+    expected = sorted([table[i] for i in (0, 1, 2, 3, 5, 6, 7, 10)], key=repr)
+    assert kept(simhash.dedup(frame)) == kept(near.dedup(frame)) == expected

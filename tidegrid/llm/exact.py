@@ -1,6 +1,7 @@
 """Exact deduplication by owners in compressed radix tries."""
 
 import hashlib
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import functions as F
 
@@ -182,6 +183,12 @@ def groups(frame, id="doc_id", text="text", keep="largest"):
 
 
 def dedup(frame, id="doc_id", text="text", keep="largest"):
-    """The rows that stay, with all their columns."""
-    dropped = groups(frame, id, text, keep).filter(~F.col("kept")).select(F.col(id).alias("_dropped"))
-    return frame.join(dropped, frame[id].eqNullSafe(dropped["_dropped"]), "left_anti")
+    """The rows that stay, with all their columns.
+
+    A row goes only if its own text was judged a copy: another text under the
+    same identifier, or under none, is not touched by that.
+    """
+    dropped = groups(frame, id, text, keep).filter(~F.col("kept")).select(F.col(id).alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
+    body = F.coalesce(frame[text].cast("string"), F.lit(""))
+    sha = F.sha2(F.translate(body, ascii_uppercase, ascii_lowercase).cast("binary"), 256)
+    return frame.join(dropped, frame[id].eqNullSafe(dropped["_gone_id"]) & (sha == dropped["_gone_sha"]), "left_anti")

@@ -60,14 +60,15 @@ def _names(lanes):
     return [f"f{i}" for i in range(lanes)]
 
 
-def _fingerprints(words, lanes):
-    schema = ", ".join(["id long"] + [f"{n} long" for n in _names(lanes)])
+def _fingerprints(words, lanes, *more):
+    """Of rows of an identifier, the columns `more` (longs) and the text."""
+    schema = ", ".join(["id long"] + [f"{n} long" for n in [*more, *_names(lanes)]])
 
     def run(batches):
         for rows in batches:
-            prints = [fingerprint(t, words, lanes) for t in raw(rows.column(1))]
+            prints = [fingerprint(t, words, lanes) for t in raw(rows.column(1 + len(more)))]
             if prints:
-                yield batch(schema, rows.column(0), *np.array(prints).view(np.int64).T)
+                yield batch(schema, *rows.columns[:-1], *np.array(prints).view(np.int64).T)
 
     return run, schema
 
@@ -236,7 +237,22 @@ def groups(frame, id="doc_id", text="text", words=3, lanes=1, segment=32, distan
     )
 
 
-def dedup(frame, id="doc_id", text="text", **settings):
-    """The rows of the frame without those whose component has a smaller identifier; all columns stay, and rows without identifier stay."""
-    dropped = groups(frame, id, text, **settings).filter(F.col(id) != F.col("component_id")).select(F.col(id).alias("_dropped")).distinct()
-    return frame.join(dropped, frame[id] == dropped["_dropped"], "left_anti")
+def dedup(frame, id="doc_id", text="text", words=3, lanes=1, segment=32, distance=3):
+    """The rows of the frame without those whose component has a smaller identifier; all columns stay, and rows without identifier stay.
+
+    Components are those of `groups`, but of texts: another text under the
+    same identifier is a node of its own, and goes only by its own links.
+    """
+    names = _names(lanes)
+    run, schema = _fingerprints(words, lanes, "mark")
+    mark = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    rows = frame.filter(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("id"), mark.alias("mark"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    prints = cut(rows.mapInArrow(run, schema))
+    distinct = cut(prints.groupBy(*names).agg(F.min("id").alias("own")).withColumn("rep", F.xxhash64(*names) if lanes > 1 else F.col("f0")))
+    found = components(links(distinct, lanes, segment, distance))
+    classes = distinct.join(found, distinct.rep == found.node, "left").select(*names, "own", F.coalesce("least", "rep").alias("part"))
+    smallest = classes.groupBy("part").agg(F.min("own").alias("component_id"))
+    judged = prints.join(classes.drop("own"), names).join(smallest, "part")
+    dropped = judged.filter("id <> component_id").select(F.col("id").alias("_gone_id"), F.col("mark").alias("_gone_mark")).distinct()
+    own = F.xxhash64(F.coalesce(frame[text].cast("string"), F.lit("")))
+    return frame.join(dropped, (frame[id].cast("long") == dropped["_gone_id"]) & (own == dropped["_gone_mark"]), "left_anti")
