@@ -234,6 +234,20 @@ def test_sketches_lose_no_pair():
     assert 0 < len(every) <= len(found) < len(sets) * (len(sets) - 1) // 2 and every <= found and not len(rest)
 
 
+def test_spans_inside_long_sentences(spark):
+    """A passage of 55 words without a full stop is found at any offset in a sentence."""
+    r = random.Random(8)
+    fresh = lambda n: [r.choice(VOCABULARY) + str(r.randrange(10**6)) for _ in range(n)]
+    passage = fresh(55)
+    texts = [(i, " ".join(fresh(20 + i) + passage + fresh(70 - i))) for i in range(40)]
+    found = by_id(spans.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string"), words=10))
+    assert found[0].n_removed == 0 and found[0].kept == texts[0][1]
+    for i, text in texts[1:]:
+        left = set(found[i].kept.split())
+        assert len(left & set(passage)) <= 27 and left >= set(text.split()) - set(passage)
+    assert spans.cuts(["z"] * 40) == [0, 1, 17, 33]
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
