@@ -53,11 +53,15 @@ def by_text(rows):
 
 def test_archives_read_back(spark, tmp_path):
     frame = spark.createDataFrame(pages(), PAGES).repartition(3)
-    found = warc.round_trip(frame, str(tmp_path / "a"), archive_bytes=400_000)
+    found = warc.round_trip(frame, str(tmp_path / "a"), archive_bytes=400_000, file_rows=20)
     assert found.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     assert by_text(found.collect()) == by_text(expected(pages()))
     files = list((tmp_path / "a").glob("part-*"))
-    assert len(files) > 2
+    assert len(files) > 4
+    # No archive is larger than asked for, but for one of a single record.
+    held = [(f.stat().st_size, len(list(warc.archive(f.read_bytes())))) for f in files]
+    assert all(records == 1 or size < 400_000 + 20 * 8 for size, records in held)
+    assert all(records < 20 for _, records in held) and max(records for _, records in held) > 5
     texts = {(i, t or "") for i, _, t, *_ in pages()}
     whole = warc.resolved(warc.read(spark, str(tmp_path / "a")))
     assert whole.where("problem IS NOT NULL").count() == 0

@@ -4,8 +4,9 @@ An archive begins with a skippable frame that holds the dictionary of all its
 frames; each record after it is one frame, so that any record can be read by
 itself. Spark's text writer lays the frames into files. Its line separator is
 an empty skippable frame, which every reader of such files passes over, so the
-files are archives as they are. One file is one task's work on either side, and
-its size is bounded by the number of files that the writer is asked for.
+files are archives as they are. The writer begins a new file after a fixed
+number of rows; an archive that reaches its size before is filled up with empty
+rows, each an empty frame, so that the size is bounded without a shuffle.
 """
 
 import hashlib
@@ -29,6 +30,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
 
 FLUSH_BYTES = 16 << 20
+# Rows of one file: the dictionary, the records, and what fills it up.
+FILE_ROWS = 8192
 RECORD = "archive string, offset long, record_id string, record_type string, target_uri string, date string, refers_to string, payload_digest string, payload_bytes long, payload binary, problem string"
 
 
@@ -71,7 +74,8 @@ def records(frame, id="page_id", url="url", payload="html", least=100):
     shared = rows.where((F.col("bytes") >= least) & F.col("id").isNotNull()).groupBy("digest").agg(
         F.min("id").alias("first"), F.count(F.lit(1)).alias("_n")
     )
-    marked = join_on_key(rows, shared.where("_n > 1").drop("_n"), ["digest"])
+    # Stored, its size is known before the join, which then moves no payload where it is small.
+    marked = join_on_key(rows, store(shared.where("_n > 1").drop("_n"), "shared"), ["digest"])
     revisit = F.coalesce(F.col("id") > F.col("first"), F.lit(False))
     return marked.select(
         record_id(F.col("id"), F.col("digest")).alias("record_id"),
@@ -84,37 +88,47 @@ def records(frame, id="page_id", url="url", payload="html", least=100):
     )
 
 
-def write(frame, path, dictionary=None, archive_bytes=64 << 20, date="1970-01-01T00:00:00Z"):
-    """Write the rows of `records` as archives below `path`, each of about `archive_bytes` of payload.
+def write(frame, path, dictionary=None, archive_bytes=64 << 20, file_rows=FILE_ROWS, date="1970-01-01T00:00:00Z"):
+    """Write the rows of `records` as archives below `path`, each of at most `archive_bytes` and `file_rows` rows.
 
-    An empty table writes no archive. A single payload is never divided.
+    An empty table writes no archive. A single record is never divided, so one
+    that is larger is an archive by itself.
     """
+    if file_rows < 2:
+        raise ValueError("an archive has a row for its dictionary and one for a record")
     bound_batches(frame.sparkSession)
-    total = frame.agg(F.sum(F.octet_length("payload")).cast("long")).first()[0] or 0
-    # Equal rows without an identifier are told apart by the task they come from.
-    dealt = frame.repartition(1 + total // archive_bytes, F.xxhash64("record_id", F.spark_partition_id()))
-    frames = dealt.mapInArrow(_packer(dictionary, date), "frame binary")
+    frames = frame.mapInArrow(_packer(dictionary, archive_bytes, file_rows, date), "frame binary")
     # A string of Spark is plain bytes to the text writer.
-    frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR).text(path)
+    text = frames.select(F.col("frame").cast("string").alias("value"))
+    text.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", file_rows).text(path)
 
 
-def _packer(dictionary, date):
+def _packer(dictionary, archive_bytes, file_rows, date):
+    columns = ("record_id", "record_type", "url", "refers_to", "digest")
+
     def pack(batches):
         held = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         zstd = zstandard.ZstdCompressor(level=3, dict_data=held, write_checksum=True, write_content_size=True)
-        first = True
+        lead = zstandard.ZstdCompressor(level=19).compress(dictionary) if dictionary else b""
+        lead = [struct.pack("<II", DICTIONARY, len(lead)) + lead] if dictionary else []
+        rows, size = 0, 0
         for block in batches:
-            out, size = [], 0
-            if first and dictionary and block.num_rows:
-                packed = zstandard.ZstdCompressor(level=19).compress(dictionary)
-                out.append(struct.pack("<II", DICTIONARY, len(packed)) + packed)
-            first = first and not block.num_rows
-            for row in zip(*[block.column(c).cast(pa.binary()).to_pylist() for c in ("record_id", "record_type", "url", "refers_to", "digest")], block.column("bytes").to_pylist(), block.column("payload").to_pylist()):
-                out.append(zstd.compress(_record(*row, date)))
-                size += len(out[-1])
-                if size > FLUSH_BYTES:
+            out, waiting = [], 0
+            texts = [block.column(c).cast(pa.binary()).to_pylist() for c in columns]
+            for *row, length, payload in zip(*texts, block.column("bytes").to_pylist(), block.column("payload")):
+                frame = zstd.compress(_record(*row, length, payload.as_py(), date))
+                if rows == file_rows:
+                    rows = size = 0
+                elif rows and size + len(frame) > archive_bytes:
+                    out += [b""] * (file_rows - rows)
+                    rows = size = 0
+                new = [frame] if rows else [*lead, frame]
+                rows, size = rows + len(new), size + sum(map(len, new))
+                out += new
+                waiting += len(frame)
+                if waiting > FLUSH_BYTES:
                     yield batch("frame binary", out)
-                    out, size = [], 0
+                    out, waiting = [], 0
             if out:
                 yield batch("frame binary", out)
 
@@ -309,14 +323,14 @@ def resolved(rows):
     ).drop("_seen")
 
 
-def round_trip(frame, path, id="page_id", url="url", payload="html", least=100, archive_bytes=64 << 20):
+def round_trip(frame, path, id="page_id", url="url", payload="html", least=100, archive_bytes=64 << 20, file_rows=FILE_ROWS):
     """Archive a table below `path` and read it back: what the records say of each row.
 
     One row per row of `frame`, whatever else its columns hold; an empty table
     gives none. A record that does not read back as it was written fails the job.
     """
     kind = frame.schema[id].dataType
-    write(records(frame, id, url, payload, least), path, train(frame, id, payload), archive_bytes)
+    write(records(frame, id, url, payload, least), path, train(frame, id, payload), archive_bytes, file_rows)
     # Without payloads the records are small; stored, the archives are read once.
     rows = resolved(store(read(frame.sparkSession, path, payloads=False), "records"))
     wrong = F.raise_error(F.concat("archive", F.lit(": "), "problem")).cast("string")
