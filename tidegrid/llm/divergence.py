@@ -23,6 +23,8 @@ BYTES = np.array([b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <
 # Terms of one transducer, terms of one block of comparisons, sources of one.
 PIECE, TERMS, SOURCES = 131_072, 4_096, 256
 ROUND_BYTES = 32 << 20
+# Places that a state is tried at before the search leaves the crowded ones behind.
+TRIES = 64
 TOKENS = 1 << 20
 
 SHARD = "lang string, first binary, terms long, states binary"
@@ -69,36 +71,37 @@ def transducer(terms):
     of terms that come before all those behind the arc.
     """
     arcs, sizes = minimal(terms)
-    room = 512
-    owner = np.full(room, -1, np.int32)
-    placed, taken, free = {}, set(), 0
-    # Wide states first, since they fit only where there is space.
+    used, placed, taken, begin = bytearray(2048), {}, set(), {}
+    # Wide states first, since they fit only where there is space; for each width the search goes on where it became slow.
     for state in sorted(range(1, len(arcs)), key=lambda s: -len(arcs[s])):
         steps = [byte for byte, _ in arcs[state]]
-        while owner[free] >= 0:
-            free += 1
-        at, tries = max(free - steps[0], 0), 0
-        while at in taken or (owner[[at + b for b in steps]] >= 0).any():
+        slot = begin.get(len(steps), 256)
+        while used[slot]:
+            slot += 1
+        begin[len(steps)] = slot
+        at, tries = slot - steps[0], 0
+        while at in taken or any(used[at + byte] for byte in steps):
             at, tries = at + 1, tries + 1
-            if tries == 4096:
-                at = room - 256
-            if at + 256 >= room:
-                owner, room = np.concatenate([owner, np.full(room, -1, np.int32)]), 2 * room
+            if at + 1024 > len(used):
+                used += bytes(len(used))
+        if tries > TRIES:
+            begin[len(steps)] = at + steps[0]
         taken.add(at)
         placed[state] = at
         for byte in steps:
-            owner[at + byte] = at
-        if free + 512 >= room or at + 512 >= room:
-            owner, room = np.concatenate([owner, np.full(room, -1, np.int32)]), 2 * room
+            used[at + byte] = 1
+        if at + 1024 > len(used):
+            used += bytes(len(used))
     length = max(placed.values()) + 256
+    owner = np.full(length, -1, np.int32)
     target, output = np.zeros(length, np.int32), np.zeros(length, np.int32)
     for state, at in placed.items():
         below = 0
         for byte, child in arcs[state]:
-            target[at + byte], output[at + byte] = placed.get(child, 0), below
+            owner[at + byte], target[at + byte], output[at + byte] = at, placed.get(child, 0), below
             below += sizes[child]
     start = placed[len(arcs) - 1]
-    return np.concatenate([np.array([start], np.int32), owner[:length], target, output]).tobytes()
+    return np.concatenate([np.array([start], np.int32), owner, target, output]).tobytes()
 
 
 def opened(held):
