@@ -64,15 +64,26 @@ def document_text(nodes):
 def node_content(nodes, picked=None, out="node_content"):
     """Add the text of the whole subtree of each node, or of each `picked` node.
 
-    The text of a subtree is one slice of the text of its document, so no node
-    meets its descendants.
+    The text of a subtree is one slice of the text of its document. Texts and
+    picked nodes of a document meet in one row, and slices are cut there, so the
+    text is held once and no node meets its descendants. Text of four bytes a
+    character can be cut anywhere at once, without a count from its start.
     """
     doc = _document(nodes)
     picked = nodes if picked is None else picked
-    whole = picked.join(document_text(nodes), doc, "left")
-    size = F.col("text_end") - F.col("text_start")
-    inner = F.when(size > 0, F.substr("text", F.col("text_start") + 1, size)).otherwise("")
-    return whole.withColumn(out, F.when(F.col("type") == "ELEMENT", inner).otherwise(F.col("content"))).drop("text")
+    texts = nodes.where(F.col("type").isin(TEXTS)).select(doc, F.struct("node_id", "content").alias("_t"))
+    # Nodes that are not elements have their text with them.
+    rest = picked.where(F.col("type") != "ELEMENT").withColumn(out, F.col("content"))
+    asked = picked.where(F.col("type") == "ELEMENT").select(doc, F.struct(*picked.columns).alias("_p"))
+    held = texts.unionByName(asked, allowMissingColumns=True).groupBy(doc).agg(
+        F.sort_array(F.collect_list("_t")).alias("_t"), F.collect_list("_p").alias("_p")
+    )
+    whole = F.encode(F.array_join(F.transform("_t", lambda t: t["content"]), ""), "UTF-32")
+    cut = held.where(F.size("_p") > 0).select(whole.alias("_whole"), F.explode("_p").alias("_p"))
+    start, size = 4 * F.col("_p.text_start"), 4 * (F.col("_p.text_end") - F.col("_p.text_start"))
+    slices = F.decode(F.substr("_whole", start + 1, size), "UTF-32")
+    shown = cut.select("_p.*", slices.alias(out))
+    return shown.unionByName(rest)
 
 
 def node_list(nodes, wanted=None, out="node_list"):

@@ -21,6 +21,12 @@ bare AS (SELECT page_id, html, regexp_replace(regexp_replace(html, '<!--.*?-->',
   '(<script[^>]*>|<style[^>]*>).*?(</script>|</style>)', '\\1\\2', 'gs') AS h FROM pages)"""
 
 
+def _found(nodes, doc, paths):
+    """What each of several named paths finds."""
+    parts = [X.xpath_query(nodes, path).select(doc, F.lit(name).alias("found"), "content") for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _count(tag):
     return f"len(regexp_extract_all(h, '<{tag}[ >]'))"
 
@@ -31,30 +37,6 @@ def _plain(text):
     return text
 
 
-@query("""
-WITH o AS (SELECT * FROM orders WHERE o_orderkey % 100 <> 0)
-SELECT o_orderkey AS doc_id, 'last' AS found, o_orderpriority AS content FROM o
-UNION ALL SELECT o_orderkey, 'before last', 'a & b' FROM o
-UNION ALL SELECT o_orderkey, 'below two', 'a & b' FROM o
-UNION ALL SELECT o_orderkey, 'contains', o_orderpriority FROM o WHERE contains(o_orderpriority, 'URGENT')
-UNION ALL SELECT o_orderkey, 'equal', o_orderpriority FROM o WHERE o_orderpriority = '5-LOW'
-UNION ALL SELECT o_orderkey, 'children', o_orderkey::VARCHAR FROM o WHERE o_orderstatus = 'F' OR o_orderkey::VARCHAR LIKE '1%'
-UNION ALL SELECT o_orderkey, 'either', unnest([o_custkey::VARCHAR, '<' || o_totalprice || '>']) FROM o""")
-def xpath_conditions(spark, folder):
-    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes")
-    paths = {
-        "last": "/order/tag[last()]/text()",
-        "before last": "/order/tag[last()-1]/text()",
-        "below two": "/order/tag[position() < 2]/text()",
-        "contains": "//tag[contains(text(), 'URGENT')]/text()",
-        "equal": "//tag[text()='5-LOW']/text()",
-        "children": "/order[customer and not(missing) and (@status='F' or starts-with(@id, '1'))]/@id",
-        "either": "/order/customer/text() | /order/price/text()",
-    }
-    parts = [X.xpath_query(nodes, path).select("doc_id", F.lit(name).alias("found"), "content") for name, path in paths.items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
 @query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
 SELECT name, count(*) AS nodes FROM t GROUP BY name""")
 def parse_html(spark, folder):
@@ -82,30 +64,6 @@ def node_attributes(spark, folder):
     return N.node_attributes(page_nodes(spark, folder, ["node_id", "type", "name", "attrs"])).select("page_id", "key", "value")
 
 
-@query("""
-WITH o AS (SELECT * FROM orders WHERE o_orderkey % 100 <> 0)
-SELECT o_orderkey AS doc_id, 'last' AS found, o_orderpriority AS content FROM o
-UNION ALL SELECT o_orderkey, 'before last', 'a & b' FROM o
-UNION ALL SELECT o_orderkey, 'below two', 'a & b' FROM o
-UNION ALL SELECT o_orderkey, 'contains', o_orderpriority FROM o WHERE contains(o_orderpriority, 'URGENT')
-UNION ALL SELECT o_orderkey, 'equal', o_orderpriority FROM o WHERE o_orderpriority = '5-LOW'
-UNION ALL SELECT o_orderkey, 'children', o_orderkey::VARCHAR FROM o WHERE o_orderstatus = 'F' OR o_orderkey::VARCHAR LIKE '1%'
-UNION ALL SELECT o_orderkey, 'either', unnest([o_custkey::VARCHAR, '<' || o_totalprice || '>']) FROM o""")
-def xpath_conditions(spark, folder):
-    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes")
-    paths = {
-        "last": "/order/tag[last()]/text()",
-        "before last": "/order/tag[last()-1]/text()",
-        "below two": "/order/tag[position() < 2]/text()",
-        "contains": "//tag[contains(text(), 'URGENT')]/text()",
-        "equal": "//tag[text()='5-LOW']/text()",
-        "children": "/order[customer and not(missing) and (@status='F' or starts-with(@id, '1'))]/@id",
-        "either": "/order/customer/text() | /order/price/text()",
-    }
-    parts = [X.xpath_query(nodes, path).select("doc_id", F.lit(name).alias("found"), "content") for name, path in paths.items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
 # The nodes of an order as XML: the children of the root in order, and the text below each element.
 _CHILDREN = ["customer", "comment()", "price", "tag[1]", "text()", "tag[2]"]
 _ELEMENTS = ["customer", "price", "tag[1]", "tag[2]"]
@@ -120,13 +78,14 @@ def _relations():
     rows += [("child", "/order", at(e)) for e in _ELEMENTS] + [("first child", "/order", at("customer"))]
     rows += [("first child", at(e), at(e) + "/text()") for e in _ELEMENTS]
     rows += [("parent", at(c), "/order") for c in _CHILDREN] + [("parent", at(e) + "/text()", at(e)) for e in _ELEMENTS]
+    rows += [("sibling", "/order", at(e)) for e in _ELEMENTS]
     return ", ".join(f"('{r}', '{a}', '{b}')" for r, a, b in rows)
 
 
 @query(f"""SELECT o_orderkey AS doc_id, relation, path, other FROM orders,
 (VALUES {_relations()}) r(relation, path, other) WHERE o_orderkey % 100 <> 0""")
 def node_relations(spark, folder):
-    """Every node of every document with its parent, children and neighbours."""
+    """Every node of every document with its parent, children, neighbours and siblings."""
     columns = ["node_id", "parent_id", "depth", "pos", "type", "name", "path", "element_no"]
     nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=columns), "nodes")
     pair = lambda frame, name, other: frame.select("doc_id", F.lit(name).alias("relation"), "node_id", F.col(other).alias("other_id"))
@@ -136,6 +95,7 @@ def node_relations(spark, folder):
         pair(N.node_prev(nodes), "previous", "prev_id"),
         pair(N.node_children(nodes), "child", "child_id"),
         pair(N.node_child(nodes), "first child", "child_id"),
+        pair(N.node_siblings(nodes, nodes.where("name = 'price'")).withColumnRenamed("parent_id", "node_id"), "sibling", "sibling_id"),
     ]
     related = reduce(DataFrame.unionByName, parts).where(F.col("other_id").isNotNull())
     paths = nodes.select("doc_id", "node_id", "path")
@@ -179,6 +139,17 @@ def node_content(spark, folder):
     return N.node_content(nodes, picked, "content_text").select("page_id", "name", F.col("content_text").alias("content"))
 
 
+@query("""
+SELECT o_orderkey AS doc_id, unnest(['/order', '/order/customer', '/order/price', '/order/tag[1]', '/order/tag[2]']) AS path,
+  unnest([o_custkey || '<' || o_totalprice || '>a & b' || chr(10) || '  ' || o_orderpriority, o_custkey::VARCHAR, '<' || o_totalprice || '>',
+  'a & b', o_orderpriority]) AS content FROM orders WHERE o_orderkey % 100 <> 0""")
+def node_content_all(spark, folder):
+    columns = ["node_id", "type", "path", "content", "text_start", "text_end"]
+    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=columns), "nodes")
+    whole = N.node_content(nodes, out="whole").where("type = 'ELEMENT'")
+    return whole.select("doc_id", "path", F.col("whole").alias("content"))
+
+
 @query("""
 SELECT o_orderkey AS doc_id, unnest(['customer', 'price', 'tag', 'tag']) AS name,
   unnest([chr(10) || '  ', chr(10) || '  ', chr(10) || '  ', '']) AS text FROM orders WHERE o_orderkey % 100 <> 0""")
@@ -264,6 +235,71 @@ def xpath_predicates(spark, folder):
     return ads.join(links, "page_id")
 
 
+@query(f"""
+WITH {BARE}, p AS (SELECT page_id, regexp_extract_all(regexp_extract(h, '(?s)<nav>.*</nav>'), '<a href="([^"]*)"', 1) AS l,
+  regexp_extract_all(h, '(?s)<a [^>]*>(.*?)</a>', 1) AS t, {_plain("regexp_extract(h, '(?s)<div class=.ad.>(.*?)</div>', 1)")} AS ad,
+  {_plain("regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1)")} AS title FROM bare),
+z AS (SELECT page_id, l, {_plain("t")} AS t FROM (SELECT page_id, unnest(l) AS l, unnest(t) AS t FROM p))
+SELECT page_id, 'ancestor' AS found, title AS content FROM p
+UNION ALL SELECT page_id, 'following sibling', ad FROM p
+UNION ALL SELECT page_id, 'second to last', l[-2] FROM p WHERE len(l) > 1
+UNION ALL SELECT page_id, 'preceding', l FROM z
+UNION ALL SELECT page_id, 'group', {_plain("t[2]")} FROM p WHERE len(t) > 1
+UNION ALL SELECT page_id, 'after the second', unnest(l[3:]) FROM p
+UNION ALL SELECT page_id, 'counted', l[1] FROM p WHERE len(l) > 5
+UNION ALL SELECT page_id, 'text', l FROM z WHERE contains(t, 'an')
+UNION ALL SELECT page_id, 'equal', l FROM z WHERE t = 'the'
+UNION ALL SELECT page_id, 'short', l FROM z WHERE length(t) < 4
+UNION ALL SELECT page_id, 'next', ad FROM p""")
+def xpath_axes(spark, folder):
+    return _found(
+        page_nodes(spark, folder, stored=True),
+        "page_id",
+        {
+            "ancestor": "//b/ancestor::article[h1]/h1/text()",
+            "following sibling": "//nav[ul/li]/following-sibling::div[@class='ad']/text()",
+            "second to last": "//li[last()]/preceding-sibling::li[1]/a/@href",
+            "preceding": "//footer/preceding::a/@href",
+            "group": "(//nav//a)[2]/text()",
+            "after the second": "//li[position() = 2]/following-sibling::li/a/@href",
+            "counted": "//nav[count(ul/li) > 5]/ul/li[1]/a/@href",
+            "text": "//li[contains(., 'an')]/a/@href",
+            "equal": "//ul[li]/li[a = 'the']/a/@href",
+            "short": "//a[string-length(.) < 4]/@href",
+            "next": "//nav/following::text()[1]",
+        },
+    )
+
+
+@query("""
+WITH o AS (SELECT *, o_orderkey AS doc_id FROM orders WHERE o_orderkey % 100 <> 0)
+SELECT doc_id, 'after a text' AS found, o_orderpriority AS content FROM o
+UNION ALL SELECT doc_id, 'child is', doc_id::VARCHAR FROM o WHERE o_orderpriority = '5-LOW'
+UNION ALL SELECT doc_id, 'number', o_custkey::VARCHAR FROM o WHERE o_custkey > 70
+UNION ALL SELECT doc_id, 'before', o_custkey::VARCHAR FROM o
+UNION ALL SELECT doc_id, 'back up', o_orderstatus FROM o
+UNION ALL SELECT doc_id, 'last of all', o_orderpriority FROM o
+UNION ALL SELECT doc_id, 'length', doc_id::VARCHAR FROM o WHERE length(o_custkey::VARCHAR) = 2
+UNION ALL SELECT doc_id, 'last of the group', o_orderpriority FROM o
+UNION ALL SELECT doc_id, 'whole', doc_id::VARCHAR FROM o WHERE contains(o_custkey || '<' || o_totalprice, '7<1')""")
+def xpath_axes_xml(spark, folder):
+    return _found(
+        store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes"),
+        "doc_id",
+        {
+            "after a text": "//tag[. = 'a & b']/following-sibling::tag/text()",
+            "child is": "/order[tag = '5-LOW']/@id",
+            "number": "/order/customer[. > 70]/text()",
+            "before": "/order/price/preceding-sibling::*[1]/text()",
+            "back up": "//tag[last()]/text()/ancestor::order[count(tag) = 2 and price/text()]/@status",
+            "last of all": "//customer/following::text()[last()]",
+            "length": "/order[string-length(customer) = 2]/@id",
+            "last of the group": "(//tag | //price)[last()]/text()",
+            "whole": "/order[contains(., '7<1')]/@id",
+        },
+    )
+
+
 @query("""
 SELECT o_orderkey AS doc_id, o_orderkey::VARCHAR AS id, o_orderstatus AS status, o_custkey::VARCHAR AS customer,
   '<' || o_totalprice || '>' AS price, 'a & b' AS tag FROM orders WHERE o_orderkey % 100 <> 0""")
@@ -312,8 +348,7 @@ def xpath_conditions(spark, folder):
         "children": "/order[customer and not(missing) and (@status='F' or starts-with(@id, '1'))]/@id",
         "either": "/order/customer/text() | /order/price/text()",
     }
-    parts = [X.xpath_query(nodes, path).select("doc_id", F.lit(name).alias("found"), "content") for name, path in paths.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return _found(nodes, "doc_id", paths)
 
 
 @query(f"""WITH {BARE}, t AS (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)[ >]', 1)) AS name FROM bare)
