@@ -42,6 +42,13 @@ def view_drop(text, count):
     return F.substr(text, F.lit(1), F.greatest(F.length(text) + count, F.lit(0)))
 
 
+def broken(line, width):
+    """A line in parts of at most `width` characters, broken at the last space that fits, or at the width where there is none."""
+    pattern = rf"[^\n]{{1,{width}}}(?: |\z)|[^\n]{{1,{width}}}"
+    parts = F.regexp_extract_all(line, F.lit(pattern), F.lit(0))
+    return F.when(F.length(line) <= width, F.array(line)).otherwise(F.transform(parts, lambda part: F.regexp_replace(part, r" \z", "")))
+
+
 def split_lines(frame, text, width=None, out="line"):
     """One row per line of each text, numbered from 0.
 
@@ -51,13 +58,6 @@ def split_lines(frame, text, width=None, out="line"):
     lines = F.split(strip_bom(text), "\n")
     lines = F.when(F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
     if width:
-        pattern = rf"[^\n]{{1,{width}}}(?: |\z)|[^\n]{{1,{width}}}"
-        broken = F.transform(
-            lines,
-            lambda line: F.when(F.length(line) <= width, F.array(line)).otherwise(
-                F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(0)), lambda part: F.regexp_replace(part, r" \z", ""))
-            ),
-        )
-        lines = F.flatten(broken)
+        lines = F.flatten(F.transform(lines, lambda line: broken(line, width)))
     others = [c for c in frame.columns if c != text]
     return frame.select(*others, F.posexplode(lines).alias("line_no", out))

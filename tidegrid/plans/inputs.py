@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidegrid.session import store
+from tidegrid.session import scratch_path, store
 from tidegrid.sources.markup import parse_html
 from tidegrid.sources.snapshots import BOM
 
@@ -114,6 +114,30 @@ def csv_blobs(spark, folder):
     )
 
 
+def csv_files(spark, folder, wide=False):
+    """The path of line items as CSV files, a third of the rows over three lines; of the `wide` ones every fiftieth order has a surplus field."""
+    items = table(spark, folder, "lineitem")
+    text = {c: F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")}
+    quoted = F.concat(F.lit('"'), F.col("l_returnflag"), F.lit('\n""'), F.col("l_linestatus"), F.lit('"",\n"'))
+    note = F.when(F.col("l_partkey") % 3 == 0, quoted).otherwise(F.col("l_returnflag"))
+    row = F.concat_ws(",", text["l_orderkey"], text["l_partkey"], text["l_linenumber"], note, text["l_suppkey"])
+    if wide:
+        surplus = F.col("l_orderkey") % 50 == 7
+        row = F.when(surplus, F.concat(row, F.lit(",surplus"))).otherwise(row)
+        # A file is as wide as its first row: a plain one.
+        items = items.sortWithinPartitions(surplus)
+    path = scratch_path(spark, "csv")
+    items.select(row.alias("value")).write.text(path)
+    return path
+
+
+def text_files(spark, folder):
+    """The path of the texts of all documents as files of lines."""
+    path = scratch_path(spark, "texts")
+    table(spark, folder, "documents").select(F.coalesce("text", F.lit("")).alias("value")).write.text(path)
+    return path
+
+
 def timeseries_blobs(spark, folder, odd=False):
     """CSV text of a hundred consecutive events each, under a header line; `odd` ones have a row with a wrong date and one too wide."""
     events = table(spark, folder, "events")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidegrid.operators import tables as T
-from tidegrid.plans.inputs import csv_blobs, on_all_cores, table, timeseries_blobs
+from tidegrid.plans.inputs import csv_blobs, csv_files, on_all_cores, table, timeseries_blobs
 from tidegrid.plans.registry import query
 from tidegrid.sources import csvtext as C
 
@@ -105,6 +105,23 @@ def csv_quarantine(spark, folder):
     return rows.select("doc_id", "row_no", "n_fields", F.get("fields", F.lit(0)).alias("key"))
 
 
+@query("""
+SELECT l_orderkey::VARCHAR AS orderkey, l_partkey::VARCHAR AS partkey, l_linenumber::VARCHAR AS linenumber,
+  CASE WHEN l_partkey % 3 = 0 THEN l_returnflag || chr(10) || '"' || l_linestatus || '",' || chr(10) ELSE l_returnflag END AS note,
+  l_suppkey::VARCHAR AS suppkey FROM lineitem""")
+def parse_csv_files(spark, folder):
+    rows = C.parse_csv_files(spark, csv_files(spark, folder), columns=["orderkey", "partkey", "linenumber", "note", "suppkey"])
+    return rows.drop("path", "row_no")
+
+
+@query("""
+SELECT l_orderkey::VARCHAR AS orderkey, CASE WHEN l_partkey % 3 = 0 THEN 3 ELSE 1 END::BIGINT AS lines, 6::INT AS n_fields
+FROM lineitem WHERE l_orderkey % 50 = 7""")
+def csv_files_quarantine(spark, folder):
+    rows = C.csv_files_quarantine(spark, csv_files(spark, folder, wide=True))
+    return rows.select(F.get("fields", F.lit(0)).alias("orderkey"), "lines", "n_fields")
+
+
 @query("""
 SELECT event_id // 100 AS doc_id, (1 + event_id % 100)::INT AS row_no, ts::DATE AS date, event_id::DOUBLE AS id, value
 FROM events""")

@@ -7,9 +7,10 @@ from tidegrid.functions import headers as H
 from tidegrid.functions import text as X
 from tidegrid.functions import url as U
 from tidegrid.functions.registry import register_functions
-from tidegrid.plans.inputs import on_all_cores, snapshots, table, url_variants
+from tidegrid.plans.inputs import on_all_cores, snapshots, table, text_files, url_variants
 from tidegrid.plans.registry import query
 from tidegrid.sources import snapshots as N
+from tidegrid.sources.lines import read_lines as lines_of
 
 HOST_PATTERN = "^https?://([^/]+)"
 
@@ -157,6 +158,16 @@ def split_lines(spark, folder):
     return X.split_lines(table(spark, folder, "documents").select("doc_id", "text"), "text")
 
 
+@query("""
+WITH l AS (SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
+SELECT line, count(*) AS n FROM l GROUP BY line UNION ALL SELECT '# lines numbered', count(*) FROM l""")
+def read_lines(spark, folder):
+    lines = lines_of(spark, text_files(spark, folder))
+    numbered = lines.groupBy("path").agg((F.max("line_no") + 1).alias("n"), F.count_distinct("line_no").alias("d")).where("n = d")
+    total = numbered.agg(F.lit("# lines numbered").alias("line"), F.sum("n").alias("n"))
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).unionByName(total)
+
+
 @query(f"""{LINES},
   b AS (SELECT doc_id, flatten(list_transform(l, lambda x: CASE WHEN length(x) <= 255 THEN [x] ELSE
     list_transform(regexp_extract_all(x, '[^\\n]{{1,255}}(?: |\\z)|[^\\n]{{1,255}}'), lambda y: regexp_replace(y, ' \\z', '')) END)) AS l FROM t)

@@ -8,10 +8,14 @@ so that plain splits then give records and fields in time linear in the text.
 
 import re
 
+import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegrid.operators.tables import to_date, to_number
-from tidegrid.sources.snapshots import strip_bom
+from tidegrid.session import store
+from tidegrid.sources.lines import BLOCK, block_lines, carried, file_sizes, in_turn
+from tidegrid.sources.snapshots import BOM, strip_bom
 
 # Noncharacters: never part of interchanged text.
 _RECORD, _FIELD, _QUOTE, _ESCAPE, _BROKEN = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3", "\ufdd4"
@@ -27,13 +31,12 @@ def read_csv_files(spark, path, schema, rs="\n", fs=",", esc="\\", header=False)
     )
 
 
-def _records(body, rs, fs, esc):
+def _records(text, rs, fs, esc):
     """Text -> array of records (broken, fields).
 
     A quote that is never closed breaks its record, which then holds the rest
     of the text.
     """
-    text = strip_bom(body)
     marks = {rs: _RECORD, fs: _FIELD, '"': _QUOTE}
     if esc:
         text = F.replace(text, F.lit(esc * 2), F.lit(_ESCAPE))
@@ -70,7 +73,7 @@ def _records(body, rs, fs, esc):
 
 def _rows(frame, body, rs, fs, esc):
     key = [c for c in frame.columns if c != body]
-    parsed = frame.select(*key, _records(F.col(body), rs, fs, esc).alias("_all"))
+    parsed = frame.select(*key, _records(strip_bom(body), rs, fs, esc).alias("_all"))
     # Each record gets the width itself, so that no row carries its whole text.
     # The outer form, since Spark would parse a second time to filter out empty texts.
     width = F.size(F.get("_all", F.lit(0))["fields"]).alias("width")
@@ -134,3 +137,157 @@ def _series_rows(frame, body, columns, rs, fs, esc):
     first = F.get("fields", F.lit(0))
     rows = _rows(frame, body, rs, fs, esc).where(first.rlike("^[0-9]") | F.col("broken"))
     return rows, F.col("broken") | to_date(first).isNull() | (F.size("fields") > len(columns) + 1)
+
+
+def _turns(batch, state):
+    """Quote state and record numbers of the lines of a block, as if it began outside of quotes, and as if inside.
+
+    `_odd` is whether an odd number of quotes comes before a line in its block,
+    `_glued` whether the line before ends with an escape, and `_out` and `_in`
+    are how many records have begun with this line, by the state at the start.
+    """
+    odd, glued, out, inside, place = state or (0, 0, 0, 0, 0)
+    quotes, ends, full = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("_quotes", "_ends", "_full")]
+    after = (odd + np.cumsum(quotes)) % 2
+    before = np.concatenate([[odd], after[:-1]])
+    behind = np.concatenate([[glued], ends[:-1]])
+    begun = [total + np.cumsum((before == start) & (behind == 0) & (full == 1)) for total, start in ((out, 0), (inside, 1))]
+    places = np.arange(place, place + len(quotes))
+    state = (int(after[-1]), int(ends[-1]), int(begun[0][-1]), int(begun[1][-1]), place + len(quotes))
+    return [places, before, behind, *begun], state
+
+
+_COUNTED = ["_at", "_odd", "_glued", "_out", "_in"]
+
+
+def _marked(spark, path, rs, esc):
+    """The lines of files, with what each changes: whether it has an odd number of quotes, ends with an escape, and holds anything."""
+    plain = F.replace("line", F.lit(esc * 2), F.lit(_ESCAPE)) if esc else F.col("line")
+    bare = F.replace(plain, F.lit(esc + '"'), F.lit(_QUOTE)) if esc else plain
+    trimmed = F.rtrim("line", F.lit("\r")) if rs == "\n" else F.col("line")
+    return block_lines(spark, path, rs).withColumns(
+        {
+            "_quotes": ((F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))) % 2).cast("long"),
+            "_ends": (plain.endswith(esc) if esc else F.lit(False)).cast("long"),
+            "_full": (~trimmed.isin("", BOM)).cast("long"),
+        }
+    )
+
+
+def _file_blocks(spark, path, rs, esc):
+    """For each block of each file the state that it begins in and how many records begin before it.
+
+    Each block is read under both states, inside of quotes or not, and what it
+    changes in either is carried over the blocks. One row a block, stored, so
+    that its size is known where lines are joined to it.
+    """
+    lines = _marked(spark, path, rs, esc).withColumn("_size", F.octet_length("line")).drop("line")
+    blocks = in_turn(lines, _COUNTED, _turns).groupBy(*BLOCK).agg(
+        (F.sum("_quotes") % 2).alias("_change"),
+        F.max_by("_ends", "_at").alias("_last"),
+        F.max("_out").alias("_all_out"),
+        F.max("_in").alias("_all_in"),
+        F.max(F.when(F.col("_at") == 0, F.col("_full"))).alias("_first"),
+        F.count(F.lit(1)).alias("_lines"),
+        F.sum(F.col("_size") + len(rs.encode())).alias("_bytes"),
+    )
+    order, whole = Window.partitionBy("path").orderBy("block"), Window.partitionBy("path")
+    state = blocks.withColumns(
+        {
+            "_start": F.coalesce(F.sum("_change").over(carried(blocks)) % 2, F.lit(0)),
+            "_before": F.coalesce(F.lag("_last").over(order), F.lit(0)),
+        }
+    )
+    # A block that begins outside of quotes but behind an escape goes on with the record before.
+    less = F.when((F.col("_start") == 0) & (F.col("_before") == 1), F.col("_first")).otherwise(0)
+    begun = F.when(F.col("_start") == 0, F.col("_all_out") - less).otherwise(F.col("_all_in"))
+    state = state.withColumns({"_less": less, "_begun": begun}).select(
+        *BLOCK,
+        "_start",
+        "_before",
+        "_less",
+        F.coalesce(F.sum("_begun").over(carried(blocks)), F.lit(0)).alias("_base"),
+        F.sum("_begun").over(whole).alias("_total"),
+        (F.sum("_change").over(whole) % 2 == 1).alias("_open"),
+        F.when(F.col("block") == F.max("block").over(whole), F.col("_lines") - 1).alias("_last_at"),
+        F.sum("_bytes").over(whole).alias("_bytes"),
+    )
+    # Lines do not tell whether a separator ends the file; its size does, with or without a byte order mark.
+    ended = (F.col("file_size") - F.col("_bytes")).isin(0, 3)
+    return store(state.join(file_sizes(spark, path), "path").withColumn("_ended", ended).drop("_bytes", "file_size"), "blocks")
+
+
+def _file_records(lines, blocks, rs):
+    """(path, row_no, parts, broken, text): the records of marked lines, each of one line or more.
+
+    A record of one line stays in its task; only the lines of longer ones are
+    brought together. A quote that is never closed leaves the first line of its
+    record, as broken, and the number of its lines.
+    """
+    held = in_turn(lines, _COUNTED, _turns).join(blocks, BLOCK)
+    first = F.col("_at") == 0
+    quoted = (F.col("_odd") + F.col("_start")) % 2
+    glued = F.when(first, F.col("_before")).otherwise(F.col("_glued"))
+    number = F.col("_base") + F.when(F.col("_start") == 0, F.col("_out") - F.col("_less")).otherwise(F.col("_in")) - 1
+    line = F.when(first & (F.col("block") == 0), strip_bom("line")).otherwise(F.col("line"))
+    # An escape before the separator that ends a file keeps it.
+    kept = F.col("_ended") & (F.col("_at") == F.col("_last_at")) & (F.col("_ends") == 1)
+    rows = held.select(
+        *BLOCK,
+        "_at",
+        number.alias("row_no"),
+        ((quoted == 0) & (glued == 0)).alias("_begins"),
+        (((quoted + F.col("_quotes")) % 2 == 0) & (F.col("_ends") == 0)).alias("_done"),
+        (F.col("_full") == 1).alias("_full"),
+        (F.col("_open") & (number == F.col("_total") - 1)).alias("broken"),
+        F.when(F.coalesce(kept, F.lit(False)), F.concat(line, F.lit(rs))).otherwise(line).alias("text"),
+    )
+    alone = F.col("_begins") & F.col("_done") & ~F.col("broken")
+    single = rows.where(alone & F.col("_full")).select("path", "row_no", F.lit(1).cast("long").alias("parts"), "broken", "text")
+    pieces = rows.where(~alone)
+    place = F.struct("block", "_at")
+    ordered = F.sort_array(F.collect_list(F.struct("block", "_at", "text")))
+    joined = pieces.where(~F.col("broken")).groupBy("path", "row_no").agg(
+        F.count(F.lit(1)).alias("parts"), F.lit(False).alias("broken"), F.array_join(F.transform(ordered, lambda p: p["text"]), rs).alias("text")
+    )
+    # An empty line may come before the first one of an open record; it is no part of it.
+    cut_off = pieces.where("broken").where(~(F.col("_begins") & ~F.col("_full"))).groupBy("path", "row_no").agg(
+        F.count(F.lit(1)).alias("parts"), F.lit(True).alias("broken"), F.min_by("text", place).alias("text")
+    )
+    return single.unionByName(joined).unionByName(cut_off)
+
+
+def _file_rows(spark, path, rs, fs, esc):
+    """The records of files with their fields and the width of their file."""
+    lines, blocks = _marked(spark, path, rs, esc), _file_blocks(spark, path, rs, esc)
+
+    def parsed(lines):
+        one = F.get(_records(F.col("text"), rs, fs, esc), F.lit(0))
+        return _file_records(lines, blocks, rs).select("path", "row_no", "parts", "broken", one["fields"].alias("fields"))
+
+    # The last place of a block in which a first record may lie.
+    reach = blocks.where("_base <= 1").agg(F.max("block")).first()[0] or 0
+    widths = parsed(lines.where(F.col("block") <= reach)).where("row_no = 0").select("path", F.size("fields").alias("width"))
+    return parsed(lines).join(store(widths, "widths"), "path")
+
+
+def parse_csv_files(spark, path, columns=None, rs="\n", fs=",", esc="\\", offset=0, count=None, header=False):
+    """Rows of CSV files, as `parse_csv` gives them of texts, with `path` in front; a large file is read by many tasks."""
+    rows = _file_rows(spark, path, rs, fs, esc).where((F.size("fields") <= F.col("width")) & ~F.col("broken"))
+    first = offset + (1 if header else 0)
+    rows = rows.where(F.col("row_no") >= first)
+    if count is not None:
+        rows = rows.where(F.col("row_no") < first + count)
+    if columns:
+        return rows.select("path", "row_no", *[F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(columns)])
+    padding = F.array_repeat(F.lit(None).cast("string"), F.col("width") - F.size("fields"))
+    return rows.select("path", "row_no", F.concat("fields", padding).alias("fields"))
+
+
+def csv_files_quarantine(spark, path, rs="\n", fs=",", esc="\\"):
+    """The rows of CSV files that have more fields than the first one of their file, and what follows a quote that is never closed.
+
+    Of the latter only the first line is shown, and how many lines there are.
+    """
+    rows = _file_rows(spark, path, rs, fs, esc).where((F.size("fields") > F.col("width")) | F.col("broken"))
+    return rows.select("path", "row_no", F.col("parts").alias("lines"), "broken", "fields", F.size("fields").alias("n_fields"))
