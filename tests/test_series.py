@@ -244,3 +244,59 @@ def test_chained_values_of_a_cut_series_cost_no_more_each(spark):
         for n, t in enumerate(range(k, 400, 2), 1):
             total += t % 7
             assert (found[t].one, found[t].two, found[t].three) == (n, total, total)
+
+
+def wild(kind, n=600):
+    """Doubles of very different sizes, so that every order of adding them rounds differently."""
+    rng = random.Random(kind)
+    if kind == "prices":
+        return [round(rng.uniform(-100, 100), 2) for _ in range(n)]
+    if kind == "sizes":
+        return [rng.choice([-1, 1]) * math.ldexp(rng.random(), rng.randint(-1100, 1000)) for _ in range(n)]
+    if kind == "cancel":
+        held = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-20, 20) for _ in range(n // 2)]
+        return rng.sample(held + [-x for x in held], n // 2 * 2)
+    edge = [5e-324, -5e-324, 2.0**-1022, 1.5e308, -1.5e308, 0.0, -0.0, 1.0, 1e16, -1.0, None]
+    return [rng.choice(edge) for _ in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["prices", "sizes", "cancel", "edge"])
+def test_sums_have_the_same_bits_for_any_cuts(spark, kind):
+    from fractions import Fraction
+
+    held = wild(kind)
+    rows = [("hot" if i % 3 else None, i, x) for i, x in enumerate(held)]
+    frame = spark.createDataFrame(rows, "k string, b int, x double").repartition(5)
+    seen = set()
+    for size in (10_000, 37):
+        for key in ([], ["k"]):
+            found = by_b(S.scan(S.Series(frame, key, ["b"], segment_rows=size), "x"), "scan")
+            seen.add((len(key), tuple(repr(found[i][0]) for i in range(len(rows)))))
+    assert len(seen) == 2
+    # The exact sum, rounded: within the last bit of it.
+    whole = dict(seen)[0]
+    total, any_yet = Fraction(0), False
+    for (_, i, x), text in zip(rows, whole):
+        if x is not None:
+            total, any_yet = total + Fraction(x), True
+        if not any_yet:
+            assert text == "None"
+        elif abs(total) < Fraction(1.7e308):
+            want = total.numerator / total.denominator
+            assert abs(Fraction(float(text)) - total) <= Fraction(math.ulp(want)), (i, text, want)
+    held = S.pnl(S.Series(frame.withColumn("c", F.lit(1.0)), ["k"], ["b"], segment_rows=16), "c", "c", "x")
+    plain = S.pnl(S.Series(frame.withColumn("c", F.lit(1.0)), ["k"], ["b"]), "c", "c", "x")
+    bits = lambda f: {k: tuple(map(repr, v)) for k, v in by_b(f, "position", "value", "amount").items()}
+    assert bits(held) == bits(plain)
+
+
+def test_sums_of_what_is_not_finite(spark):
+    nan, inf = math.nan, math.inf
+    rows = [(0, 1.0), (1, inf), (2, None), (3, 5.0), (4, -inf), (5, 2.0)]
+    for size in (1000, 2):
+        found = by_b(S.scan(S.Series(spark.createDataFrame(rows, "b int, x double"), [], ["b"], segment_rows=size), "x"), "scan")
+        assert [found[i][0] for i in range(4)] == [1.0, inf, inf, inf] and all(math.isnan(found[i][0]) for i in (4, 5))
+    none = spark.createDataFrame([], "b int, x double")
+    assert S.scan(S.Series(none, [], ["b"]), "x").count() == 0
+    zeros = spark.createDataFrame([(0, 0.0), (1, None), (2, -0.0)], "b int, x double")
+    assert by_b(S.scan(S.Series(zeros, [], ["b"]), "x"), "scan") == {0: (0.0,), 1: (0.0,), 2: (0.0,)}

@@ -16,7 +16,7 @@ Any cut points give the same result; the sample only balances the work.
 """
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import ceil
 from typing import NamedTuple
 
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegrid.operators import exact
 from tidegrid.session import store
 
 SEGMENT_ROWS = 4_000_000
@@ -53,13 +54,20 @@ class Running:
     combine: Callable
     backwards: bool = False
     needs_first: bool = False
+    # The column and the kind of a sum, which over doubles is worked out exactly.
+    summed: tuple | None = None
 
 
 def running_sum(value, exclusive=False):
-    """Sum of the rows up to this one, or of the rows before it."""
+    """Sum of the rows up to this one, or of the rows before it.
+
+    Sums of doubles are exact until they are rounded once, so they have the same
+    bits wherever a series is cut and in whatever order its parts are added.
+    """
     value = _column(value)
     last = -1 if exclusive else 0
     return Running(
+        summed=(value, exclusive),
         local=lambda w, order: F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, last)),
         total=lambda order: F.sum(value),
         carry=lambda total, w: F.sum(total).over(w.rowsBetween(Window.unboundedPreceding, -1)),
@@ -192,6 +200,9 @@ class Series:
         first: the totals and the windows both read it, and without that each
         step would work out all steps before it twice.
         """
+        doubles = self._doubles(running)
+        if doubles:
+            return self._add_exactly(running, doubles)
         if self.split and not self.fresh:
             stored = store(self.frame, "segments")
             held = self._with(self._dealt(stored), stored, stored.where(F.col(SEGMENT).isNotNull()))
@@ -227,6 +238,37 @@ class Series:
         spent += [f"{p}_{n}" for p in ("_local", "_carry") for n in running]
         return self._with(combined.drop(*spent))
 
+    def _doubles(self, running):
+        """The running sums of doubles, by name."""
+        sums = {name: r.summed for name, r in running.items() if r.summed}
+        if not sums:
+            return {}
+        kinds = self.frame.select(*[value.alias(name) for name, (value, _) in sums.items()]).schema
+        return {f.name: sums[f.name] for f in kinds if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+
+    def _add_exactly(self, running, doubles):
+        """Add running values of which some are sums of doubles: these as sums of their pieces (see `exact`)."""
+        series = self
+        if not self.fresh:
+            stored = store(self.frame, "segments")
+            cut = stored.where(F.col(SEGMENT).isNotNull()) if self.split else None
+            series = self._with(self._dealt(stored) if self.split else stored, stored, cut)
+        rows = series.plain
+        sizes = [b.alias(f"{name} {end}") for name, (value, _) in doubles.items() for b, end in zip(exact.bounds(value), ("least", "most"))]
+        found = rows.agg(*sizes).first()
+        cuts = {name: exact.places(found[f"{name} least"], found[f"{name} most"]) for name in doubles}
+        parts = {name: value for name, value in running.items() if name not in doubles}
+        for name, (value, exclusive) in doubles.items():
+            held = [*exact.pieces(value, cuts[name]), exact.odd(value)]
+            parts |= {f"_part_{name}_{i}": replace(running_sum(piece, exclusive), summed=None) for i, piece in enumerate(held)}
+        added = series.add(**parts)
+        for name in doubles:
+            sums = [F.col(f"_part_{name}_{i}") for i in range(len(cuts[name]) + 1)]
+            added = added.with_columns({name: F.coalesce(sums[-1], exact.standard(sums[:-1], cuts[name]))}).drop(*[f"_part_{name}_{i}" for i in range(len(sums))])
+        # The columns in the order in which they were asked for.
+        others = [c for c in added.frame.columns if c not in running]
+        return added._with(added.frame.select(*others, *running))
+
     def with_columns(self, columns):
         """Add plain columns."""
         frame = self.frame.withColumns(columns)
