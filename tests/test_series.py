@@ -300,3 +300,31 @@ def test_sums_of_what_is_not_finite(spark):
     assert S.scan(S.Series(none, [], ["b"]), "x").count() == 0
     zeros = spark.createDataFrame([(0, 0.0), (1, None), (2, -0.0)], "b int, x double")
     assert by_b(S.scan(S.Series(zeros, [], ["b"]), "x"), "scan") == {0: (0.0,), 1: (0.0,), 2: (0.0,)}
+
+
+def test_rows_by_position(spark, frame, data):
+    """Positions of a table, from both ends, repeated, beyond the end; only folders that are asked for are read."""
+    from tidegrid.operators import positions as P
+
+    for key in (["k"], []):
+        groups = {}
+        for row in sorted(data, key=lambda r: (r[1], r[2])):
+            groups.setdefault(row[0] if key else None, []).append(row)
+        held = P.index(S.Series(frame, key, ["a", "b"], segment_rows=100), size=50)
+        asked = [(k, p, i) for i, (k, p) in enumerate(itertools.product(list(groups)[:4] + [None, "missing"], [0, 7, 7, -1, -3, 49, 50, 5000, -5000, None]))]
+        asked = asked if key else [a for a in asked if a[0] is None]
+        kinds = "k string, p long, i int" if key else "k_ string, p long, i int"
+        found = P.gather(held, spark.createDataFrame(asked, kinds), "p").select("i", "p", "b").collect()
+        inside = lambda k, p: p is not None and k in groups and -len(groups[k]) <= p < len(groups[k])
+        assert sorted(map(tuple, found)) == sorted((i, p, groups[k][p][2]) for k, p, i in asked if inside(k, p))
+        for n in (0, 1, 60, -1, -60, 5000, -5000):
+            first = lambda rows: rows[:n] if n >= 0 else rows[n:]
+            kept = {r[2] for rows in groups.values() for r in first(rows)}
+            assert {r.b for r in P.take(held, n).collect()} == kept
+            assert {r.b for r in P.drop(held, n).collect()} == {r[2] for r in data} - kept
+    few = P.gather(held, spark.createDataFrame([("x", 3, 1), ("x", 120, 2)], "k_ string, p long, i int"), "p")
+    few.collect()
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "_segment" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    none = P.index(S.Series(spark.createDataFrame([], "k string, a int, b int"), "k", ["a", "b"]), size=5)
+    assert P.take(none, -3).count() == 0 and P.gather(none, spark.createDataFrame([("a", 1)], "k string, p long"), "p").count() == 0

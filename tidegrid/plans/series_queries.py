@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidegrid.operators import positions as P
 from tidegrid.operators import series as S
 from tidegrid.plans.inputs import EVENT_ORDER, TRADE_ORDER, table, trades, user_values
 from tidegrid.plans.registry import ORACLES, query
@@ -133,6 +134,34 @@ def gather(spark, folder):
     return S.gather(_values(spark, folder), [3, 0, 3, 40], ["event_id", "value"])
 
 
+# Folders of few positions, so that small tables have several.
+FEW = 4
+
+
+@query("""
+WITH n AS (SELECT *, row_number() OVER w - 1 AS r, count(*) OVER (PARTITION BY user_id) AS c FROM events
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+l AS (SELECT DISTINCT user_id, unnest([0, user_id % 5, -1, -1, 1000000]) AS position, unnest(['first', 'some', 'last', 'again', 'none']) AS asked FROM events)
+SELECT l.user_id, l.position::BIGINT AS position, asked, event_id, value FROM l JOIN n
+ON n.user_id = l.user_id AND n.r = CASE WHEN l.position < 0 THEN c + l.position ELSE l.position END""")
+def gather_table(spark, folder):
+    users = table(spark, folder, "events").select("user_id").distinct()
+    wanted = F.array(*[F.struct(F.lit(n).alias("asked"), p.cast("long").alias("position")) for n, p in (
+        ("first", F.lit(0)), ("some", F.col("user_id") % 5), ("last", F.lit(-1)), ("again", F.lit(-1)), ("none", F.lit(1000000)))])
+    found = P.gather(P.index(_values(spark, folder), size=FEW), users.select("user_id", F.inline(wanted)))
+    return found.select("user_id", "position", "asked", "event_id", "value")
+
+
+@query(ORACLES["take_rows"])
+def take_rows_indexed(spark, folder):
+    return P.take(P.index(_orders(spark, folder), size=FEW), 3)
+
+
+@query(ORACLES["drop_rows_back"])
+def drop_rows_indexed(spark, folder):
+    return P.drop(P.index(_orders(spark, folder), size=FEW), -2)
+
+
 @query("""
 WITH n AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS r FROM events),
      g AS (SELECT DISTINCT user_id, unnest(range(4)) AS grid_row FROM events)
