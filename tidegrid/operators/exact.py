@@ -74,8 +74,19 @@ def _digit(part, carry):
     return (part + carry).bitwiseAND(F.lit((1 << BITS) - 1)).cast("double")
 
 
-def standard(sums, cuts):
-    """The pieces of a sum as a double.
+def sign(sums):
+    """1 or -1: the sign of a sum, as a long, to be a column of its own before `standard` reads it in many places."""
+    last = F.lit(0).cast("long")
+    if len(sums) <= WRITTEN_OUT:
+        for part in sums:
+            last = _carry(part, last)
+    else:
+        last = F.aggregate(F.array(*sums), last, lambda carry, part: _carry(part, carry))
+    return F.when(last < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")
+
+
+def standard(sums, sign, cuts):
+    """The pieces of a sum, and its sign, as a double.
 
     Below zero the pieces are turned around, so that the digits of the size are
     added, not taken from each other. Few pieces are written out, many are
@@ -88,18 +99,12 @@ def standard(sums, cuts):
         return F.when(carry == 0, F.lit(0.0)).otherwise(carry.cast("double") * F.lit(_power(cuts[-1] + BITS)))
 
     if len(cuts) <= WRITTEN_OUT:
-        last = none
-        for part in sums:
-            last = _carry(part, last)
-        sign = F.when(last < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")
         total, carry = F.lit(0.0), none
         for part, place in zip(sums, cuts):
             total = total + _weigh(_digit(part * sign, carry), place)
             carry = _carry(part * sign, carry)
         return (total + above(carry)) * sign.cast("double")
     held = F.array(*sums)
-    last = F.aggregate(held, none, lambda carry, part: _carry(part, carry))
-    sign = F.when(last < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")
     low, high = F.array(*[F.lit(_power(max(p, LEAST))) for p in cuts]), F.array(*[F.lit(_power(min(p - LEAST, 0))) for p in cuts])
     parts = F.zip_with(held, F.arrays_zip(low.alias("low"), high.alias("high")), lambda part, weight: F.struct((part * sign).alias("part"), weight["low"].alias("low"), weight["high"].alias("high")))
     start = F.struct(none.alias("carry"), F.lit(0.0).alias("total"))

@@ -264,7 +264,9 @@ class Series:
         added = series.add(**parts)
         for name in doubles:
             sums = [F.col(f"_part_{name}_{i}") for i in range(len(cuts[name]) + 1)]
-            added = added.with_columns({name: F.coalesce(sums[-1], exact.standard(sums[:-1], cuts[name]))}).drop(*[f"_part_{name}_{i}" for i in range(len(sums))])
+            added = added.with_columns({f"_sign_{name}": exact.sign(sums[:-1])})
+            whole = exact.standard(sums[:-1], F.col(f"_sign_{name}"), cuts[name])
+            added = added.with_columns({name: F.coalesce(sums[-1], whole)}).drop(f"_sign_{name}", *[f"_part_{name}_{i}" for i in range(len(sums))])
         # The columns in the order in which they were asked for.
         others = [c for c in added.frame.columns if c not in running]
         return added._with(added.frame.select(*others, *running))
