@@ -222,6 +222,25 @@ def test_spans(frame):
     assert found[None].n_removed == 0
 
 
+def test_sentences_of_many_texts_at_once():
+    """A group of texts is cut, and has the spans, that each text has by itself."""
+    r = random.Random(5)
+    parts = ["a", "b ", "İc ", "d. ", "e!? ", "\n", " ", "\u3000", "g ", "𝒳 ", "k ", ".\n", "\x85", "Σ ", "m "]
+    for _ in range(400):
+        texts = ["".join(r.choices(parts if r.random() < 0.5 else parts[8:11], k=r.choice([0, 3, 40, 300]))) for _ in range(r.randrange(1, 6))]
+        group = spans.Group(texts, 3, 10)
+        edges = group.total.tolist()
+        for text, low, high, begin in zip(texts, group.low.tolist(), group.high.tolist(), group.begins.tolist()):
+            expected, words = spans.sentences(text), text.lower().split()
+            found = [(int(group.starts[i]) - begin, int(group.stops[i]) - begin, words[edges[i] - edges[low] : edges[i + 1] - edges[low]]) for i in range(low, high)]
+            assert found == expected
+            ends = [(i - low, int(group.lasts[i]) - low) for i in range(low, high) if group.valid[i]]
+            assert ends == [(a, b) for a, b, _ in spans.spans(expected, 3, 10)]
+    long = "word, " * 400_000 + "x" * 1_200_000 + " end"
+    group = spans.Group([long], 3, 10)
+    assert group.total[-1] == 400_002 and len(np.unique(group.hashes)) == 3
+
+
 def test_sketches_lose_no_pair():
     r = np.random.default_rng(2)
     base = r.integers(0, 2**64, 400, np.uint64)
@@ -234,6 +253,18 @@ def test_sketches_lose_no_pair():
     assert 0 < len(every) <= len(found) < len(sets) * (len(sets) - 1) // 2 and every <= found and not len(rest)
 
 
+def test_spans_of_rows_that_share_identifiers(spark):
+    """Repeated rows are one document; texts under one identifier, and a hot passage over many partitions, are each judged."""
+    passage = " ".join(f"w{i} x{i} y{i} z{i}." for i in range(9))
+    texts = [(1, passage)] * 3 + [(1, "Other words stand here. " + passage), (None, passage), (5, None)]
+    texts += [(i, f"Only {i} is new. " + passage) for i in range(10, 400)] + [(399, f"Only 399 is new. {passage}")]
+    found = spans.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string").repartition(7), words=10)
+    got = sorted({(r.doc_id if r.doc_id is not None else -1, r.n_removed, r.kept.strip()) for r in found.collect()})
+    expected = {(-1, 0, passage), (1, 0, passage), (1, 9, "Other words stand here."), (5, 0, "")}
+    assert got == sorted(expected | {(i, 9, f"Only {i} is new.") for i in range(10, 400)})
+    assert found.count() == len(texts)
+
+
 def test_spans_inside_long_sentences(spark):
     """A passage of 55 words without a full stop is found at any offset in a sentence."""
     r = random.Random(8)
