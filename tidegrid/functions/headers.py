@@ -28,12 +28,14 @@ def header_name(name):
     return by_constant.get(name.upper().removeprefix("HTTP_QUERY_"), name)
 
 
-def response_field(name, headers, status):
+def response_field(name, headers, status, version=None, method=None):
     """What a response has besides single headers, by its constant-style name.
 
     `STATUS_CODE`, `STATUS_TEXT`, `RAW_HEADERS` (lines ended by a zero
-    character) and `RAW_HEADERS_CRLF`, from the header map and the status
-    number of a saved response; any other name is a header.
+    character), `RAW_HEADERS_CRLF`, `VERSION` and `REQUEST_METHOD`, from the
+    header map and the status number of a saved response, and the columns of
+    its version and method where these were saved; any other name is a header.
+    Blocks of a response without a saved version say HTTP/1.1.
     """
     headers, status = _column(headers), _column(status)
     phrases = F.create_map(*[F.lit(x) for s in HTTPStatus for x in (s.value, s.phrase)])
@@ -43,8 +45,12 @@ def response_field(name, headers, status):
         return status.cast("string")
     if wanted == "STATUS_TEXT":
         return F.when(status.isNotNull(), phrase)
+    saved = {"VERSION": version, "REQUEST_METHOD": method}
+    if wanted in saved:
+        return F.lit(None).cast("string") if saved[wanted] is None else _column(saved[wanted])
     if wanted in ("RAW_HEADERS", "RAW_HEADERS_CRLF"):
-        first = F.concat(F.lit("HTTP/1.1 "), status.cast("string"), F.lit(" "), phrase, F.lit("\r\n"))
+        version = F.lit("HTTP/1.1") if version is None else _column(version)
+        first = F.concat(version, F.lit(" "), status.cast("string"), F.lit(" "), phrase, F.lit("\r\n"))
         block = F.concat(first, format_headers(headers))
         return block if wanted == "RAW_HEADERS_CRLF" else F.replace(block, F.lit("\r\n"), F.lit("\0"))
     return query_header(headers, name)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.session import scratch_path, store
 from tidegrid.sources.markup import parse_html
+from tidegrid.sources.exchanges import SEPARATOR, exchange_text, write_exchanges
 from tidegrid.sources.snapshots import BOM
 
 TRADE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
@@ -225,3 +226,28 @@ def snapshots(spark, folder):
         F.col("page_id").cast("string"),
     )
     return pages.select("page_id", "url", F.lit(200).alias("status"), headers.alias("headers"), "html")
+
+
+def exchange_files(spark, folder):
+    """The path of these responses as files of exchanges, with methods, versions and times; every fiftieth is damaged."""
+    pages = snapshots(spark, folder).withColumnsRenamed({"html": "body"}).select(
+        "page_id",
+        "url",
+        "headers",
+        F.when(F.col("page_id") % 3 == 0, 404).otherwise(200).alias("status"),
+        F.when(F.col("page_id") % 10 == 0, "HEAD").otherwise("GET").alias("method"),
+        F.when(F.col("page_id") % 7 == 0, "HTTP/1.0").otherwise("HTTP/1.1").alias("version"),
+        F.timestamp_micros(F.lit(1_600_000_000_000_001) + F.col("page_id") * 1_000_003).alias("fetched_at"),
+        F.when(F.col("page_id") % 10 != 0, F.col("body")).alias("body"),
+    )
+    path = scratch_path(spark, "exchanges")
+    whole = F.col("page_id") % 50 != 1
+    write_exchanges(pages.filter(whole), path)
+    record = exchange_text(pages)
+    broken = (
+        F.when(F.col("page_id") % 150 == 51, F.lit("nothing"))
+        .when(F.col("page_id") % 100 == 1, F.replace(record, F.lit(" HTTP/"), F.lit(" FTP/")))
+        .otherwise(F.replace(record, F.lit("\r\nHTTP/"), F.lit("\r\nICY/")))
+    )
+    pages.filter(~whole).select(broken.alias("value")).write.mode("append").option("lineSep", SEPARATOR).text(path)
+    return path

@@ -7,8 +7,9 @@ from tidegrid.functions import headers as H
 from tidegrid.functions import text as X
 from tidegrid.functions import url as U
 from tidegrid.functions.registry import register_functions
-from tidegrid.plans.inputs import on_all_cores, snapshots, table, text_files, url_variants
+from tidegrid.plans.inputs import exchange_files, on_all_cores, snapshots, table, text_files, url_variants
 from tidegrid.plans.registry import query
+from tidegrid.sources import exchanges as E
 from tidegrid.sources import snapshots as N
 from tidegrid.sources.lines import read_lines as lines_of
 
@@ -118,6 +119,51 @@ def read_snapshots(spark, folder):
     )
 
 
+EXCHANGES = """
+WITH e AS (SELECT *, CASE WHEN page_id % 7 = 0 THEN 'HTTP/1.0' ELSE 'HTTP/1.1' END AS version,
+  CASE WHEN page_id % 10 = 0 THEN 'HEAD' ELSE 'GET' END AS method,
+  CASE WHEN page_id % 3 = 0 THEN '404 Not Found' ELSE '200 OK' END AS answer, chr(13) || chr(10) AS nl,
+  'Content-Type: text/html; charset=utf-8' || nl || 'Content-Length: ' || octet_length(encode(html)) || nl ||
+  'Last-Modified: Mon, ' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') || ' Jan 2024 10:00:00 GMT' || nl || 'X-Page: ' || page_id || nl AS block,
+  make_timestamp(1600000000000001 + page_id * 1000003) AS fetched_at FROM pages)"""
+
+
+@query(f"""{EXCHANGES}
+SELECT page_id::VARCHAR AS page, url, fetched_at, version, method, answer[:3] AS code, answer[5:] AS phrase, octet_length(encode(html))::INT AS size,
+  CASE WHEN method = 'GET' THEN md5(html) END AS digest, version || ' ' || answer || nl || block || nl AS raw, version || ' ' || answer || nl || block AS saved
+FROM e WHERE page_id % 50 <> 1""")
+def read_exchanges(spark, folder):
+    saved = E.read_exchanges(spark, exchange_files(spark, folder))
+
+    def field(name):
+        return H.response_field(name, "headers", "status", "version", "method")
+
+    return saved.select(
+        field("X-Page").alias("page"),
+        "url",
+        F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"),
+        field("VERSION").alias("version"),
+        field("REQUEST_METHOD").alias("method"),
+        field("STATUS_CODE").alias("code"),
+        field("STATUS_TEXT").alias("phrase"),
+        H.query_header("headers", "CONTENT_LENGTH", "int").alias("size"),
+        F.md5("body").alias("digest"),
+        field("RAW_HEADERS_CRLF").alias("raw"),
+        F.col("raw_headers").alias("saved"),
+    )
+
+
+@query(f"""{EXCHANGES},
+r AS (SELECT *, 'X-Fetched-At: ' || (1600000000000001 + page_id * 1000003) || nl || nl AS mid,
+  version || ' ' || answer || nl || block || CASE WHEN method = 'GET' THEN nl || html ELSE '' END AS response FROM e WHERE page_id % 50 = 1)
+SELECT CASE WHEN page_id % 150 = 51 THEN 'no end of the request' WHEN page_id % 100 = 1 THEN 'request line' ELSE 'status line' END AS reason,
+  CASE WHEN page_id % 150 = 51 THEN 'nothing' WHEN page_id % 100 = 1
+    THEN replace(method || ' ' || url || ' ' || version || nl || mid || response, ' HTTP/', ' FTP/')
+    ELSE replace(method || ' ' || url || ' ' || version || nl || mid || response, nl || 'HTTP/', nl || 'ICY/') END AS record FROM r""")
+def exchange_quarantine(spark, folder):
+    return E.exchange_quarantine(spark, exchange_files(spark, folder))
+
+
 @query("""
 SELECT doc_id, substring(text, 4, 10) AS part, substring(text, 6) AS rest, split_part(text, '.', 1) AS sentence,
   CASE WHEN contains(text, '.') THEN left(text, length(text) - length(regexp_extract(text, '[^.]*$')) - 1) ELSE text END AS sentences
