@@ -325,6 +325,12 @@ def test_pii(frame):
     assert pii.mask("a b@c.de f", [("email", 2, 8)]) == "a [email] f"
 
 
+def test_checks_of_added_spans():
+    good = [("ip", "1.2.3.255"), ("ip", "001.2.3.4"), ("phone", "123 456 789"), ("card", "4111-1111 1111 1111"), ("email", "a@b")]
+    bad = [("ip", "1.2.3"), ("ip", "12"), ("ip", "1.2.3.²"), ("ip", "1.2.3.256"), ("ip", "1.2.3." + "9" * 5000), ("ip", "1..2.3"), ("phone", "12345678"), ("card", "4111-1111 1111 1112")]
+    assert all(pii.plausible(*s) for s in good) and not any(pii.plausible(*s) for s in bad)
+
+
 def test_field_finds_the_best_segmentation():
     texts = [f"call +1 (838) 555-{i:04d} or write to bob{i}@mail{i % 7}.example.com from 10.1.{i}.7 now" for i in range(60)]
     field = pii.Field().fit(pii.examples(texts))

@@ -252,7 +252,7 @@ def plausible(kind, text):
     if kind == "phone":
         return 9 <= len(digits) <= 15
     if kind == "ip":
-        return all(p.isdigit() and len(p) < 4 and int(p) <= 255 for p in text.split("."))
+        return re.fullmatch(r"[0-9]+(\.[0-9]+){3}", text) is not None and all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in text.split("."))
     return "@" in text
 
 
