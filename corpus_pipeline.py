@@ -7,7 +7,7 @@ last return the columns of the documents.
 
 import public_tokenizers
 
-from tidegrid.llm import bpe, exact, langid, mixing, near
+from tidegrid.llm import bpe, exact, langid, mixing, simhash
 from tidegrid.llm.support import bound_batches
 from tidegrid.session import store
 
@@ -19,7 +19,11 @@ def known_language(spark, docs, folder):
 
 
 def distinct_texts(spark, docs, folder):
-    """Of equal texts the document with the largest identifier stays."""
+    """Of equal texts the document with the largest identifier stays.
+
+    Null and empty texts are equal, rows without identifier are no copies of
+    others while one with an identifier stays, and an empty table gives none.
+    """
     bound_batches(spark)
     return exact.dedup(docs, keep="largest")
 
@@ -27,12 +31,13 @@ def distinct_texts(spark, docs, folder):
 def distinct_enough(spark, docs, folder):
     """Of near copies the document with the smallest identifier stays.
 
-    Near copies are linked by sets of shingles of five words with a Jaccard
-    similarity of 0.8 or more. Bands of smallest hashes propose the links, and
-    each is verified on the whole sets.
+    Near copies are those that SimHash links: fingerprints of shingles of
+    three words that differ in at most three bits, and chains of such links.
+    Texts without words share one fingerprint. A null text counts as empty,
+    rows without identifier stay, and an empty table gives none.
     """
     bound_batches(spark)
-    return near.dedup(docs, words=5, least=(4, 5))
+    return simhash.dedup(docs, words=3, distance=3)
 
 
 def mixture(spark, docs, folder):
