@@ -75,17 +75,17 @@ def _both(edges):
     return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def components(edges, rounds=60):
+def components(edges):
     """Connected components: (node, least), least being the smallest node reached; only of nodes that have an edge (u, v).
 
     Alternating stars: every node hands its larger neighbours, then its
     smaller ones, the smallest node it knows. Minima are aggregated before the
     shuffle; each round's edges are a checkpoint in the shared folder. It ends
-    when a round changes nothing.
+    when a round changes nothing, after rounds that grow with the logarithm of the longest chain.
     """
     edges = cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
-    for _ in range(rounds):
+    while True:
         both = _both(edges)
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -96,4 +96,3 @@ def components(edges, rounds=60):
         if now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("least"))
         seen = now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
