@@ -34,6 +34,10 @@ class Merges:
         self.keys = np.append(keys, np.int64(2**62))
         self.merged = np.array([pairs[k] for k in keys.tolist()] + [NONE], np.int32)
         size = max(ranks.values()) + 1
+        # Tokens that a neighbour can turn into a token of lower rank.
+        self.sinks = np.zeros(size, bool)
+        for part in (self.keys[:-1] >> 32, self.keys[:-1] & (2**32 - 1)):
+            self.sinks[part[self.merged[:-1] < part]] = True
         self.sizes = np.zeros(size, np.int64)
         for token, rank in ranks.items():
             self.sizes[rank] = len(token)
@@ -52,8 +56,10 @@ class Merges:
 
         All words lie in one array of symbols. An index has, for each pair that
         can merge (by the rank of its token), the positions where it stands. The
-        pair of lowest rank is applied at all its positions, leftmost in a word
-        first, and only the two neighbours of each change are looked up anew.
+        pair of lowest rank is applied at all its positions that do not overlap,
+        leftmost first, and only the two neighbours of each change are looked up
+        anew. Where that brings up a pair of lower rank, the places that follow
+        in the word wait, for that pair comes first.
         """
         sizes = np.array([len(w) for w in words], np.int64)
         symbols = self.single[np.frombuffer(b"".join(words), np.uint8)]
@@ -92,18 +98,22 @@ class Merges:
         while order:
             value = heapq.heappop(order)
             runs = index.pop(value)
-            places = runs[0] if len(runs) == 1 else np.unique(np.concatenate(runs))
+            places = np.unique(np.concatenate(runs))
             places = places[rank[places] == value]
             if not len(places):
                 continue
             if len(places) > 1:
-                owner = word[places]
-                first = np.append(True, owner[1:] != owner[:-1])
-                if not first.all():
-                    # The others of a word wait: this merge may make a pair of lower rank.
-                    index[value] = [places[~first]]
-                    heapq.heappush(order, value)
-                    places = places[first]
+                # Of places that overlap in a row every other one is left when its turn comes.
+                every = places
+                apart = np.append(True, after[places[:-1]] != places[1:])
+                starts = np.nonzero(apart)[0]
+                places = places[(np.arange(len(places)) - starts[np.cumsum(apart) - 1]) % 2 == 0]
+                if self.sinks[value]:
+                    waits = self.after_lower(value, places, symbols, before, after, word)
+                    if waits.any():
+                        index[value] = [every]
+                        heapq.heappush(order, value)
+                        places = places[~waits]
             gone = after[places]
             follow = after[gone]
             symbols[places] = value
@@ -121,6 +131,22 @@ class Merges:
         left = symbols[:total] >= 0
         return symbols[:total][left], np.bincount(word[left], minlength=len(words))
 
+    def after_lower(self, value, places, symbols, before, after, word):
+        """Whether making `value` at an earlier place of the same word brings up a pair of lower rank."""
+        follow = after[after[places]]
+        left, right = symbols[before[places]], symbols[follow]
+        beside = np.nonzero(follow[:-1] == places[1:])[0] + 1
+        left[beside] = value
+        here = np.full(len(places), value, np.int32)
+        lower = (left >= 0) & (self.pair(left, here) < value) | (right >= 0) & (self.pair(here, right) < value)
+        if not lower.any():
+            return lower
+        # How many such places of its word stand before each.
+        owner = word[places]
+        first = np.nonzero(np.append(True, owner[1:] != owner[:-1]))[0]
+        earlier = np.cumsum(lower) - lower
+        return earlier > np.repeat(earlier[first], np.diff(np.append(first, len(places))))
+
     def decode(self, ids):
         """The bytes of an array of token ids."""
         sizes = self.sizes[ids]
