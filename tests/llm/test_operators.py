@@ -13,7 +13,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tidegrid.llm import ann, bpe, exact, langid, mixing, near, pii, simhash, spans, suffix, support, toxicity
+from tidegrid.llm import ann, bpe, exact, langid, mixing, pii, simhash, spans, suffix, support, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -89,6 +89,24 @@ def test_bpe_on_random_text():
         assert run.tolist() == known.encode_ordinary(text)
 
 
+def test_bpe_on_long_words():
+    """Matches of a megabyte: one byte again and again, short periods, and letters at random."""
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    known = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    with open(PATH, "rb") as file:
+        tables = bpe.merges(file.read(), PATTERN)
+    r = random.Random(6)
+    words = [c * n for c in "xae=- 0é" for n in (2, 3, 7, 40, 1001, 4096)]
+    words += ["".join(r.choices("abcdehilnorst", k=5_000)), "ab" * 3_000, "aab" * 2_001, "the" * 1_500, "aaé" * 999]
+    for word in words:
+        ids, sizes = tables.replay([word.encode(), b"", word.encode()])
+        expected = known.encode_ordinary(word)
+        assert ids.tolist() == 2 * expected and sizes.tolist() == [len(expected), 0, len(expected)]
+    for word in ("x" * 1_000_000, "abc" * 330_000, "".join(r.choices("abcdehilnorst", k=1_000_000))):
+        ids, _ = tables.replay([word.encode()])
+        assert bytes(tables.decode(ids)) == word.encode()
+
+
 @pytest.mark.parametrize("keep", ["largest", "smallest"])
 def test_exact(frame, keep):
     groups = collections.defaultdict(list)
@@ -241,18 +259,6 @@ def test_sentences_of_many_texts_at_once():
     assert group.total[-1] == 400_002 and len(np.unique(group.hashes)) == 3
 
 
-def test_sketches_lose_no_pair():
-    r = np.random.default_rng(2)
-    base = r.integers(0, 2**64, 400, np.uint64)
-    sets = [np.unique(np.append(base[r.random(400) > r.random() / 5], r.integers(0, 2**64, r.integers(0, 60), np.uint64))) for _ in range(120)]
-    sketches = np.array([near.sketch(s) for s in sets]).view(np.int64)
-    order, sizes = np.arange(len(sets)), np.array([len(s) for s in sets])
-    found, rest = near.compare(order, sizes, order, sketches, len(sets), (4, 5))
-    found = set(map(tuple, np.concatenate(found).tolist()))
-    every = {(a, b) for b in range(len(sets)) for a in range(b) if near.similar(sets[a], sets[b], (4, 5))}
-    assert 0 < len(every) <= len(found) < len(sets) * (len(sets) - 1) // 2 and every <= found and not len(rest)
-
-
 def test_spans_of_rows_that_share_identifiers(spark):
     """Repeated rows are one document; texts under one identifier, and a hot passage over many partitions, are each judged."""
     passage = " ".join(f"w{i} x{i} y{i} z{i}." for i in range(9))
@@ -489,6 +495,22 @@ def test_large_contexts_divide_alike(monkeypatch):
     assert sorted(x for part in suffix._blocks_of(run, 50) for x in suffix.repeated(part, 50)) == whole
 
 
+def test_a_string_of_many_copies_fits_its_arrays(monkeypatch):
+    """Contexts around one line in very many documents: bounded arrays give what one array of all gives."""
+    monkeypatch.setattr(suffix, "ARRAY", 20_000)
+    line, r = b"one line that stands in every document of this table, ok", random.Random(8)
+    run = [(i // 2, 5, bytes(r.choices(b"xyz", k=3)) + line + bytes(r.choices(b"xyz", k=2))) for i in range(8_000)]
+    parts = suffix._blocks_of(run, 50)
+    assert len(parts) > 8 and all(sum(len(body) + 1 for _, _, body in part) <= 20_000 for part in parts)
+    first = {}
+    strings = [(id, low + i, body[i : i + 50]) for id, low, body in run for i in range(len(body) - 49)]
+    for id, _, string in strings:
+        first.setdefault(string, id)
+    found = sorted({x for part in parts for x in suffix.repeated(part, 50)})
+    assert found == sorted({(id, start) for id, start, string in strings if first[string] < id})
+    assert {(id, start) for id, low, high in suffix._joined(found) for start in range(low, high + 1)} == set(found)
+
+
 def test_empty_tables(spark, empty):
     keys, weights = mixing.production()
     labels = spark.createDataFrame([], "doc_id long, toxic int")
@@ -519,4 +541,4 @@ def test_only_judged_copies_go(spark):
     assert kept(exact.dedup(frame)) == sorted([table[i] for i in (2, 3, 5, 6, 8, 9)], key=repr)
     # The smallest stays; a row without identifier too.
     expected = sorted([table[i] for i in (0, 1, 2, 3, 5, 6, 7, 10)], key=repr)
-    assert kept(simhash.dedup(frame)) == kept(near.dedup(frame)) == expected
+    assert kept(simhash.dedup(frame)) == expected

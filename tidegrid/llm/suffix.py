@@ -316,6 +316,12 @@ CONTEXTS = "key long, id long, low long, at long, body binary"
 CLASS = 4  # neighbouring starts that are looked at together
 
 
+def _places(column):
+    """Where the places of each row end in one list of all, and the fields of that list; a null row has none."""
+    counts = column.value_lengths().fill_null(0).to_numpy()
+    return np.cumsum(counts, dtype=np.int64), [part.to_numpy() for part in column.flatten().flatten()]
+
+
 def _contexts(length, gram):
     """The bytes around open anchors, in two halves by where the anchor lies; a half's key is what all its strings hold."""
     middle = (length - gram) // 2
@@ -329,13 +335,16 @@ def _contexts(length, gram):
 
     def run(batches):
         for rows in batches:
-            out = []
-            for id, body, wanted in zip(rows.column(0).to_pylist(), rows.column(1).cast(pa.binary()).to_pylist(), rows.column(2).to_pylist()):
-                for place in wanted or ():
-                    if place["high"] + length > len(body):
+            out, ends, places = [], *_places(rows.column(2))
+            places = list(zip(*[p.tolist() for p in places]))
+            begin = 0
+            for id, body, end in zip(rows.column(0).to_pylist(), rows.column(1).cast(pa.binary()).to_pylist(), ends.tolist()):
+                for low, high, at in places[begin:end]:
+                    if high + length > len(body):
                         continue
-                    for low, high, key in halves(body, place["low"], place["high"], place["at"]):
-                        out.append((xxhash.xxh3_64_intdigest(key) - 2**63, id, low, place["at"], body[low : high + length]))
+                    for first, last, key in halves(body, low, high, at):
+                        out.append((xxhash.xxh3_64_intdigest(key) - 2**63, id, first, at, body[first : last + length]))
+                begin = end
                 if len(out) > 20_000:
                     yield batch(CONTEXTS, *zip(*out))
                     out = []
@@ -347,45 +356,68 @@ def _contexts(length, gram):
 
 def repeated(contexts, length):
     """Starts whose string of `length` bytes also stands in a smaller document: (id, start) of (id, low, body) contexts, by a suffix array."""
-    text, ids, starts = [], [], []
-    for id, low, body in contexts:
-        usable = len(body) - length + 1
-        text.extend(body)
-        ids.extend([id] * usable + [None] * (len(body) - usable + 1))
-        starts.extend(range(low, low + len(body) + 1))
-        text.append(-1)
-    data = bytes(c if c >= 0 else 0 for c in text)
-    out, run, held = [], None, []
-
-    def close():
-        least = min(ids[p] for p in held)
-        out.extend((ids[p], starts[p]) for p in held if ids[p] > least)
-
-    for place in suffix_array(text):
-        if ids[place] is None:
-            continue
-        string = data[place : place + length]
-        if string != run:
-            if len(held) > 1:
-                close()
-            run, held = string, []
-        held.append(place)
-    if len(held) > 1:
-        close()
-    return out
+    ids, lows, bodies = zip(*contexts) if contexts else ((), (), ())
+    sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
+    # One number below all bytes ends each body.
+    ends = np.cumsum(sizes + 1) - 1
+    data = np.frombuffer(b"".join(body + b"\0" for body in bodies), np.uint8)
+    text = data.astype(np.int16)
+    text[ends] = -1
+    begins = np.repeat(ends - sizes, sizes + 1)
+    place = np.arange(len(text)) - begins
+    order = np.array(suffix_array(text), np.int64)
+    order = order[(place <= np.repeat(sizes - length, sizes + 1))[order]]
+    if not len(order):
+        return []
+    strings = np.lib.stride_tricks.sliding_window_view(data, length)[order]
+    firsts = np.nonzero(np.append(True, (strings[1:] != strings[:-1]).any(1)))[0]
+    owner = np.repeat(np.array(ids, np.int64), sizes + 1)[order]
+    least = np.repeat(np.minimum.reduceat(owner, firsts), np.diff(np.append(firsts, len(order))))
+    start = (place + np.repeat(np.array(lows, np.int64), sizes + 1))[order]
+    return list(zip(owner[owner > least].tolist(), start[owner > least].tolist()))
+
+
+def _joined(pairs):
+    """(id, low, high) of the runs of neighbouring starts among (id, start) pairs."""
+    if not pairs:
+        return []
+    ids, starts = np.array(pairs, np.int64).T
+    order = np.lexsort((starts, ids))
+    ids, starts = ids[order], starts[order]
+    new = np.append(True, (ids[1:] != ids[:-1]) | (starts[1:] > starts[:-1] + 1))
+    last = np.append(new[1:], True)
+    return list(zip(ids[new].tolist(), starts[new].tolist(), starts[last].tolist()))
 
 
 def _blocks_of(run, length):
-    """The contexts of one key, in parts that hold equal strings together and are no longer than one suffix array."""
+    """The contexts of one key, by rising identifier, in parts no longer than one suffix array that bring equal strings together.
+
+    A longer run is cut into its strings, which are dealt by a hash. Where a
+    string has so many copies that its part is too long, each piece of that
+    part begins with the first copy of every string, which is of the smallest
+    document, so each of the others meets it.
+    """
     size = sum(len(body) for _, _, body in run)
     if size <= ARRAY:
         return [run]
-    parts = [[] for _ in range(-(-size * length // ARRAY))]
+    room = max(2, ARRAY // (length + 1))
+    parts = [[] for _ in range(4 * -(-size // room))]
     for id, low, body in run:
         for i in range(len(body) - length + 1):
             string = body[i : i + length]
             parts[xxhash.xxh3_64_intdigest(string) % len(parts)].append((id, low + i, string))
-    return [part for part in parts if part]
+    out = []
+    for part in parts:
+        if len(part) <= room:
+            out.append(part)
+            continue
+        firsts, others = {}, []
+        for row in part:
+            if firsts.setdefault(row[2], row) is not row:
+                others.append(row)
+        step = max(1, room - len(firsts))
+        out.extend([*firsts.values(), *others[i : i + step]] for i in range(0, len(others), step))
+    return [part for part in out if part]
 
 
 def _combined(run, length):
@@ -445,7 +477,7 @@ def _sort(length):
                 ready.extend(part)
                 size += sum(len(c[2]) for c in part)
                 if size >= ARRAY // 2:
-                    found.extend((id, start, start) for id, start in repeated(ready, length))
+                    found.extend(_joined(repeated(ready, length)))
                     ready, size = [], 0
 
         for rows in batches:
@@ -459,7 +491,7 @@ def _sort(length):
                 yield batch(schema, *zip(*found))
                 found.clear()
         close()
-        found.extend((id, start, start) for id, start in repeated(ready, length))
+        found.extend(_joined(repeated(ready, length)))
         if found:
             yield batch(schema, *zip(*found))
 
@@ -474,26 +506,33 @@ def _cut_out(length, digest):
 
     def run(batches):
         for rows in batches:
-            out = []
-            for id, body, found in zip(rows.column(0).to_pylist(), rows.column(1).cast(pa.binary()).to_pylist(), rows.column(2).to_pylist()):
-                kept, end, removed, spans = [], 0, 0, 0
-                merged = []
-                for low, high in sorted((f["low"], f["high"] + length) for f in found or ()):
-                    if merged and low <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], high)
-                    else:
-                        merged.append([low, high])
-                for low, high in merged:
-                    low, high = min(low, len(body)), min(high, len(body))
-                    kept.append(body[end:low])
-                    removed += high - low
-                    spans += high > low
-                    end = high
-                kept.append(body[end:])
-                kept = b"".join(kept)
-                out.append((id, len(body), removed, spans, hashlib.sha256(kept).hexdigest() if digest else kept))
-            if out:
-                yield batch(schema, *zip(*out))
+            if not rows.num_rows:
+                continue
+            bodies = rows.column(1).cast(pa.binary()).to_pylist()
+            sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
+            ends, (low, high) = _places(rows.column(2))
+            row = np.repeat(np.arange(len(bodies)), np.diff(ends, prepend=0))
+            # All texts stand on one line, with room between them.
+            shift = np.cumsum(sizes + 2) - sizes
+            low, high = np.minimum(low, sizes[row]) + shift[row], np.minimum(high + length, sizes[row]) + shift[row]
+            order = np.argsort(low, kind="stable")
+            order = order[low[order] < high[order]]
+            low, high = low[order], np.maximum.accumulate(high[order])
+            new = np.append(True, low[1:] > high[:-1])[: len(low)]
+            row, low, high = row[order][new], low[new], high[np.append(new[1:], True)[: len(low)]]
+            low, high = low - shift[row], high - shift[row]
+            spans = np.bincount(row, minlength=len(bodies))
+            removed = np.bincount(row, high - low, len(bodies)).astype(np.int64)
+            runs, begin, out = list(zip(low.tolist(), high.tolist())), 0, []
+            for body, count in zip(bodies, spans.tolist()):
+                kept, end = [], 0
+                for a, b in runs[begin : begin + count]:
+                    kept.append(body[end:a])
+                    end = b
+                begin += count
+                kept = b"".join([*kept, body[end:]])
+                out.append(hashlib.sha256(kept).hexdigest() if digest else kept)
+            yield batch(schema, rows.column(0), sizes, removed, spans, out)
 
     return run, schema
 
@@ -515,6 +554,8 @@ def remove_repeats(frame, id="doc_id", text="text", length=50, gram=20, digest=F
     differ, the contexts are sorted in a suffix array, and the strings in a row
     of equal ones are removed from all but the smallest document.
     """
+    if length - gram > 255:
+        raise ValueError("a string may be at most 255 bytes longer than a gram")
     rows = id_and_text(frame, id, text).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 8 + size // BUCKET
