@@ -5,8 +5,10 @@ import xml.etree.ElementTree as ET
 import pytest
 from pyspark.sql import functions as F
 
+from tidegrid.operators import axes
 from tidegrid.operators import nodes as N
 from tidegrid.operators import xpath as X
+from tidegrid.plans import inputs, node_queries
 from tidegrid.sources import markup as M
 
 XML = '<a x="1"><!--c--><b>t1<c/>t2</b> <b y="2" x="1"><![CDATA[<z>]]></b><?pi d?></a>'
@@ -214,3 +216,39 @@ def test_no_step_pairs_nodes_of_a_document(spark, xml):
     for query in ["//b[@x]//text()", "//b[@x]/text()", "//c/.."]:
         plan = X.xpath_query(xml, query)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def _orders(spark, folder, n):
+    rows = spark.range(1, n + 1).selectExpr("id AS o_orderkey", "id * 7 AS o_custkey", "'F' AS o_orderstatus", "id + 0.5D AS o_totalprice", "'5-LOW' AS o_orderpriority")
+    rows.write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_relations_send_no_nodes_to_all_tasks(spark, tmp_path):
+    # As files the nodes are far below the limit of a broadcast.
+    found = node_queries.node_relations(spark, _orders(spark, tmp_path, 120))
+    assert "BroadcastHashJoin" not in _plan(found)
+    assert found.count() == 119 * 38
+
+
+def test_texts_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    # A task of parse_xml sorts the nodes of its piece, so pieces do not grow with the table.
+    monkeypatch.setattr(inputs, "TEXTS", 10)
+    assert inputs.xml_documents(spark, _orders(spark, tmp_path, 120)).rdd.getNumPartitions() == 12
+
+
+def test_steps_on_stored_nodes_need_no_shuffle(spark, tmp_path):
+    nodes = inputs.xml_nodes(spark, _orders(spark, tmp_path, 120))
+    children = axes.reach(nodes, nodes.where("name = 'order'"), "child")
+    assert "Exchange" not in _plan(children) and "BroadcastHashJoin" not in _plan(children)
+    assert children.count() == 119 * 6
+
+
+def test_attributes_as_a_column():
+    held = [{"a": "1", "b": None}, None, {}, {"a": "2"}]
+    column = M._maps(held)
+    assert column.to_pylist() == [[("a", "1"), ("b", None)], None, [], [("a", "2")]]

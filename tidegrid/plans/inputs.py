@@ -2,11 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from tidegrid.session import scratch_path, store
-from tidegrid.sources.markup import parse_html
+from tidegrid.session import scratch_path, store_by
+from tidegrid.sources.markup import parse_html, parse_xml
 from tidegrid.sources.exchanges import SEPARATOR, exchange_text, write_exchanges
 from tidegrid.sources.snapshots import BOM
 
+# Documents of one piece: orders as text, and pages.
+TEXTS, PAGES = 100_000, 10_000
+
 TRADE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
 EVENT_ORDER = ["ts", "event_id"]
 
@@ -26,10 +29,31 @@ def on_all_cores(frame, key):
     return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, key)
 
 
+def pieces_of(frame, rows):
+    """How many pieces a table is dealt into: one for each so many rows, but at least one a core.
+
+    A stored table may take a few bytes a row and what is made of a row many, so
+    the rows are counted, which the footers of its files tell.
+    """
+    return max(frame.sparkSession.sparkContext.defaultParallelism, -(-frame.count() // rows))
+
+
+def in_pieces(frame, key, rows):
+    """A table dealt by a key, so that no task makes more than the documents of a bounded number of rows."""
+    return frame.repartition(pieces_of(frame, rows), key)
+
+
 def page_nodes(spark, folder, columns=None, stored=False):
     """The node table of all pages; `stored` for queries that read it more than once."""
-    nodes = parse_html(on_all_cores(table(spark, folder, "pages").select("page_id", "html"), "page_id"), "page_id", "html", columns=columns)
-    return store(nodes, "nodes") if stored else nodes
+    pages = table(spark, folder, "pages").select("page_id", "html")
+    nodes = parse_html(in_pieces(pages, "page_id", PAGES), "page_id", "html", columns=columns)
+    return store_by(nodes, "nodes", "page_id", pieces_of(pages, PAGES)) if stored else nodes
+
+
+def xml_nodes(spark, folder, columns=None):
+    """The stored node table of the XML texts."""
+    pieces = pieces_of(table(spark, folder, "orders"), TEXTS)
+    return store_by(parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=columns), "nodes", "doc_id", pieces)
 
 
 def trades(spark, folder):
@@ -158,7 +182,7 @@ def timeseries_blobs(spark, folder, odd=False):
 
 def json_documents(spark, folder):
     """Orders as nested JSON text; every hundredth is cut short or repeats a key."""
-    o = on_all_cores(table(spark, folder, "orders"), "o_orderkey")
+    o = in_pieces(table(spark, folder, "orders"), "o_orderkey", TEXTS)
     whole = F.to_json(
         F.struct(
             F.col("o_orderkey").alias("id"),
@@ -179,7 +203,7 @@ def json_documents(spark, folder):
 
 def xml_documents(spark, folder):
     """Orders as XML text."""
-    o = on_all_cores(table(spark, folder, "orders"), "o_orderkey")
+    o = in_pieces(table(spark, folder, "orders"), "o_orderkey", TEXTS)
     body = F.concat(
         F.lit('<?xml version="1.0"?>\n<order id="'),
         F.col("o_orderkey").cast("string"),

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from tidegrid.functions.registry import register_functions
 from tidegrid.operators import nodes as N
 from tidegrid.operators import xpath as X
-from tidegrid.plans.inputs import on_all_cores, page_nodes, table, xml_documents
+from tidegrid.plans.inputs import on_all_cores, page_nodes, table, xml_documents, xml_nodes
 from tidegrid.plans.registry import query
-from tidegrid.session import store
 from tidegrid.sources import markup as M
 
 PLACES = ["node_id", "parent_id", "pos", "type", "name"]
@@ -87,7 +86,7 @@ def _relations():
 def node_relations(spark, folder):
     """Every node of every document with its parent, children, neighbours and siblings."""
     columns = ["node_id", "parent_id", "depth", "pos", "type", "name", "path", "element_no"]
-    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=columns), "nodes")
+    nodes = xml_nodes(spark, folder, columns)
     pair = lambda frame, name, other: frame.select("doc_id", F.lit(name).alias("relation"), "node_id", F.col(other).alias("other_id"))
     parts = [
         pair(N.node_next(nodes), "next", "next_id"),
@@ -145,7 +144,7 @@ SELECT o_orderkey AS doc_id, unnest(['/order', '/order/customer', '/order/price'
   'a & b', o_orderpriority]) AS content FROM orders WHERE o_orderkey % 100 <> 0""")
 def node_content_all(spark, folder):
     columns = ["node_id", "type", "path", "content", "text_start", "text_end"]
-    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=columns), "nodes")
+    nodes = xml_nodes(spark, folder, columns)
     whole = N.node_content(nodes, out="whole").where("type = 'ELEMENT'")
     return whole.select("doc_id", "path", F.col("whole").alias("content"))
 
@@ -155,7 +154,7 @@ SELECT o_orderkey AS doc_id, unnest(['customer', 'price', 'tag', 'tag']) AS name
   unnest([chr(10) || '  ', chr(10) || '  ', chr(10) || '  ', '']) AS text FROM orders WHERE o_orderkey % 100 <> 0""")
 def node_list(spark, folder):
     columns = ["node_id", "parent_id", "depth", "pos", "type", "name", "content"]
-    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw", columns=columns), "nodes")
+    nodes = xml_nodes(spark, folder, columns)
     listed = N.node_list(nodes, (F.col("type") == "ELEMENT") & (F.col("depth") == 1), "text")
     return listed.select("doc_id", "name", "text")
 
@@ -284,7 +283,7 @@ UNION ALL SELECT doc_id, 'last of the group', o_orderpriority FROM o
 UNION ALL SELECT doc_id, 'whole', doc_id::VARCHAR FROM o WHERE contains(o_custkey || '<' || o_totalprice, '7<1')""")
 def xpath_axes_xml(spark, folder):
     return _found(
-        store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes"),
+        xml_nodes(spark, folder),
         "doc_id",
         {
             "after a text": "//tag[. = 'a & b']/following-sibling::tag/text()",
@@ -324,7 +323,7 @@ def xml_quarantine(spark, folder):
 
 @query("SELECT o_orderkey AS doc_id, unnest(['a & b', o_orderpriority]) AS tag FROM orders WHERE o_orderkey % 100 <> 0")
 def xpath_query_xml(spark, folder):
-    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes")
+    nodes = xml_nodes(spark, folder)
     return X.xpath_query(nodes, "/order[@status]/tag/text()").select("doc_id", F.col("content").alias("tag"))
 
 
@@ -338,7 +337,7 @@ UNION ALL SELECT o_orderkey, 'equal', o_orderpriority FROM o WHERE o_orderpriori
 UNION ALL SELECT o_orderkey, 'children', o_orderkey::VARCHAR FROM o WHERE o_orderstatus = 'F' OR o_orderkey::VARCHAR LIKE '1%'
 UNION ALL SELECT o_orderkey, 'either', unnest([o_custkey::VARCHAR, '<' || o_totalprice || '>']) FROM o""")
 def xpath_conditions(spark, folder):
-    nodes = store(M.parse_xml(xml_documents(spark, folder), "doc_id", "raw"), "nodes")
+    nodes = xml_nodes(spark, folder)
     paths = {
         "last": "/order/tag[last()]/text()",
         "before last": "/order/tag[last()-1]/text()",

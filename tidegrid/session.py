@@ -52,3 +52,22 @@ def store(frame, name):
     path = scratch_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.parquet(path)
+
+
+# Joins on a key and more columns are shuffled by all of these, or left as they are where both sides are dealt by the key.
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def store_by(frame, name, key, pieces):
+    """The frame as a table in the shared folder, in buckets of a key, for joins and windows that all hold the key.
+
+    Such steps then need no shuffle, and where the frame is already dealt over
+    as many pieces by the key, a bucket is one file. The rows of such a table
+    take far less space as files than in memory, so the size of the files does
+    not make a join broadcast it.
+    """
+    spark = frame.sparkSession
+    spark.conf.set(ALL_KEYS, "false")
+    table = f"{name}_{uuid.uuid4().hex}"
+    frame.write.bucketBy(pieces, key).option("path", scratch_path(spark, name)).saveAsTable(table)
+    return spark.table(table).hint("merge")
