@@ -27,7 +27,8 @@ def match(nodes, other, columns, how="left_semi"):
     for own, theirs in columns.items():
         same = same & (F.col(own) == F.col(f"_to_{theirs}"))
     extra = [] if how == "left_semi" else [c for c in other.columns if c not in (doc, *columns.values())]
-    joined = nodes.join(other.select(*kept, *extra), same, how)
+    # Few bytes of a file are many nodes, so no side is sent whole to all tasks.
+    joined = nodes.join(other.select(*kept, *extra).hint("merge"), same, how)
     return joined if how == "left_semi" else joined.drop(*[f"_to_{c}" for c in {doc, *columns.values()}])
 
 
