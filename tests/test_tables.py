@@ -205,3 +205,18 @@ def test_broken_csv_rows_are_held_back(spark):
     dated = spark.createDataFrame([(1, "Date,v\n2021-01-02,1\n2021-13-45,2\n2021-01-03,1,2\n2021-01-04,x\n")], "id int, body string")
     assert [(str(r.date), r.v) for r in C.parse_csv_timeseries(dated, "body", ["v"]).orderBy("row_no").collect()] == [("2021-01-02", 1.0), ("2021-01-04", None)]
     assert sorted(r.row_no for r in C.timeseries_quarantine(dated, "body", ["v"]).collect()) == [2, 3]
+
+
+def test_json_keys_keep_only_what_is_still_open(spark, monkeypatch):
+    # The first job reads all texts and opens few levels; of its nodes only objects and arrays keep their value.
+    stored = []
+    keep = lambda frame, name: stored.append(frame) or frame
+    monkeypatch.setattr(J, "store", keep)
+    texts = ['{"a":{"b":{"c":{"d":1}}},"e":2}', '{"a":1}']
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, raw string")
+    found = sorted((r.doc_id, r.path, r.type) for r in J.json_keys(frame, "raw").collect())
+    assert found == [
+        (0, ".a", "object"), (0, ".a.b", "object"), (0, ".a.b.c", "object"), (0, ".a.b.c.d", "number"), (0, ".e", "number"), (1, ".a", "number")
+    ]
+    held = stored[0].where("node.value IS NOT NULL").select("node.path").collect()
+    assert len(stored) == 1 and [r.path for r in held] == [".a.b"]

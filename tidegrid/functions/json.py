@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidegrid.operators.tables import match_wildcard
 from tidegrid.session import store
 
-# Levels of nesting that one job opens.
-LEVELS = 8
+# Levels of nesting that one job opens; the first, which reads all texts, opens few.
+LEVELS, FIRST_LEVELS = 8, 2
 
 # Our names of the types that a variant can have.
 TYPE_NAMES = {
@@ -141,8 +141,9 @@ def json_keys(frame, raw, pattern="*", max_depth=None):
     A text that is not valid has no keys.
 
     A job opens at most `LEVELS` levels, one `explode` each, so its plan does
-    not grow with the data. What is still open after that is stored in the
-    shared folder and opened by the next job. The deepest nesting of the valid
+    not grow with the data. The keys found are stored in the shared folder, and
+    the next job opens the objects and arrays that are still open: a node keeps
+    its value only if it is one, so plain values are passed on without theirs. The deepest nesting of the valid
     texts, measured over the table unless given, tells how many jobs there
     are; a text deeper than a given `max_depth` fails the query instead of
     losing keys.
@@ -156,36 +157,48 @@ def json_keys(frame, raw, pattern="*", max_depth=None):
             F.raise_error(F.lit(f"JSON text nests deeper than {max_depth}")).cast("variant")
         )
     others = [c for c in frame.columns if c != raw]
-    node = F.struct(F.lit("").alias("path"), checked.alias("value"), F.lit(True).alias("open"))
+    node = F.struct(F.lit("").alias("path"), F.lit("").alias("type"), checked.alias("value"), F.lit(True).alias("open"))
     rows, parts = frame.select(*others, node.alias("node"), F.lit("").alias("_from")), []
-    for begin in range(0, max(1, max_depth), LEVELS):
-        for _ in range(min(LEVELS, max_depth - begin)):
+    begin = 0
+    while begin < max(1, max_depth):
+        end = min(max_depth, begin + (LEVELS if begin else FIRST_LEVELS))
+        for _ in range(begin, end):
             rows = rows.withColumn("node", F.explode(_with_children(F.col("node"), pattern)))
-        last = begin + LEVELS >= max_depth
-        if not last:
+        begin = max(end, 1)
+        if begin < max_depth:
             rows = store(rows, "keys")
         # The node a job begins with was given out by the one before.
         given = rows.where(F.col("node.path") != F.col("_from"))
-        parts.append(given.select(*others, F.col("node.path").alias("path"), json_type("node.value").alias("type")))
+        parts.append(given.select(*others, F.col("node.path").alias("path"), F.col("node.type").alias("type")))
         rows = rows.where(F.col("node.open")).withColumn("_from", F.col("node.path"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _matching(entries, pattern):
+    return entries if pattern == "*" else F.filter(entries, lambda e: match_wildcard(e["key"], pattern))
+
+
 def _with_children(node, pattern):
     """The node itself, no longer open, and its children where it was open."""
     path, value = node["path"], node["value"]
-    itself = F.array(F.struct(path.alias("path"), value.alias("value"), F.lit(False).alias("open")))
+    nothing = F.lit(None).cast("variant")
+    itself = F.array(F.struct(path.alias("path"), node["type"].alias("type"), nothing.alias("value"), F.lit(False).alias("open")))
+
+    def typed(key, value):
+        return F.struct(F.concat(path, F.lit("."), key).alias("path"), json_type(value).alias("type"), value.alias("value"))
 
-    def child(key, value):
-        return F.struct(F.concat(path, F.lit("."), key).alias("path"), value.alias("value"), F.lit(True).alias("open"))
+    def child(made):
+        nests = made["type"].isin("object", "array")
+        held = F.when(nests, made["value"]).otherwise(nothing)
+        return F.struct(made["path"].alias("path"), made["type"].alias("type"), held.alias("value"), nests.alias("open"))
 
-    none = F.array().cast("array<struct<path:string,value:variant,open:boolean>>")
+    none = F.array().cast("array<struct<path:string,type:string,value:variant,open:boolean>>")
     members = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
     items = F.transform(
         F.try_variant_get(value, "$", "array<variant>"), lambda v, i: F.struct(i.cast("string").alias("key"), v.alias("value"))
     )
     found = [
-        F.transform(F.filter(a, lambda e: match_wildcard(e["key"], pattern)), lambda e: child(e["key"], e["value"]))
+        F.transform(F.transform(_matching(a, pattern), lambda e: typed(e["key"], e["value"])), child)
         for a in (members, items)
     ]
     children = F.coalesce(*found, none)
