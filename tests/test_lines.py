@@ -96,3 +96,14 @@ def test_lines_of_files(spark, tmp_path, small_blocks, width):
     path = write(tmp_path / "t", texts)
     want = split_lines(whole(spark, {k: v for k, v in texts.items() if v}), "body", width)
     assert by_file(read_lines(spark, path, width), "line_no", "line") == sorted((tuple(r) for r in want.collect()), key=repr)
+
+
+def test_records_of_several_lines_take_one_pass(spark, tmp_path):
+    # Alone, over several lines, and cut off by a quote that is never closed.
+    (tmp_path / "a.csv").write_text('1,x\n2,"y\nz"\n3,w\n4,"open\nrest\n')
+    rows = C._file_rows(spark, str(tmp_path), "\n", ",", "\\")
+    found = sorted((r.row_no, r.parts, r.broken, tuple(r.fields)) for r in rows.collect())
+    assert [f[:3] for f in found] == [(0, 1, False), (1, 2, False), (2, 1, False), (3, 2, True)]
+    assert found[1][3] == ("2", "y\nz")
+    # Lines are read once for records of one line and once for all others.
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2

@@ -246,15 +246,15 @@ def _file_records(lines, blocks, rs):
     single = rows.where(alone & F.col("_full")).select("path", "row_no", F.lit(1).cast("long").alias("parts"), "broken", "text")
     pieces = rows.where(~alone)
     place = F.struct("block", "_at")
-    ordered = F.sort_array(F.collect_list(F.struct("block", "_at", "text")))
-    joined = pieces.where(~F.col("broken")).groupBy("path", "row_no").agg(
-        F.count(F.lit(1)).alias("parts"), F.lit(False).alias("broken"), F.array_join(F.transform(ordered, lambda p: p["text"]), rs).alias("text")
-    )
+    ordered = F.sort_array(F.collect_list(F.when(~F.col("broken"), F.struct("block", "_at", "text"))))
     # An empty line may come before the first one of an open record; it is no part of it.
-    cut_off = pieces.where("broken").where(~(F.col("_begins") & ~F.col("_full"))).groupBy("path", "row_no").agg(
-        F.count(F.lit(1)).alias("parts"), F.lit(True).alias("broken"), F.min_by("text", place).alias("text")
+    pieces = pieces.where(~(F.col("broken") & F.col("_begins") & ~F.col("_full")))
+    # One pass over the lines for both kinds; of an open record no more than its first line is held.
+    joined = pieces.groupBy("path", "row_no", "broken").agg(
+        F.count(F.lit(1)).alias("parts"), F.array_join(F.transform(ordered, lambda p: p["text"]), rs).alias("_whole"), F.min_by("text", F.when(F.col("broken"), place)).alias("_first")
     )
-    return single.unionByName(joined).unionByName(cut_off)
+    joined = joined.withColumn("text", F.when(F.col("broken"), F.col("_first")).otherwise(F.col("_whole"))).drop("_whole", "_first")
+    return single.unionByName(joined)
 
 
 def _file_rows(spark, path, rs, fs, esc):
