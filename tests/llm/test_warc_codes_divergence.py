@@ -319,3 +319,11 @@ def test_transducer():
     assert len(arcs) == 6 and sizes[-1] == 4
     accepted = {tuple(a) for a in arcs}
     assert len(accepted) == len(arcs)
+
+
+def test_divergence_works_in_blocks_of_bounded_text():
+    # Rows within the bound together, a longer row by itself, no row lost.
+    texts = ["ab " * 10, "c " * 5, "d " * 100, "", "e "]
+    held = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts)], names=["i", "text"])
+    blocks = list(divergence._blocks([held, held.slice(0, 0), held.slice(1, 2)], 40))
+    assert [b.column("i").to_pylist() for b in blocks] == [[0, 1], [2], [3, 4], [1], [2]]

@@ -12,6 +12,7 @@ as fit a fixed size, and reads only the documents of their languages.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ ROUND_BYTES = 32 << 20
 # Places that a state is tried at before the search leaves the crowded ones behind.
 TRIES = 64
 TOKENS = 1 << 20
+# Text of one block: the places of its terms take many times its size.
+BLOCK_BYTES = 4 << 20
 
 SHARD = "lang string, first binary, terms long, states binary"
 
@@ -169,11 +172,20 @@ def _coded(column):
     return held.indices.to_numpy(zero_copy_only=False).astype(np.int64), held.dictionary
 
 
+def _blocks(batches, most=BLOCK_BYTES):
+    """The rows of the batches, in blocks of at most so many bytes of text or of one row."""
+    for held in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(held.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        low = 0
+        while low < held.num_rows:
+            high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + most, "right")))
+            yield held.slice(low, high - low)
+            low = high
+
+
 def _terms_of(batches):
     """How many documents of each language hold a term, block by block."""
-    for block in batches:
-        if not block.num_rows:
-            continue
+    for block in _blocks(batches):
         text, starts, lengths, row = tokens(block.column("text"))
         if not len(starts):
             continue
@@ -241,9 +253,7 @@ def _counted(machines):
         held.setdefault(lang, []).append((base, opened(states)))
 
     def run(batches):
-        for block in batches:
-            if not block.num_rows:
-                continue
+        for block in _blocks(batches):
             text, starts, _, row = tokens(block.column("text"))
             langs, names = _coded(block.column("lang"))
             sources, origins = _coded(block.column("source"))
