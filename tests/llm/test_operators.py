@@ -488,6 +488,33 @@ def test_repeated_bytes(frame, monkeypatch, size):
     assert found[None].n_removed == 0
 
 
+def test_packed_anchors_take_few_bytes():
+    """Besides its hashes of twelve bytes, an anchor takes less than five, its share of the identifiers included."""
+    r = random.Random(12)
+    texts = [bytes(r.choices(range(256), k=2000)) for _ in range(400)]
+    texts[7] = texts[300] = texts[5]
+    ids = np.arange(400) * 7 + 10**12
+    packed = [row for b in suffix._packed(ids, 50, 20, 64, [(i, 0, t) for i, t in enumerate(texts)]) for row in b.to_pylist()]
+    data, ends = np.frombuffer(b"".join(texts), np.uint8), np.arange(1, 401) * 2000
+    anchors = len(suffix.anchors(data, ends - 2000, ends, 50, 20)[0])
+    assert sum(len(v) for row in packed for v in row.values() if isinstance(v, bytes)) < 17 * anchors
+    met = [suffix._meet([row]) for row in packed]
+    found = {id: 0 for id in ids}
+    for rows in met:
+        for row in rows.to_pylist() if rows else []:
+            found[row["id"]] += row["high"] + 1 - row["low"]
+    assert {id for id, count in found.items() if count} == {ids[7], ids[300]}
+    assert found[ids[7]] == found[ids[300]] == 1951
+
+
+def test_identifiers_of_any_size_and_order(spark):
+    """Differences of identifiers may wrap around."""
+    ids = [5, -(2**63), 2**63 - 1, 0, 2**40, -7]
+    texts = [("a copy " * 40 if i != 0 else prose(50, 1), i) for i in ids]
+    found = by_id(suffix.remove_repeats(spark.createDataFrame(texts, "text string, doc_id long").repartition(1)))
+    assert {i: found[i].n_removed for i in ids} == {i: 0 if i in (0, -(2**63)) else 280 for i in ids}
+
+
 def test_large_contexts_divide_alike(monkeypatch):
     run = [(i, 7, bytes(rng.choice(b"ab") for _ in range(5)) + b"c" * 50 + bytes(rng.choice(b"ab") for _ in range(4))) for i in range(80)]
     whole = sorted(suffix.repeated(run, 50))

@@ -183,8 +183,7 @@ BLOCK = 2_000_000  # bytes of text whose anchors are found at once
 BUCKET = 8_000_000  # bytes of text for each bucket of anchors
 ARRAY = 150_000  # bytes of one suffix array
 
-PACKED = ("bucket", "ids", "grams", "contexts", "owners", "lows", "spans", "offsets", "done_owners", "done_lows", "done_spans")
-PACKED_SCHEMA = "bucket int, " + ", ".join(f"{name} binary" for name in PACKED[1:])
+PACKED = "bucket int, known int, open int, done int, hashes binary, places binary"
 FOUND = "id long, low long, high long, at long, open boolean"
 
 
@@ -214,6 +213,28 @@ def _eight(body):
     return out.view("<u8").ravel()
 
 
+def _planes(*columns):
+    """Whole numbers as bytes, compressed; the lowest bytes of a column stand first, since the highest are alike."""
+    return pa.compress(b"".join(c.view(np.uint8).reshape(-1, c.itemsize).T.tobytes() for c in columns), "zstd", asbytes=True)
+
+
+def _columns(body, *forms):
+    """The columns of `_planes`, whose types and lengths are given."""
+    widths = [np.dtype(kind).itemsize for kind, _ in forms]
+    size = sum(width * count for width, (_, count) in zip(widths, forms))
+    data, at, out = np.frombuffer(pa.decompress(body, size, "zstd"), np.uint8), 0, []
+    for width, (kind, count) in zip(widths, forms):
+        planes = data[at : at + width * count].reshape(width, count)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += width * count
+    return out
+
+
+def _steps(values, kind):
+    """Each number less the one before; sums of these, which may wrap around, give the numbers back."""
+    return np.diff(values, prepend=values.dtype.type(0)).astype(kind)
+
+
 def _packed(ids, length, gram, buckets, block):
     """The anchors of a block by bucket, equal contexts already combined: only the smallest document stays open."""
     texts = [piece for _, _, piece in block]
@@ -242,13 +263,12 @@ def _packed(ids, length, gram, buckets, block):
     for part in np.split(by, cuts):
         a, d = part[is_open[part]], part[~is_open[part]]
         used, back = np.unique(number[part], return_inverse=True)
-        a_owner = back[is_open[part]].astype("<u4")
-        d_owner = back[~is_open[part]].astype("<u4")
-        columns = [known[used].astype("<i8"), None, None, a_owner, low[a].astype("<u4"), span[a], offset[a], d_owner, low[d].astype("<u4"), span[d]]
-        bodies = [c.tobytes() if c is not None else b"" for c in columns]
-        bodies[1], bodies[2] = _six(grams[a]), _six(contexts[a])
-        out.append((int(bucket[part[0]]), *bodies))
-    yield batch(PACKED_SCHEMA, *zip(*out))
+        a_owner, d_owner = back[is_open[part]], back[~is_open[part]]
+        hashes = _six(grams[a]) + _six(contexts[a])
+        opened = _steps(a_owner, "<i4"), low[a].astype("<u4"), span[a], offset[a]
+        places = _planes(_steps(known[used], "<i8"), *opened, _steps(d_owner, "<i4"), low[d].astype("<u4"), span[d])
+        out.append((int(bucket[part[0]]), len(used), len(a), len(d), hashes, places))
+    yield batch(PACKED, *zip(*out))
 
 
 def _find_anchors(length, gram, buckets):
@@ -266,16 +286,18 @@ def _meet(rows):
     """What one bucket settles: strings that repeat a smaller document's whole context are removed; contexts that differ around equal anchors stay open."""
     done, parts = [], []
     for row in rows:
-        ids = np.frombuffer(row["ids"], "<i8")
-        count = len(row["spans"])
-        low, span = np.frombuffer(row["lows"], "<u4").astype(np.int64), np.frombuffer(row["spans"], np.uint8).astype(np.int64)
-        offset = np.frombuffer(row["offsets"], np.uint8).astype(np.int64)
+        count, rest = row["open"], row["done"]
+        opened = ("<i4", count), ("<u4", count), ("u1", count), ("u1", count)
+        ids, owner, low, span, offset, d_owner, d_low, d_span = _columns(
+            row["places"], ("<i8", row["known"]), *opened, ("<i4", rest), ("<u4", rest), ("u1", rest)
+        )
+        ids = np.cumsum(ids)
         if count:
-            parts.append((_eight(row["grams"]), _eight(row["contexts"]), ids[np.frombuffer(row["owners"], "<u4")], low, low + span, low + offset))
-        if len(row["done_spans"]):
-            low = np.frombuffer(row["done_lows"], "<u4").astype(np.int64)
-            span = np.frombuffer(row["done_spans"], np.uint8).astype(np.int64)
-            done.append((ids[np.frombuffer(row["done_owners"], "<u4")], low, low + span, low))
+            low, hashes = low.astype(np.int64), _eight(row["hashes"])
+            parts.append((hashes[:count], hashes[count:], ids[np.cumsum(owner)], low, low + span, low + offset))
+        if rest:
+            d_low = d_low.astype(np.int64)
+            done.append((ids[np.cumsum(d_owner)], d_low, d_low + d_span, d_low))
     is_open = [np.zeros(sum(len(d[0]) for d in done), bool)]
     if parts:
         gram, context, owner, low, high, at = [np.concatenate(c) for c in zip(*parts)]
@@ -560,7 +582,7 @@ def remove_repeats(frame, id="doc_id", text="text", length=50, gram=20, digest=F
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 8 + size // BUCKET
     known = rows.filter("id IS NOT NULL")
-    packed = known.mapInArrow(_find_anchors(length, gram, buckets), PACKED_SCHEMA)
+    packed = known.mapInArrow(_find_anchors(length, gram, buckets), PACKED)
     met = store(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_settle, FOUND), "anchors")
     asked = met.filter("open").groupBy("id").agg(F.collect_list(F.struct("low", "high", "at")).alias("places"))
     sort, sorted_schema = _sort(length)
