@@ -98,7 +98,8 @@ def suffix_array(text):
     length = [1] * len(members)
     below = list(range(-1, len(members) - 1))
     above = [*range(1, len(members)), -1]
-    taken, before = bytearray(n), [-1] * n
+    # The last byte, which -1 points to, is never set: it ends the search for what is not taken.
+    taken, before = bytearray(n + 1), [-1] * n
 
     def move(moved, old, count):
         """Put suffixes that now share a longer prefix into a group right above their old one."""
@@ -124,7 +125,7 @@ def suffix_array(text):
             i = here[0]
             if group[i] == now:
                 j = i - 1
-                while j >= 0 and taken[j]:
+                while taken[j]:
                     j = before[j]
                 before[i] = j
                 taken[i] = 1
@@ -138,21 +139,31 @@ def suffix_array(text):
             counts = {}
             for i in here:
                 j = i - 1
-                while j >= 0 and taken[j]:
+                while taken[j]:
                     j = before[j]
                 before[i] = j
                 taken[i] = 1
                 if j >= 0:
                     counts[j] = counts.get(j, 0) + 1
             moves = {}
-            for j, count in counts.items():
-                key = count, group[j]
-                if key in moves:
-                    moves[key].append(j)
-                else:
-                    moves[key] = [j]
-            for count, old in sorted(moves, reverse=True):
-                move(moves[count, old], old, count)
+            if len(counts) == len(here):
+                for j in counts:
+                    old = group[j]
+                    if old in moves:
+                        moves[old].append(j)
+                    else:
+                        moves[old] = [j]
+                for old in sorted(moves, reverse=True):
+                    move(moves[old], old, 1)
+            else:
+                for j, count in counts.items():
+                    key = count, group[j]
+                    if key in moves:
+                        moves[key].append(j)
+                    else:
+                        moves[key] = [j]
+                for count, old in sorted(moves, reverse=True):
+                    move(moves[count, old], old, count)
         now = below[now]
     # Where each group begins in ascending order, and which suffixes follow on which.
     place = [0] * len(members)
@@ -172,10 +183,14 @@ def suffix_array(text):
     order = [-1] * n
     for rank in range(-1, n):
         k = n if rank < 0 else order[rank]
-        for i in by_next[starts[k] : ends[k]]:
+        a, b = starts[k], ends[k]
+        if a == b:
+            continue
+        for i in by_next[a:b]:
             g = group[i]
-            order[place[g]] = i
-            place[g] += 1
+            at = place[g]
+            order[at] = i
+            place[g] = at + 1
     return order
 
 
