@@ -171,3 +171,62 @@ def test_missing_return_stays_missing(spark):
     found = R.cumulative_returns(spark.createDataFrame(bars, BAR)).orderBy("date").collect()
     assert [r.cum_overnight is None for r in found] == [False, False, True, True, True]
     assert not any(r.cum_intraday is None for r in found)
+
+
+NAMES = ["A", "^X", "a/b=c", "50%", "B [1]", "é", "..", "", None]
+
+
+def test_price_files_are_those_of_sparks_writer(spark, tmp_path):
+    bars = spark.createDataFrame(
+        [(n, day(d), 1.5, 1e-7, None, float("nan"), 12345678.9, d) for n in NAMES for d in (1, 2)] + [("A", None, *[None] * 6)], BAR
+    )
+    P.write_prices(bars, str(tmp_path / "tasks"))
+    named = bars.select("symbol", *[F.col(c).alias(h) for c, h in zip(P.COLUMNS, P.HEADER)])
+    ordered = named.repartitionByRange("symbol", "Date").sortWithinPartitions("symbol", "Date")
+    ordered.write.partitionBy("symbol").option("header", True).option("nullValue", "null").csv(str(tmp_path / "spark"))
+
+    def files(kind):
+        folders = [f for f in (tmp_path / kind).iterdir() if f.is_dir()]
+        return sorted((f.name, sorted(p.read_text() for p in f.iterdir() if p.name[0] != ".")) for f in folders)
+
+    assert files("tasks") == files("spark")
+    # Spark's writer makes a checksum file for each, and starts a process for either.
+    assert not list((tmp_path / "tasks").rglob("*.crc"))
+    read = P.read_prices(spark, f"file://{tmp_path}/tasks", partitioned=True)
+    assert sorted(map(str, read.collect())) == sorted(map(str, bars.replace("", None, "symbol").collect()))
+
+
+def test_lines_of_a_symbol_in_several_tasks_and_batches(spark, tmp_path):
+    lines = spark.range(0, 60_000, 1, 3).selectExpr("'S' || (id div 25000) symbol", "CASE WHEN id <> 7 THEN 'x' || id END value")
+    P.write_lines(lines, str(tmp_path / "p"))
+    read = spark.read.text(str(tmp_path / "p"))
+    assert sorted((r.symbol, r.value) for r in read.collect()) == sorted((r.symbol, r.value or "") for r in lines.collect())
+    assert sorted(p.name for p in (tmp_path / "p").iterdir()) == ["_SUCCESS", "symbol=S0", "symbol=S1", "symbol=S2"]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        P.write_lines(lines, str(tmp_path / "p"))
+
+
+def test_a_failed_write_leaves_no_price_files(spark, tmp_path):
+    lines = spark.range(0, 4, 1, 2).selectExpr("'S' || id symbol", "CAST(1 DIV (3 - id) AS string) value")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        P.write_lines(lines, str(tmp_path / "p"))
+    assert not list((tmp_path / "p").iterdir())
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    lines = spark.range(0, 200, 1, 1).selectExpr("'S' || lpad(id, 3, '0') symbol", "'x' value")
+    P.write_lines(lines, str(tmp_path / "p"))
+    tracker, before = spark.sparkContext.statusTracker(), spark.conf.get(P.LISTING)
+    spark.sparkContext.setJobGroup("listing", "")
+    P.rejected_price_files(spark, str(tmp_path / "p"), partitioned=True)
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [tracker.getStageInfo(s).numTasks for s in stages] == [4 * spark.sparkContext.defaultParallelism]
+    assert spark.conf.get(P.LISTING) == before
+
+
+def test_local_folder(spark):
+    from tidegrid.session import local_folder
+
+    given = ["/a/b", "file:/a/b", "file:///a b%20", "a/b", "file://host/a", "hdfs://host/a", "viewfs:///a"]
+    assert [local_folder(spark, g) for g in given] == ["/a/b", "/a/b", "/a b%20", None, None, None, None]

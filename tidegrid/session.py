@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
 
@@ -43,6 +44,16 @@ def scratch_path(spark, name):
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def local_folder(spark, path):
+    """The folder a path means on the plain file system that the machines share; None if it is in another store."""
+    plain = re.fullmatch("(file:(?://)?)?(/(?!/).*)", path)
+    if not plain:
+        return None
+    # A path without a scheme is in the default store of the session.
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return plain[2] if plain[1] or default.startswith("file:") else None
+
+
 def store(frame, name):
     """The frame as a table in the shared folder.
 

@@ -1,9 +1,17 @@
 """Directories of daily price files and of their results."""
 
+import os
+import re
+import shutil
+import uuid
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
+from tidegrid.session import local_folder
+
 # The header of a price file and the types of its fields.
 HEADER = ["Date", "Open", "High", "Low", "Close", "Adj Close", "Volume"]
 COLUMNS = {
@@ -15,16 +23,30 @@ COLUMNS = {
     "adj_close": "double",
     "volume": "long",
 }
+# What Spark writes as `%` and two digits in the name of a folder, and the folder of rows without a value.
+UNSAFE, NO_VALUE = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]"""), "__HIVE_DEFAULT_PARTITION__"
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def _texts(spark, reader, path):
+    """The files below a folder, listed by a few tasks a core; by default Spark starts one for each folder, up to 10,000."""
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, min(int(before), 4 * spark.sparkContext.defaultParallelism))
+    try:
+        return reader.text(path, wholetext=True)
+    finally:
+        spark.conf.set(LISTING, before)
+
 
 def _files(spark, path, partitioned):
     """One row per file with its lines; daily bars of one symbol are short files."""
     file = F.col("_metadata.file_path").alias("file")
     lines = F.split("value", "\r?\n").alias("lines")
     if partitioned:
-        return spark.read.schema("value string, symbol string").text(path, wholetext=True).select(file, lines, "symbol")
+        return _texts(spark, spark.read.schema("value string, symbol string"), path).select(file, lines, "symbol")
     name = F.regexp_extract("_metadata.file_path", r"([^/]+)\.csv$", 1)
     symbol = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("symbol")
-    return spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(file, lines, symbol)
+    return _texts(spark, spark.read.option("recursiveFileLookup", True), path).select(file, lines, symbol)
 
 
 def _has_header():
@@ -73,7 +95,84 @@ def write_prices(bars, path):
     named = bars.select("symbol", *[F.col(c).alias(h) for c, h in zip(COLUMNS, HEADER)])
     # Ranges keep a small symbol in one file and spread a long one over several.
     ordered = named.repartitionByRange("symbol", "Date").sortWithinPartitions("symbol", "Date")
-    ordered.write.partitionBy("symbol").option("header", True).option("nullValue", "null").csv(path)
+    folder = _new_folder(bars.sparkSession, path)
+    if folder:
+        line = F.to_csv(F.struct(*[f"`{h}`" for h in HEADER]), {"nullValue": "null"})
+        _write_by_tasks(ordered.select("symbol", line.alias("value")), folder, ",".join(HEADER))
+    else:
+        ordered.write.partitionBy("symbol").option("header", True).option("nullValue", "null").csv(path)
+
+
+def write_lines(ordered, path):
+    """Write `symbol, value` as lines of text, in folders `symbol=...`; each task has its rows in the order of symbols."""
+    folder = _new_folder(ordered.sparkSession, path)
+    if folder:
+        _write_by_tasks(ordered.select("symbol", "value"), folder)
+    else:
+        ordered.write.partitionBy("symbol").text(path)
+
+
+def _new_folder(spark, path):
+    """The folder of a new path on the plain file system; None elsewhere, and for a path that exists, which Spark's writer refuses."""
+    folder = local_folder(spark, path)
+    return None if folder is None or os.path.lexists(folder) else folder
+
+
+def _write_by_tasks(ordered, folder, head=None):
+    """Write lines of text as Spark's writer does, a file for each symbol of a task, without a process for each file.
+
+    On the plain file system Spark's writer starts two for each file, to set its
+    rights and those of its checksums, which takes nearly all of the time where
+    files are many and short. As with Spark's writer, each attempt of a task has
+    a folder of its own, and only those of attempts that succeeded are moved to
+    their place.
+    """
+    waiting = os.path.join(folder, f"_waiting-{uuid.uuid4().hex}")
+    os.makedirs(waiting)
+    first = head.encode() + b"\n" if head else b""
+
+    def write(batches):
+        attempt = uuid.uuid4().hex
+        mine = os.path.join(waiting, attempt)
+        os.mkdir(mine)
+        current, file = None, None
+        try:
+            for batch in batches:
+                values, start = batch.column("value").to_pylist(), 0
+                runs = pc.run_end_encode(batch.column("symbol"))
+                for symbol, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                    name = "symbol=" + (UNSAFE.sub(lambda c: f"%{ord(c[0]):02X}", symbol) if symbol else NO_VALUE)
+                    if name != current:
+                        if file:
+                            file.close()
+                        os.mkdir(os.path.join(mine, name))
+                        current, file = name, open(os.path.join(mine, name, f"part-{attempt}.txt"), "xb")
+                        file.write(first)
+                    file.write(b"\n".join(values[start:end]) + b"\n")
+                    start = end
+        finally:
+            if file:
+                file.close()
+        yield pa.record_batch({"attempt": [attempt]})
+
+    try:
+        lines = ordered.select("symbol", F.coalesce(F.col("value"), F.lit("")).cast("binary").alias("value"))
+        for row in lines.mapInArrow(write, "attempt string").collect():
+            mine = os.path.join(waiting, row.attempt)
+            for name in os.listdir(mine):
+                _move(os.path.join(mine, name), os.path.join(folder, name))
+    finally:
+        shutil.rmtree(waiting, ignore_errors=True)
+    open(os.path.join(folder, "_SUCCESS"), "xb").close()
+
+
+def _move(found, place):
+    """Move a symbol's folder to its place, or its files, where another task has the symbol too."""
+    if not os.path.isdir(place):
+        os.rename(found, place)
+        return
+    for file in os.listdir(found):
+        os.rename(os.path.join(found, file), os.path.join(place, file))
 
 
 def write_series(cumulative, path, file_format="parquet", per_symbol=False):
