@@ -82,7 +82,7 @@ def _awkward_files(spark, folder):
     header = symbols.select("symbol", F.lit("0").alias("at"), F.lit(",".join(P.HEADER)).alias("value"))
     junk = symbols.where(n % 7 == 0).select("symbol", F.lit("").alias("at"), F.lit("junk").alias("value"))
     lines = bars.unionByName(header).unionByName(junk)
-    lines.repartition("symbol").sortWithinPartitions("symbol", "at").select("symbol", "value").write.partitionBy("symbol").text(path)
+    P.write_lines(lines.repartition("symbol").sortWithinPartitions("symbol", "at").select("symbol", "value"), path)
     return path
 
 
