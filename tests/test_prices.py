@@ -173,7 +173,7 @@ def test_missing_return_stays_missing(spark):
     assert not any(r.cum_intraday is None for r in found)
 
 
-NAMES = ["A", "^X", "a/b=c", "50%", "B [1]", "é", "..", "", None]
+NAMES = ["A", "^X", "a/b=c", "50%", "%41", "1+1 %2B", "B [1]", "é", "..", "", None]
 
 
 def test_price_files_are_those_of_sparks_writer(spark, tmp_path):
@@ -225,6 +225,20 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
     assert spark.conf.get(P.LISTING) == before
 
 
+def test_symbols_are_read_from_paths(spark, tmp_path):
+    lines = spark.range(0, 3, 1, 1).selectExpr("'S' || id symbol", "'x' value")
+    P.write_lines(lines, str(tmp_path / "p"))
+    # Spark's discovery of folders, which takes time by the square of their number, refuses those of different depth.
+    for folder in ("symbol=50%", "exchange=N/symbol=A"):
+        (tmp_path / "p" / folder).mkdir(parents=True)
+        (tmp_path / "p" / folder / "a.csv").write_text("x")
+    rejected = P.rejected_price_files(spark, str(tmp_path / "p"), partitioned=True)
+    assert sorted(r.symbol for r in rejected.collect()) == ["50%", "A", "S0", "S1", "S2"]
+    assert [r.symbol for r in rejected.where("symbol = 'S1'").collect()] == ["S1"]
+    (tmp_path / "empty").mkdir()
+    assert P.rejected_price_files(spark, str(tmp_path / "empty"), partitioned=True).collect() == []
+
+
 def test_local_folder(spark):
     from tidegrid.session import local_folder
 

@@ -28,25 +28,31 @@ UNSAFE, NO_VALUE = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]"""), "__HIVE_
 LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
-def _texts(spark, reader, path):
-    """The files below a folder, listed by a few tasks a core; by default Spark starts one for each folder, up to 10,000."""
+def _files(spark, path, partitioned):
+    """One row per file with its lines; daily bars of one symbol are short files.
+
+    Spark's own discovery of folders `symbol=...` takes time that grows with the
+    square of their number, so the symbol is taken from the path.
+    """
+    file = F.col("_metadata.file_path")
     before = spark.conf.get(LISTING)
+    # A few tasks a core; by default Spark starts one for each folder, up to 10,000.
     spark.conf.set(LISTING, min(int(before), 4 * spark.sparkContext.defaultParallelism))
     try:
-        return reader.text(path, wholetext=True)
+        texts = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     finally:
         spark.conf.set(LISTING, before)
+    if partitioned:
+        # Decoded as a part of the path, and then as the name of a folder.
+        name = _decoded(F.regexp_extract(file, "(?i)^.*/symbol=([^/]*)/", 1))
+        symbol = F.when(~name.isin("", NO_VALUE), F.coalesce(_decoded(name, F.try_url_decode), name))
+    else:
+        symbol = _decoded(F.regexp_extract(file, r"([^/]+)\.csv$", 1))
+    return texts.select(file.alias("file"), F.split("value", "\r?\n").alias("lines"), symbol.alias("symbol"))
 
 
-def _files(spark, path, partitioned):
-    """One row per file with its lines; daily bars of one symbol are short files."""
-    file = F.col("_metadata.file_path").alias("file")
-    lines = F.split("value", "\r?\n").alias("lines")
-    if partitioned:
-        return _texts(spark, spark.read.schema("value string, symbol string"), path).select(file, lines, "symbol")
-    name = F.regexp_extract("_metadata.file_path", r"([^/]+)\.csv$", 1)
-    symbol = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("symbol")
-    return _texts(spark, spark.read.option("recursiveFileLookup", True), path).select(file, lines, symbol)
+def _decoded(name, decode=F.url_decode):
+    return decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 def _has_header():
