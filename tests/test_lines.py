@@ -107,3 +107,26 @@ def test_records_of_several_lines_take_one_pass(spark, tmp_path):
     assert found[1][3] == ("2", "y\nz")
     # Lines are read once for records of one line and once for all others.
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+
+
+def test_records_within_a_block_are_put_together_by_its_task(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('1,"x\n""y"""\n2,z\n' * 500)
+    rows = C._file_rows(spark, str(tmp_path), "\n", ",", "\\")
+    found = sorted((r.row_no, r.parts, tuple(r.fields)) for r in rows.collect())
+    assert found[:2] == [(0, 2, ("1", 'x\n"y"')), (1, 1, ("2", "z"))] and len(found) == 1000
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_first_records_behind_empty_blocks_and_odd_bytes(spark, tmp_path, small_blocks):
+    folder = tmp_path / "csv"
+    texts = {"late.csv": "\n" * 3000 + 'a,b\n1,"2\n3"\n4,5,6', "blank.csv": "\n" * 3000, "marks.csv": 'a\ufdd1b,c,d\n\ufdd3,"e\ufdd0"\n'}
+    texts["late_cut.csv"] = "\n" * 3000 + 'a,"' + "b\n" * 900 + '"\n1,2,3\n4,5'
+    path = write(folder, texts)
+    (folder / "bytes.csv").write_bytes(b'a\xff,"b\xed\xa0\x80\n"\nc\xe2\x82,d\n\xf0\x9f,"\xc3"\n')
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
+    for found, want in (
+        (C.parse_csv_files(spark, path), C.parse_csv(whole, "body")),
+        (C.csv_files_quarantine(spark, path).select("path", "row_no", "fields"), C.csv_quarantine(whole, "body").select("path", "row_no", "fields")),
+    ):
+        assert by_file(found, "row_no", "fields") == by_file(want, "row_no", "fields") != []

@@ -8,17 +8,16 @@ so that plain splits then give records and fields in time linear in the text.
 
 import re
 
-import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegrid.operators.tables import to_date, to_number
 from tidegrid.session import store
-from tidegrid.sources.lines import BLOCK, block_lines, carried, file_sizes, in_turn
+from tidegrid.sources import csvblocks as B
+from tidegrid.sources.lines import BLOCK, block_lines, carried, file_sizes
 from tidegrid.sources.snapshots import BOM, strip_bom
 
-# Noncharacters: never part of interchanged text.
-_RECORD, _FIELD, _QUOTE, _ESCAPE, _BROKEN = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3", "\ufdd4"
+_RECORD, _FIELD, _QUOTE, _ESCAPE, _BROKEN = B.RECORD, B.FIELD, B.QUOTE, B.ESCAPE, B.BROKEN
 
 
 def read_csv_files(spark, path, schema, rs="\n", fs=",", esc="\\", header=False):
@@ -139,58 +138,20 @@ def _series_rows(frame, body, columns, rs, fs, esc):
     return rows, F.col("broken") | to_date(first).isNull() | (F.size("fields") > len(columns) + 1)
 
 
-def _turns(batch, state):
-    """Quote state and record numbers of the lines of a block, as if it began outside of quotes, and as if inside.
-
-    `_odd` is whether an odd number of quotes comes before a line in its block,
-    `_glued` whether the line before ends with an escape, and `_out` and `_in`
-    are how many records have begun with this line, by the state at the start.
-    """
-    odd, glued, out, inside, place = state or (0, 0, 0, 0, 0)
-    quotes, ends, full = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("_quotes", "_ends", "_full")]
-    after = (odd + np.cumsum(quotes)) % 2
-    before = np.concatenate([[odd], after[:-1]])
-    behind = np.concatenate([[glued], ends[:-1]])
-    begun = [total + np.cumsum((before == start) & (behind == 0) & (full == 1)) for total, start in ((out, 0), (inside, 1))]
-    places = np.arange(place, place + len(quotes))
-    state = (int(after[-1]), int(ends[-1]), int(begun[0][-1]), int(begun[1][-1]), place + len(quotes))
-    return [places, before, behind, *begun], state
-
-
-_COUNTED = ["_at", "_odd", "_glued", "_out", "_in"]
-
-
 def _marked(spark, path, rs, esc):
-    """The lines of files, with what each changes: whether it has an odd number of quotes, ends with an escape, and holds anything."""
-    plain = F.replace("line", F.lit(esc * 2), F.lit(_ESCAPE)) if esc else F.col("line")
-    bare = F.replace(plain, F.lit(esc + '"'), F.lit(_QUOTE)) if esc else plain
-    trimmed = F.rtrim("line", F.lit("\r")) if rs == "\n" else F.col("line")
-    return block_lines(spark, path, rs).withColumns(
-        {
-            "_quotes": ((F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))) % 2).cast("long"),
-            "_ends": (plain.endswith(esc) if esc else F.lit(False)).cast("long"),
-            "_full": (~trimmed.isin("", BOM)).cast("long"),
-        }
-    )
+    """(path, block, line): the lines of files, with a mark in place of bytes that are no text, as Spark's split puts it there."""
+    marked = F.when(F.is_valid_utf8("line"), F.col("line")).otherwise(F.get(F.split("line", "(?!)"), F.lit(0)))
+    return block_lines(spark, path, rs).withColumn("line", marked)
 
 
-def _file_blocks(spark, path, rs, esc):
+def _file_blocks(spark, path, rs, esc, fs=","):
     """For each block of each file the state that it begins in and how many records begin before it.
 
     Each block is read under both states, inside of quotes or not, and what it
     changes in either is carried over the blocks. One row a block, stored, so
-    that its size is known where lines are joined to it.
+    that it is found once; `_id` numbers the blocks and holds their state.
     """
-    lines = _marked(spark, path, rs, esc).withColumn("_size", F.octet_length("line")).drop("line")
-    blocks = in_turn(lines, _COUNTED, _turns).groupBy(*BLOCK).agg(
-        (F.sum("_quotes") % 2).alias("_change"),
-        F.max_by("_ends", "_at").alias("_last"),
-        F.max("_out").alias("_all_out"),
-        F.max("_in").alias("_all_in"),
-        F.max(F.when(F.col("_at") == 0, F.col("_full"))).alias("_first"),
-        F.count(F.lit(1)).alias("_lines"),
-        F.sum(F.col("_size") + len(rs.encode())).alias("_bytes"),
-    )
+    blocks = block_lines(spark, path, rs).mapInArrow(B.summaries(rs, fs, esc), B.SUMMARY)
     order, whole = Window.partitionBy("path").orderBy("block"), Window.partitionBy("path")
     state = blocks.withColumns(
         {
@@ -201,74 +162,86 @@ def _file_blocks(spark, path, rs, esc):
     # A block that begins outside of quotes but behind an escape goes on with the record before.
     less = F.when((F.col("_start") == 0) & (F.col("_before") == 1), F.col("_first")).otherwise(0)
     begun = F.when(F.col("_start") == 0, F.col("_all_out") - less).otherwise(F.col("_all_in"))
-    state = state.withColumns({"_less": less, "_begun": begun}).select(
+    inside, left = F.col("_start") == 1, (F.col("_start") + F.col("_change")) % 2 == 1
+    state = state.withColumn("_begun", begun).select(
         *BLOCK,
-        "_start",
-        "_before",
-        "_less",
+        inside.alias("_inside"),
+        (F.col("_before") == 1).alias("_glued"),
+        (inside | left | (F.col("_before") == 1) | (F.col("_last") == 1)).alias("_cut"),
         F.coalesce(F.sum("_begun").over(carried(blocks)), F.lit(0)).alias("_base"),
-        F.sum("_begun").over(whole).alias("_total"),
-        (F.sum("_change").over(whole) % 2 == 1).alias("_open"),
-        F.when(F.col("block") == F.max("block").over(whole), F.col("_lines") - 1).alias("_last_at"),
+        F.when(F.sum("_change").over(whole) % 2 == 1, F.sum("_begun").over(whole) - 1).alias("_open_no"),
+        (F.col("block") == F.max("block").over(whole)).alias("_end"),
         F.sum("_bytes").over(whole).alias("_bytes"),
+        F.max("_width").over(whole).cast("int").alias("_width"),
     )
     # Lines do not tell whether a separator ends the file; its size does, with or without a byte order mark.
-    ended = (F.col("file_size") - F.col("_bytes")).isin(0, 3)
-    return store(state.join(file_sizes(spark, path), "path").withColumn("_ended", ended).drop("_bytes", "file_size"), "blocks")
+    ended = F.col("_end") & (F.col("file_size") - F.col("_bytes")).isin(0, 3)
+    bits = ((B.INSIDE, F.col("_inside")), (B.GLUED, F.col("_glued")), (B.ENDED, ended), (B.FIRST, F.col("block") == 0))
+    known = state.join(file_sizes(spark, path), "path").select(
+        (F.monotonically_increasing_id() * B.STATES + sum(F.when(holds, bit).otherwise(0) for bit, holds in bits)).alias("_id"),
+        *BLOCK,
+        "_base",
+        "_open_no",
+        "_cut",
+        "_width",
+    )
+    return store(known, "blocks")
+
+
+def _of_blocks(lines, blocks):
+    """Marked lines with what their block has to know; these are few, and the lines stay in their order."""
+    known = F.broadcast(blocks.select(*BLOCK, "_id", "_base", "_open_no"))
+    return lines.join(known, BLOCK).drop(*BLOCK)
 
 
-def _file_records(lines, blocks, rs):
-    """(path, row_no, parts, broken, text): the records of marked lines, each of one line or more.
+def _file_records(lines, blocks, rs, fs=",", esc="\\"):
+    """(_id, row_no, parts, fields): the records of marked lines that begin and end in one block, each of one line or more.
 
-    A record of one line stays in its task; only the lines of longer ones are
-    brought together. A quote that is never closed leaves the first line of its
-    record, as broken, and the number of its lines.
+    A task puts them together by itself; no line is shuffled.
     """
-    held = in_turn(lines, _COUNTED, _turns).join(blocks, BLOCK)
-    first = F.col("_at") == 0
-    quoted = (F.col("_odd") + F.col("_start")) % 2
-    glued = F.when(first, F.col("_before")).otherwise(F.col("_glued"))
-    number = F.col("_base") + F.when(F.col("_start") == 0, F.col("_out") - F.col("_less")).otherwise(F.col("_in")) - 1
-    line = F.when(first & (F.col("block") == 0), strip_bom("line")).otherwise(F.col("line"))
-    # An escape before the separator that ends a file keeps it.
-    kept = F.col("_ended") & (F.col("_at") == F.col("_last_at")) & (F.col("_ends") == 1)
-    rows = held.select(
-        *BLOCK,
-        "_at",
-        number.alias("row_no"),
-        ((quoted == 0) & (glued == 0)).alias("_begins"),
-        (((quoted + F.col("_quotes")) % 2 == 0) & (F.col("_ends") == 0)).alias("_done"),
-        (F.col("_full") == 1).alias("_full"),
-        (F.col("_open") & (number == F.col("_total") - 1)).alias("broken"),
-        F.when(F.coalesce(kept, F.lit(False)), F.concat(line, F.lit(rs))).otherwise(line).alias("text"),
-    )
-    alone = F.col("_begins") & F.col("_done") & ~F.col("broken")
-    single = rows.where(alone & F.col("_full")).select("path", "row_no", F.lit(1).cast("long").alias("parts"), "broken", "text")
-    pieces = rows.where(~alone)
-    place = F.struct("block", "_at")
-    ordered = F.sort_array(F.collect_list(F.when(~F.col("broken"), F.struct("block", "_at", "text"))))
-    # An empty line may come before the first one of an open record; it is no part of it.
-    pieces = pieces.where(~(F.col("broken") & F.col("_begins") & ~F.col("_full")))
-    # One pass over the lines for both kinds; of an open record no more than its first line is held.
+    return _of_blocks(lines, blocks).mapInArrow(B.whole_records(rs, fs, esc), "_id long, row_no long, parts long, fields array<string>")
+
+
+def _cut_records(lines, blocks, rs, esc):
+    """(path, row_no, parts, broken, text): the records that lie in several blocks, or are left open at the end of a file.
+
+    Each block holds at most two of them. A quote that is never closed leaves
+    the first line of its record, as broken, and the number of its lines.
+    """
+    held = _of_blocks(lines, blocks.where("_cut"))
+    pieces = held.mapInArrow(B.cut_records(rs, esc), "_id long, row_no long, parts long, begun boolean, broken boolean, text string")
+    pieces = pieces.join(blocks.select("_id", *BLOCK), "_id")
+    ordered = F.sort_array(F.collect_list(F.when(~F.col("broken"), F.struct("block", "text"))))
     joined = pieces.groupBy("path", "row_no", "broken").agg(
-        F.count(F.lit(1)).alias("parts"), F.array_join(F.transform(ordered, lambda p: p["text"]), rs).alias("_whole"), F.min_by("text", F.when(F.col("broken"), place)).alias("_first")
+        F.sum("parts").alias("parts"),
+        F.array_join(F.transform(ordered, lambda p: p["text"]), rs).alias("_whole"),
+        F.max(F.when(F.col("begun"), F.col("text"))).alias("_first"),
     )
-    joined = joined.withColumn("text", F.when(F.col("broken"), F.col("_first")).otherwise(F.col("_whole"))).drop("_whole", "_first")
-    return single.unionByName(joined)
+    text = F.when(F.col("broken"), F.col("_first")).otherwise(F.col("_whole"))
+    return joined.select("path", "row_no", "parts", "broken", text.alias("text"))
 
 
 def _file_rows(spark, path, rs, fs, esc):
     """The records of files with their fields and the width of their file."""
-    lines, blocks = _marked(spark, path, rs, esc), _file_blocks(spark, path, rs, esc)
-
-    def parsed(lines):
-        one = F.get(_records(F.col("text"), rs, fs, esc), F.lit(0))
-        return _file_records(lines, blocks, rs).select("path", "row_no", "parts", "broken", one["fields"].alias("fields"))
-
-    # The last place of a block in which a first record may lie.
-    reach = blocks.where("_base <= 1").agg(F.max("block")).first()[0] or 0
-    widths = parsed(lines.where(F.col("block") <= reach)).where("row_no = 0").select("path", F.size("fields").alias("width"))
-    return parsed(lines).join(store(widths, "widths"), "path")
+    lines, blocks = _marked(spark, path, rs, esc), _file_blocks(spark, path, rs, esc, fs)
+    records, width = _file_records(lines, blocks, rs, fs, esc), F.size("fields").alias("width")
+    widths = blocks.where("block = 0 AND _width IS NOT NULL").select("path", F.col("_width").alias("width"))
+    # A file may begin with blocks of empty lines.
+    late = blocks.where("block > 0 AND _base = 0")
+    if not late.isEmpty():
+        found = _file_records(lines, late, rs, fs, esc).where("row_no = 0").join(late.select("_id", "path"), "_id")
+        widths = widths.unionByName(found.select("path", width))
+    cut = None
+    if not blocks.where("_cut").isEmpty():
+        cut = store(_cut_records(lines, blocks, rs, esc), "cut").mapInArrow(
+            B.with_fields(rs, fs, esc), "path string, row_no long, parts long, broken boolean, fields array<string>"
+        )
+        widths = widths.unionByName(cut.where("row_no = 0").select("path", width))
+    widths = store(widths, "widths")
+    known = F.broadcast(blocks.select("_id", "path").join(widths, "path"))
+    columns = ["path", "row_no", "parts", "broken", "fields", "width"]
+    rows = records.withColumn("broken", F.lit(False)).join(known, "_id").select(*columns)
+    return rows if cut is None else rows.unionByName(cut.join(widths, "path").select(*columns))
 
 
 def parse_csv_files(spark, path, columns=None, rs="\n", fs=",", esc="\\", offset=0, count=None, header=False):

@@ -31,6 +31,20 @@ def file_sizes(spark, path):
     return files.select("path", F.col("length").alias("file_size"))
 
 
+def parts_of(batch, *keys):
+    """The pieces of an Arrow batch that are each of one block; the rows of a block come one after the other."""
+    columns = [batch.column(key) for key in keys]
+    # A batch seldom holds more than one block.
+    if not batch.num_rows or all(c[0] == c[-1] for c in columns):
+        return [batch] if batch.num_rows else []
+    changed = np.zeros(batch.num_rows - 1, bool)
+    for column in columns:
+        codes = column.dictionary_encode().indices.to_numpy()
+        changed |= codes[1:] != codes[:-1]
+    ends = [*(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+    return [batch.slice(low, high - low) for low, high in zip([0, *ends], ends)]
+
+
 def in_turn(frame, counted, run):
     """Add columns that depend on the rows of a block before: `run` gets the Arrow columns of one piece of a block and its state, None at first.
 
@@ -44,19 +58,15 @@ def in_turn(frame, counted, run):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            paths = batch.column("path").dictionary_encode()
-            codes = paths.indices.to_numpy(zero_copy_only=False)
-            blocks = batch.column("block").to_numpy()
-            cuts = np.flatnonzero((codes[1:] != codes[:-1]) | (blocks[1:] != blocks[:-1])) + 1
-            parts = []
-            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-                here = (paths.dictionary[codes[low]].as_py(), blocks[low])
+            added = []
+            for part in parts_of(batch, *BLOCK):
+                here = [part.column(c)[0].as_py() for c in BLOCK]
                 state = state if here == place else None
-                values, state = run(batch.slice(low, high - low), state)
+                values, state = run(part, state)
                 place = here
-                parts.append(values)
-            added = [pa.array(np.concatenate(column), pa.int64()) for column in zip(*parts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *counted])
+                added.append(values)
+            columns = [pa.array(np.concatenate(column), pa.int64()) for column in zip(*added)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *counted])
 
     return frame.mapInArrow(each, schema)
 
